@@ -11,7 +11,14 @@ from goldvein.checks import standin as s
 from goldvein.checks.commerce import fact, product_dim
 from goldvein.checks.registry import checked
 from goldvein.operators.dates import date_dimension_of
-from goldvein.operators.measures import TOTAL_GROSS, TOTAL_SALES, TOTAL_SALES_EUR, Star
+from goldvein.operators.measures import (
+    TOTAL_GROSS,
+    TOTAL_SALES,
+    TOTAL_SALES_EUR,
+    Dimension,
+    Star,
+)
+from goldvein.operators.sizes import counted_small
 from goldvein.plans import gold, reports
 
 DAYS = ["Saturday", "Sunday"]
@@ -19,20 +26,33 @@ YEARS = [1997, 1998]
 CATEGORY = "Economy"
 
 
-def lines_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Lines and products only: enough where no order column is asked for."""
-    items = s.lines(spark, sf_dir).withColumn("dt", F.lit(None).cast("date"))
-    return reports.sales_star(
-        gold.line_amounts(items), reports.products_of(product_dim(spark, sf_dir), small=False)
-    )
+def _products(spark: SparkSession, sf_dir: str) -> Dimension:
+    small = counted_small(s.given(spark, sf_dir, "part"))
+    return reports.products_of(product_dim(spark, sf_dir), small)
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return reports.sales_star(
-        fact(spark, sf_dir),
-        reports.products_of(product_dim(spark, sf_dir)),
-        reports.dates_of(date_dimension_of(s.given(spark, sf_dir, "orders"), "o_orderdate")),
-    )
+def _dates(spark: SparkSession, sf_dir: str) -> Dimension:
+    return reports.dates_of(date_dimension_of(s.given(spark, sf_dir, "orders"), "o_orderdate"))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines without their order: enough where no order column is asked for."""
+    return gold.line_amounts(s.lines(spark, sf_dir).withColumn("dt", F.lit(None).cast("date")))
+
+
+def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact without the converted amount, which most figures do not use."""
+    return gold.fact_names(gold.line_amounts(s.order_items(spark, sf_dir)))
+
+
+FACTS = {"lines": _lines, "sales": _sales, "fact": fact}
+DIMENSIONS = {"products": _products, "dates": _dates}
+
+
+def star(spark: SparkSession, sf_dir: str, base: str, *dimensions: str) -> Star:
+    """A star of no more than a figure needs."""
+    built = [DIMENSIONS[d](spark, sf_dir) for d in dimensions]
+    return reports.sales_star(FACTS[base](spark, sf_dir), *built)
 
 
 _WIDE = s.wide_sql()
@@ -49,11 +69,11 @@ _SALES = "CAST(sum(net_amount) AS BIGINT) AS total_sales"
 _MONTHS = f"{_SALES}, CAST(sum(month) AS BIGINT) AS sum_month"
 
 
-def report(name: str, sql: str, build: Callable[[Star], DataFrame], light: bool = False) -> None:
-    """Register a report; a light one needs lines and products only."""
+def report(name: str, sql: str, build: Callable[[Star], DataFrame], *parts: str) -> None:
+    """Register a report on a star of the given fact and dimensions."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build((lines_star if light else star)(spark, sf_dir))
+        return build(star(spark, sf_dir, *parts))
 
     query.__doc__ = build.__doc__
     checked(sql, name)(query)
@@ -61,18 +81,32 @@ def report(name: str, sql: str, build: Callable[[Star], DataFrame], light: bool
 
 @checked(_WIDE)
 def wide_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.without_zone(reports.wide_view(star(spark, sf_dir)))
+    return s.without_zone(reports.wide_view(star(spark, sf_dir, "fact", "products", "dates")))
 
 
-report("sales_trend", grouped_sql("month_name", _MONTHS), reports.sales_trend)
+report("sales_trend", grouped_sql("month_name", _MONTHS), reports.sales_trend, "sales", "dates")
+report(
+    "sales_by_category",
+    grouped_sql("category_name"),
+    reports.sales_by_category,
+    "lines",
+    "products",
+)
 report(
-    "sales_by_category", grouped_sql("category_name"), reports.sales_by_category, light=True
+    "sales_heatmap",
+    grouped_sql("hour_of_day, day_name"),
+    reports.sales_heatmap,
+    "sales",
+    "dates",
 )
-report("sales_heatmap", grouped_sql("hour_of_day, day_name"), reports.sales_heatmap)
-report("sales_by_channel", grouped_sql("channel"), reports.sales_by_channel)
-report("weekend_sales", grouped_sql("is_weekend"), reports.weekend_sales)
+report("sales_by_channel", grouped_sql("channel"), reports.sales_by_channel, "sales")
+report("weekend_sales", grouped_sql("is_weekend"), reports.weekend_sales, "sales", "dates")
 report(
-    "channel_by_category", grouped_sql("channel, category_name"), reports.channel_by_category
+    "channel_by_category",
+    grouped_sql("channel, category_name"),
+    reports.channel_by_category,
+    "sales",
+    "products",
 )
 
 
@@ -83,14 +117,14 @@ SELECT {first}, month_name, CAST(grouping_id({first}, month_name) AS BIGINT) AS
 FROM ({_WIDE}) AS w GROUP BY CUBE ({first}, month_name)"""
 
 
-report("coupon_by_month", _cube_sql("coupon_flag"), reports.coupon_by_month)
-report("channel_by_month", _cube_sql("channel"), reports.channel_by_month)
+report("coupon_by_month", _cube_sql("coupon_flag"), reports.coupon_by_month, "sales", "dates")
+report("channel_by_month", _cube_sql("channel"), reports.channel_by_month, "sales", "dates")
 report(
     "total_sales",
     f"""SELECT {_SALES}, CAST(sum(gross_amount) AS BIGINT) AS total_gross
 FROM ({s.amounts_sql(s.LINES_SQL)}) AS a""",
     reports.grand_total,
-    light=True,
+    "lines",
 )
 report(
     "total_sales_eur",
@@ -100,6 +134,7 @@ GROUP BY currency_known""",
     lambda star: star.aggregate(["unit_price_currency"], [TOTAL_SALES_EUR])
     .groupBy((F.col("unit_price_currency") != "XXX").alias("currency_known"))
     .agg(F.sum("total_sales_eur").alias("total_sales_eur")),
+    "fact",
 )
 report(
     "filtered_sales",
@@ -114,6 +149,9 @@ report(
         [TOTAL_SALES, TOTAL_GROSS],
         {"category_name": CATEGORY, "day_name": DAYS, "year": YEARS, "month": None, "quarter": []},
     ),
+    "sales",
+    "products",
+    "dates",
 )
 
 _FILTERS = {"category_name": CATEGORY, "day_name": DAYS, "year": YEARS}
@@ -133,6 +171,9 @@ def _filter_values(column: str) -> None:
         f"filter_values_{column.split('_')[0]}",
         sql,
         lambda star: star.filter_values(column, _FILTERS),
+        "sales",
+        "products",
+        "dates",
     )
 
 
@@ -143,21 +184,22 @@ report(
     "order_count",
     "SELECT count(DISTINCT l_orderkey) AS n_orders FROM lineitem",
     lambda star: star.fact.agg(F.count_distinct("order_id").alias("n_orders")),
-    light=True,
+    "lines",
 )
 report(
     "quantity_by_product",
     f"""SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, count(*) AS n_lines
 FROM ({s.LINES_SQL}) AS l GROUP BY product_id""",
     reports.quantity_by_product,
-    light=True,
+    "lines",
 )
 for _column, _name in (("category_name", "top_categories"), ("brand_name", "top_brands")):
     report(
         _name,
         f"{grouped_sql(_column)} ORDER BY total_sales DESC, {_column} LIMIT 5",
         lambda star, column=_column: reports.top_values(star, column, 5),
-        light=True,
+        "lines",
+        "products",
     )
 report(
     "average_basket",
@@ -165,6 +207,7 @@ report(
   CAST(sum(net_amount) AS DOUBLE) / count(DISTINCT transaction_id) AS average_basket
 FROM ({s.fact_sql()}) AS f""",
     reports.average_basket,
+    "sales",
 )
 report(
     "customer_recurrence",
@@ -172,18 +215,25 @@ report(
   SELECT customer_id, count(DISTINCT transaction_id) AS n_orders
   FROM ({s.fact_sql()}) AS f GROUP BY customer_id) AS c GROUP BY n_orders""",
     reports.customer_recurrence,
+    "sales",
 )
 report(
     "orders_per_customer",
     f"""SELECT customer_id, count(DISTINCT transaction_id) AS n_orders
 FROM ({s.fact_sql()}) AS f GROUP BY customer_id""",
     reports.orders_per_customer,
+    "sales",
 )
-for _period, _by in (("day", "transaction_date"), ("month", "year, month"), ("year", "year")):
+for _period, _by, _parts in (
+    ("day", "transaction_date", ["sales"]),
+    ("month", "year, month", ["sales", "dates"]),
+    ("year", "year", ["sales", "dates"]),
+):
     report(
         f"sales_by_{_period}",
         grouped_sql(_by, f"{_SALES}, count(*) AS n_lines"),
         lambda star, period=_period: reports.sales_by_period(star, period),
+        *_parts,
     )
 
 

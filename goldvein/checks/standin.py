@@ -7,7 +7,10 @@ twice: as a DataFrame, and as SQL for the other side of a check.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from goldvein.sources.lookups import region_rows
@@ -20,8 +23,15 @@ UNKNOWN_PLACES = (("India", "ZZ"), ("Canada", "MH"), ("Atlantis", "SK"))
 SECONDS_STEP = 7919
 
 
+@cache
+def _schema(path: str) -> T.StructType:
+    """Read from a file footer once, not by a job for every use of the table."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def _audit(df: DataFrame, source: str) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldvein.operators.sizes import broadcast_if, counted_small
+
 LOADED_AT = "_ingested_at"
 
 
@@ -79,19 +81,29 @@ def duplicate_rows(
     keys: Sequence[str],
     loaded_at: str = LOADED_AT,
     tie_breakers: Sequence[Column | str] = (),
+    *,
+    repeated: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Every row that ``latest_per_key`` leaves out, copies included.
 
-    Only rows of repeated keys are ranked, so the bulk of a clean batch is not
-    sorted.  Ranking has two steps, so no task has to hold all rows of a
-    key: first among the rows of a key that sit in the same input partition, then
-    among those partitions' winners.  A row rejected in the first step stays in
-    its small group in the second.
+    Only rows of repeated keys are ranked.  Those keys are counted first: few of
+    them are broadcast, so that the batch itself is not shuffled.  (``repeated``
+    and ``small`` pass on what the caller has worked out before.)
+
+    Ranking has two steps, so no task has to hold all rows of a key: first among
+    the rows of a key that sit in the same input partition, then among those
+    partitions' winners.  A row rejected in the first step stays in its small
+    group in the second.
     """
+    if repeated is None:
+        repeated = repeated_keys(df, keys)
+    if small is None:
+        small = counted_small(repeated)
     order = newest_first(df, keys, loaded_at, tie_breakers)
     rows = (
         df.where(~null_key(keys))
-        .join(repeated_keys(df, keys), list(keys), "left_semi")
+        .join(broadcast_if(repeated, small), list(keys), "left_semi")
         .withColumn("_part", F.spark_partition_id())
     )
     local = Window.partitionBy(*keys, "_part").orderBy(*order)

@@ -18,8 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: a dimension up to this many rows is broadcast
-SMALL_DIMENSION_ROWS = 500_000
+from goldvein.operators.sizes import SMALL_ROWS, broadcast_if, counted_small
 
 _ROWS = "_rows"
 
@@ -59,7 +58,7 @@ class Dimension:
     def part(self, columns: Iterable[str]) -> DataFrame:
         wanted = [c for c in self.columns if c in set(columns)]
         part = self.frame.select(F.col(self.key).alias("_dim_key"), *wanted)
-        return F.broadcast(part) if self.small else part
+        return broadcast_if(part, self.small)
 
 
 def dimension(
@@ -69,12 +68,12 @@ def dimension(
     columns: Sequence[str],
     *,
     small: bool | None = None,
-    small_rows: int = SMALL_DIMENSION_ROWS,
+    small_rows: int = SMALL_ROWS,
     implied: Mapping[str, object] | None = None,
 ) -> Dimension:
-    """Describe a dimension, counting it unless its size is known by construction."""
+    """Describe a dimension, counting it unless its size is already known."""
     if small is None:
-        small = frame.select(key).limit(small_rows + 1).count() <= small_rows
+        small = counted_small(frame.select(key), small_rows)
     return Dimension(frame, fact_key, key, tuple(columns), small, implied)
 
 

@@ -26,6 +26,7 @@ from goldvein.operators.dedup import (
     null_key_rows,
     repeated_keys,
 )
+from goldvein.operators.sizes import SMALL_ROWS
 from goldvein.session import scratch_path
 from goldvein.sources.rejects import append_rejects, with_reason
 from goldvein.sources.tables import (
@@ -193,8 +194,19 @@ def _export_rejects(
 ) -> str | None:
     """Write duplicates and rows without a key; touch nothing if there are none."""
     folder = None
-    if has_rows(repeated_keys(batch, keys)):
-        losers = duplicate_rows(batch, keys, loaded_at, tie_breakers)
+    keys_at = scratch_path(batch.sparkSession, f"repeated-{name}")
+    repeated_keys(batch, keys).write.parquet(keys_at)
+    repeated = batch.sparkSession.read.schema(batch.select(*keys).schema).parquet(keys_at)
+    n_repeated = repeated.count()
+    if n_repeated:
+        losers = duplicate_rows(
+            batch,
+            keys,
+            loaded_at,
+            tie_breakers,
+            repeated=repeated,
+            small=n_repeated <= SMALL_ROWS,
+        )
         folder = append_rejects(with_reason(losers, "duplicate_key"), root, name, day)
     unmatched = null_key_rows(batch, keys)
     if has_rows(unmatched):
@@ -240,6 +252,11 @@ def upsert_table(
     spark = batch.sparkSession
     require_columns(batch, [*keys, loaded_at])
     now = F.lit(batch_time)
+    # Cleaning is the costly part of a batch and several steps below read it, most of
+    # them a few columns only.  Written once, it also outlives lost executors.
+    staged_at = scratch_path(spark, f"batch-{table.name}")
+    batch.write.parquet(staged_at)
+    batch = spark.read.schema(batch.schema).parquet(staged_at)
     if not table_exists(spark, table):
         empty_state = without_change(first_load(batch, keys, now, loaded_at))
         create_empty(spark, empty_state, table, partition_by)
@@ -255,23 +272,18 @@ def upsert_table(
         overwrite_table(merged, table, partition_by)
         return _result(seen, folder)
 
-    # Written once: it is counted, joined and looked up below.
-    staged_at = scratch_path(spark, f"batch-{table.name}")
-    newest.write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
-    small = staged.count() <= small_batch_rows
     table_parts = partition_columns(spark, table)
     if table_parts:
-        target = _touched_partitions(target, staged, table_parts)
+        target = _touched_partitions(target, batch, table_parts)
     merged, seen = _observed(
         merge_batch(
             target,
-            staged,
+            newest,
             keys,
             now,
             loaded_at=loaded_at,
             compare_ignore=compare_ignore,
-            small_batch=small,
+            small_batch=batch.count() <= small_batch_rows,
         )
     )
     if table_parts:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from goldvein.functions import amounts
 from goldvein.functions.cleaning import leading_columns
 from goldvein.operators.dates import DATE_COLUMNS
+from goldvein.operators.sizes import broadcast_if, counted_small
 from goldvein.sources.tables import Table
 
 UNKNOWN = "Not Available"
@@ -45,17 +46,19 @@ def brand_categories(brands: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def product_dimension(
-    products: DataFrame, brands: DataFrame, categories: DataFrame
+    products: DataFrame, brands: DataFrame, categories: DataFrame, small: bool | None = None
 ) -> DataFrame:
     """Products with brand and category names.
 
-    No hint on the joins: both lookups grow with the catalogue, and Spark
-    broadcasts them as long as their measured size allows it.
+    A brand may hold a large share of the products, so brands counted to be few
+    are broadcast; otherwise Spark joins by shuffle and splits such a brand.
     """
+    if small is None:
+        small = counted_small(brands.select("brand_code"))
     named = brand_categories(brands, categories).select(
         "brand_code", "brand_name", "category_name"
     )
-    joined = products.join(named, "brand_code", "left")
+    joined = products.join(broadcast_if(named, small), "brand_code", "left")
     return joined.withColumns(
         {
             "category_name": F.coalesce("category_name", F.lit(UNKNOWN)),
@@ -99,6 +102,19 @@ def with_converted_amount(
     return joined.withColumn("net_amount_eur", amount)
 
 
+def fact_names(lines: DataFrame) -> DataFrame:
+    """Order-line columns under the names the fact gives them."""
+    return lines.withColumnsRenamed(
+        {
+            "order_id": "transaction_id",
+            "dt": "transaction_date",
+            "order_ts": "transaction_ts",
+            "item_seq": "seq_no",
+            "discount_pct": "discount_percent",
+        }
+    )
+
+
 def order_line_fact(
     items: DataFrame,
     rates: DataFrame,
@@ -110,16 +126,7 @@ def order_line_fact(
     lines = line_amounts(
         items, coupon_when_empty=coupon_when_empty, exact_discount=exact_discount
     )
-    renamed = with_converted_amount(lines, rates, direction).withColumnsRenamed(
-        {
-            "order_id": "transaction_id",
-            "dt": "transaction_date",
-            "order_ts": "transaction_ts",
-            "item_seq": "seq_no",
-            "discount_pct": "discount_percent",
-        }
-    )
-    return renamed.select(*FACT_COLUMNS)
+    return fact_names(with_converted_amount(lines, rates, direction)).select(*FACT_COLUMNS)
 
 
 def wide_view_sql(fact: Table, products: Table, dates: Table) -> str:

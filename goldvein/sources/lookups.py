@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: a lookup given as local rows may be broadcast up to this many rows
 MAX_LOOKUP_ROWS = 10_000
 
-REGION_SCHEMA = "country STRING, state STRING, region STRING"
-RATE_SCHEMA = "unit_price_currency STRING, rate_eur DOUBLE"
+REGION_SCHEMA = pa.schema(
+    [("country", pa.string()), ("state", pa.string()), ("region", pa.string())]
+)
+RATE_SCHEMA = pa.schema([("unit_price_currency", pa.string()), ("rate_eur", pa.float64())])
 
 # The region of each state, by country.
 REGIONS = {
@@ -51,14 +54,20 @@ REGIONS = {
 RATE_OVERRIDES = {"EUR": 1.0, "AED": 4.34}
 
 
-def local_lookup(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
+def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: pa.Schema) -> DataFrame:
+    """Local rows as a DataFrame of known size, with no Python in its tasks."""
+    columns = [[row[i] for row in rows] for i in range(len(schema))]
+    return spark.createDataFrame(pa.table(columns, schema=schema))
+
+
+def local_lookup(spark: SparkSession, rows: Iterable[Sequence], schema: pa.Schema) -> DataFrame:
     """Local rows as a lookup to join with; small enough ones are broadcast.
 
     The row count is known here, so the hint rests on a checked size.  A larger
     lookup is left to Spark, which measures it and may shuffle instead.
     """
     rows = list(rows)
-    df = spark.createDataFrame(rows, schema)
+    df = local_frame(spark, rows, schema)
     return F.broadcast(df) if len(rows) <= MAX_LOOKUP_ROWS else df
 
 
@@ -90,9 +99,9 @@ def rates_lookup(
         rows = [(currency, float(rate)) for currency, rate in merged.items()]
         return local_lookup(spark, rows, RATE_SCHEMA)
     named = list(overrides)
+    quoted = rates.where(~F.col("unit_price_currency").isin(named)) if named else rates
     once = (
-        rates.where(~F.col("unit_price_currency").isin(named))
-        .groupBy("unit_price_currency")
+        quoted.groupBy("unit_price_currency")
         .agg(F.count("*").alias("quotes"), F.max("rate_eur").cast("double").alias("rate_eur"))
         .select(
             "unit_price_currency",
@@ -101,5 +110,7 @@ def rates_lookup(
             .alias("rate_eur"),
         )
     )
-    fixed = spark.createDataFrame([(c, float(r)) for c, r in overrides.items()], RATE_SCHEMA)
-    return once.unionByName(fixed)
+    if not named:
+        return once
+    fixed = [(currency, float(rate)) for currency, rate in overrides.items()]
+    return once.unionByName(local_frame(rates.sparkSession, fixed, RATE_SCHEMA))

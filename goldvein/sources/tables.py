@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -74,17 +75,37 @@ def _new_location(table: Table) -> str:
 def _register(
     spark: SparkSession, table: Table, df: DataFrame, location: str, partition_by: Sequence[str]
 ) -> None:
-    """Point the catalog entry at a finished folder; metadata only."""
+    """Point the catalog entry at a finished folder; metadata only.
+
+    A table that keeps its columns is moved in one step.  Otherwise the entry is
+    made anew, which drops no data because the table is external.
+    """
+    if not partition_by and table_exists(spark, table):
+        old = read_table(spark, table).schema
+        same = [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in df.schema]
+        if same and not partition_columns(spark, table):
+            spark.sql(f"ALTER TABLE {table.sql_name} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(table.sql_name)
+            return
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     spark.sql(f"DROP TABLE IF EXISTS {table.sql_name}")
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(
         f"CREATE TABLE {table.sql_name} ({columns}) USING parquet {parts} LOCATION '{location}'"
     )
+
+
+def _find_partitions(spark: SparkSession, table: Table, partition_by: Sequence[str]) -> None:
     if partition_by:
         spark.sql(f"ALTER TABLE {table.sql_name} RECOVER PARTITIONS")
 
 
+def _add_columns(spark: SparkSession, table: Table, fields: Sequence[T.StructField]) -> None:
+    if fields:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {table.sql_name} ADD COLUMNS ({columns})")
+
+
 def _grouped_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather rows of a table partition, letting Spark split the large ones.
 
@@ -106,6 +127,7 @@ def overwrite_table(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(location)
     _register(spark, table, df, location, partition_by)
+    _find_partitions(spark, table, partition_by)
 
 
 def append_table(df: DataFrame, table: Table) -> None:
@@ -124,11 +146,8 @@ def append_table(df: DataFrame, table: Table) -> None:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(table_location(spark, table))
-    if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table.sql_name} ADD COLUMNS ({columns})")
-    if partition_by:
-        spark.sql(f"ALTER TABLE {table.sql_name} RECOVER PARTITIONS")
+    _add_columns(spark, table, added)
+    _find_partitions(spark, table, partition_by)
     spark.catalog.refreshTable(table.sql_name)
 
 
@@ -159,23 +178,16 @@ def replace_partitions(df: DataFrame, table: Table) -> None:
         .partitionBy(*partition_by)
         .parquet(table_location(spark, table))
     )
-    if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table.sql_name} ADD COLUMNS ({columns})")
-    spark.sql(f"ALTER TABLE {table.sql_name} RECOVER PARTITIONS")
+    _add_columns(spark, table, added)
+    _find_partitions(spark, table, partition_by)
     spark.catalog.refreshTable(table.sql_name)
 
 
 def create_empty(
     spark: SparkSession, like: DataFrame, table: Table, partition_by: Sequence[str] = ()
 ) -> None:
-    """An empty table with the columns of ``like``; reads none of its rows."""
-    empty = spark.createDataFrame([], like.schema)
-    location = _new_location(table)
-    empty.write.parquet(location) if not partition_by else (
-        empty.write.partitionBy(*partition_by).parquet(location)
-    )
-    _register(spark, table, empty, location, partition_by)
+    """An empty table with the columns of ``like``; metadata only, nothing is read."""
+    _register(spark, table, like, _new_location(table), partition_by)
 
 
 def register_views(**frames: DataFrame) -> None:
