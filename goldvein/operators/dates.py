@@ -46,6 +46,8 @@ def _calendar(bounds: DataFrame) -> DataFrame:
 
 
 def date_dimension(spark: SparkSession, first: date, last: date) -> DataFrame:
+    if (last - first).days >= MAX_DAYS:
+        raise ValueError(f"calendar over {MAX_DAYS} days")
     bounds = spark.range(1).select(F.lit(first).alias("first"), F.lit(last).alias("last"))
     return _calendar(bounds)
 
