@@ -275,6 +275,7 @@ def upsert_table(
     table_parts = partition_columns(spark, table)
     if table_parts:
         target = _touched_partitions(target, batch, table_parts)
+    small = batch.count() <= small_batch_rows
     merged, seen = _observed(
         merge_batch(
             target,
@@ -283,11 +284,12 @@ def upsert_table(
             now,
             loaded_at=loaded_at,
             compare_ignore=compare_ignore,
-            small_batch=batch.count() <= small_batch_rows,
+            small_batch=small,
         )
     )
     if table_parts:
-        replace_partitions(merged, table)
+        # a small batch leaves the target's rows where they were read
+        replace_partitions(merged, table, gather=not small)
     else:
         overwrite_table(merged, table)
     return _result(seen, folder)

@@ -106,23 +106,26 @@ def _add_columns(spark: SparkSession, table: Table, fields: Sequence[T.StructFie
         spark.sql(f"ALTER TABLE {table.sql_name} ADD COLUMNS ({columns})")
 
 
-def _grouped_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _grouped_for_write(
+    df: DataFrame, partition_by: Sequence[str], gather: bool = True
+) -> DataFrame:
     """Gather rows of a table partition, letting Spark split the large ones.
 
     Without this every task writes a file into every table partition it meets.
     The rebalance hint is adaptive: a month holding a third of the rows is
-    divided over many tasks, small months share one.
+    divided over many tasks, small months share one.  Rows that come straight
+    from a table with the same partitions are gathered already.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    return df.hint("rebalance", *partition_by) if partition_by and gather else df
 
 
 def overwrite_table(
-    df: DataFrame, table: Table, partition_by: Sequence[str] = ()
+    df: DataFrame, table: Table, partition_by: Sequence[str] = (), gather: bool = True
 ) -> None:
     """Replace the table by ``df``; its schema is replaced as well."""
     spark = df.sparkSession
     location = _new_location(table)
-    writer = _grouped_for_write(df, partition_by).write.mode("errorifexists")
+    writer = _grouped_for_write(df, partition_by, gather).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(location)
@@ -152,17 +155,21 @@ def append_table(df: DataFrame, table: Table) -> None:
 
 
 def save_table(
-    df: DataFrame, table: Table, mode: str = "overwrite", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    table: Table,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    gather: bool = True,
 ) -> None:
     if mode == "append" and table_exists(df.sparkSession, table):
         append_table(df, table)
     elif mode in ("overwrite", "append"):
-        overwrite_table(df, table, partition_by)
+        overwrite_table(df, table, partition_by, gather)
     else:
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
 
 
-def replace_partitions(df: DataFrame, table: Table) -> None:
+def replace_partitions(df: DataFrame, table: Table, gather: bool = True) -> None:
     """Replace only the table partitions that occur in ``df``; it may read the table.
 
     Spark stages the new files and moves them in when the job commits, so the
@@ -172,7 +179,7 @@ def replace_partitions(df: DataFrame, table: Table) -> None:
     partition_by = partition_columns(spark, table)
     added = [f for f in df.schema.fields if f.name not in read_table(spark, table).columns]
     (
-        _grouped_for_write(df, partition_by)
+        _grouped_for_write(df, partition_by, gather)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
