@@ -15,9 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldvein.operators.sizes import broadcast_if, counted_small
+from goldvein.operators.sizes import SMALL_ROWS, counted_small
 
 LOADED_AT = "_ingested_at"
+ROWS = "_rows"
+
+#: a key with more rows than this is not ranked by a single task
+HOT_KEY_ROWS = 1_000_000
 
 
 def null_key(keys: Sequence[str]) -> Column:
@@ -66,13 +70,39 @@ def latest_per_key(
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than one row; counts are combined before the shuffle."""
+    """Keys with more than one row, and how many; combined before the shuffle."""
     return (
         df.where(~null_key(keys))
         .groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where("_rows > 1")
-        .select(*keys)
+        .agg(F.count("*").alias(ROWS))
+        .where(F.col(ROWS) > 1)
+    )
+
+
+def _losers(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rank each key in one window; for keys of limited size."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_rank", F.row_number().over(w)).where("_rank > 1").drop("_rank")
+
+
+def _losers_of_any_size(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """Rank in two steps, so that no task has to hold all rows of a key.
+
+    First among the rows of a key that sit in the same input partition, then
+    among those partitions' winners.  A row rejected in the first step stays in
+    its small group in the second.
+    """
+    local = Window.partitionBy(*keys, "_part").orderBy(*order)
+    final = Window.partitionBy(*keys, "_group").orderBy(*order)
+    return (
+        rows.withColumn("_part", F.spark_partition_id())
+        .withColumn("_local", F.row_number().over(local))
+        .withColumn("_group", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_part")))
+        .withColumn("_final", F.row_number().over(final))
+        .where("_local > 1 OR _final > 1")
+        .drop("_part", "_local", "_group", "_final")
     )
 
 
@@ -83,38 +113,37 @@ def duplicate_rows(
     tie_breakers: Sequence[Column | str] = (),
     *,
     repeated: DataFrame | None = None,
-    small: bool | None = None,
+    small_rows: int = SMALL_ROWS,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Every row that ``latest_per_key`` leaves out, copies included.
 
-    Only rows of repeated keys are ranked.  Those keys are counted first: few of
-    them are broadcast, so that the batch itself is not shuffled.  (``repeated``
-    and ``small`` pass on what the caller has worked out before.)
+    Three plans with the same result, chosen by counting keys (``repeated``
+    passes on keys the caller has counted before):
 
-    Ranking has two steps, so no task has to hold all rows of a key: first among
-    the rows of a key that sit in the same input partition, then among those
-    partitions' winners.  A row rejected in the first step stays in its small
-    group in the second.
+    * few repeated keys are broadcast, and only their rows are shuffled;
+    * among many, only the hot keys are broadcast and ranked in two steps, the
+      others in one window;
+    * should even the hot keys be many, all rows are ranked in two steps.
     """
     if repeated is None:
         repeated = repeated_keys(df, keys)
-    if small is None:
-        small = counted_small(repeated)
+    on = list(keys)
     order = newest_first(df, keys, loaded_at, tie_breakers)
-    rows = (
-        df.where(~null_key(keys))
-        .join(broadcast_if(repeated, small), list(keys), "left_semi")
-        .withColumn("_part", F.spark_partition_id())
-    )
-    local = Window.partitionBy(*keys, "_part").orderBy(*order)
-    final = Window.partitionBy(*keys, "_group").orderBy(*order)
-    return (
-        rows.withColumn("_local", F.row_number().over(local))
-        .withColumn("_group", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_part")))
-        .withColumn("_final", F.row_number().over(final))
-        .where("_local > 1 OR _final > 1")
-        .select(*df.columns)
-    )
+    valid = df.where(~null_key(keys))
+    if counted_small(repeated, small_rows):
+        few = F.broadcast(repeated.select(*on))
+        found = _losers_of_any_size(valid.join(few, on, "left_semi"), keys, order)
+    else:
+        hot = repeated.where(F.col(ROWS) > hot_rows).select(*on)
+        if counted_small(hot, small_rows):
+            hot = F.broadcast(hot)
+            found = _losers(valid.join(hot, on, "left_anti"), keys, order).unionByName(
+                _losers_of_any_size(valid.join(hot, on, "left_semi"), keys, order)
+            )
+        else:
+            found = _losers_of_any_size(valid, keys, order)
+    return found.select(*df.columns)
 
 
 def has_rows(df: DataFrame) -> bool:

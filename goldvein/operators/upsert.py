@@ -26,7 +26,6 @@ from goldvein.operators.dedup import (
     null_key_rows,
     repeated_keys,
 )
-from goldvein.operators.sizes import SMALL_ROWS
 from goldvein.session import scratch_path
 from goldvein.sources.rejects import append_rejects, with_reason
 from goldvein.sources.tables import (
@@ -194,19 +193,13 @@ def _export_rejects(
 ) -> str | None:
     """Write duplicates and rows without a key; touch nothing if there are none."""
     folder = None
-    keys_at = scratch_path(batch.sparkSession, f"repeated-{name}")
-    repeated_keys(batch, keys).write.parquet(keys_at)
-    repeated = batch.sparkSession.read.schema(batch.select(*keys).schema).parquet(keys_at)
-    n_repeated = repeated.count()
-    if n_repeated:
-        losers = duplicate_rows(
-            batch,
-            keys,
-            loaded_at,
-            tie_breakers,
-            repeated=repeated,
-            small=n_repeated <= SMALL_ROWS,
-        )
+    spark = batch.sparkSession
+    counted = repeated_keys(batch, keys)
+    keys_at = scratch_path(spark, f"repeated-{name}")
+    counted.write.parquet(keys_at)
+    repeated = spark.read.schema(counted.schema).parquet(keys_at)
+    if has_rows(repeated):
+        losers = duplicate_rows(batch, keys, loaded_at, tie_breakers, repeated=repeated)
         folder = append_rejects(with_reason(losers, "duplicate_key"), root, name, day)
     unmatched = null_key_rows(batch, keys)
     if has_rows(unmatched):

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldvein.operators.sizes import broadcast_if, counted_small
+
 #: a lookup given as local rows may be broadcast up to this many rows
 MAX_LOOKUP_ROWS = 10_000
 
@@ -92,7 +94,8 @@ def rates_lookup(
 
     ``rates`` is a mapping or a table with the columns of ``RATE_SCHEMA``.  A
     table that quotes a currency twice is an error when it is used: such a row
-    would multiply order lines.
+    would multiply order lines.  A currency may hold most of the lines, so a
+    table counted to be small is broadcast rather than shuffled against them.
     """
     if isinstance(rates, Mapping):
         merged = {**rates, **overrides}
@@ -110,7 +113,7 @@ def rates_lookup(
             .alias("rate_eur"),
         )
     )
-    if not named:
-        return once
-    fixed = [(currency, float(rate)) for currency, rate in overrides.items()]
-    return once.unionByName(local_frame(rates.sparkSession, fixed, RATE_SCHEMA))
+    if named:
+        fixed = [(currency, float(rate)) for currency, rate in overrides.items()]
+        once = once.unionByName(local_frame(rates.sparkSession, fixed, RATE_SCHEMA))
+    return broadcast_if(once, counted_small(rates, MAX_LOOKUP_ROWS))

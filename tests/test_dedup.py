@@ -42,13 +42,15 @@ def hot_rows(n=3000):
 
 
 @pytest.mark.parametrize("partitions", [1, 7])
-@pytest.mark.parametrize("small", [True, False])
-def test_split_is_exact_with_hot_keys(frame, partitions, small):
+@pytest.mark.parametrize(
+    "limits", [{}, {"small_rows": 3, "hot_rows": 1000}, {"small_rows": 0, "hot_rows": 10}]
+)
+def test_split_is_exact_with_hot_keys(frame, partitions, limits):
     rows = hot_rows()
     df = frame(rows, SCHEMA).repartition(partitions)
     kept, rejected = brute_force(rows)
     assert rows_of(dedup.latest_per_key(df, KEYS, tie_breakers=["seq"])) == kept
-    losers = dedup.duplicate_rows(df, KEYS, tie_breakers=["seq"], small=small)
+    losers = dedup.duplicate_rows(df, KEYS, tie_breakers=["seq"], **limits)
     assert losers.columns == df.columns
     assert rows_of(losers) == rejected
     unmatched = dedup.null_key_rows(df, KEYS)
