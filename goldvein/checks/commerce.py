@@ -9,8 +9,10 @@ from goldvein.checks import standin as s
 from goldvein.checks.registry import checked
 from goldvein.functions import amounts
 from goldvein.operators.dates import date_dimension_of
+from goldvein.operators.sizes import counted_small
 from goldvein.plans import gold
 from goldvein.sources.lookups import rates_lookup, region_lookup
+from goldvein.sources.tables import register_views
 
 LINE_KEY = ("order_id", "item_seq", "product_id")
 LINE_KEY_SQL = ", ".join(LINE_KEY)
@@ -119,15 +121,35 @@ def brand_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.brand_categories(s.brands(spark, sf_dir), s.categories(spark, sf_dir))
 
 
-def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.product_dimension(
-        s.products(spark, sf_dir), s.brands(spark, sf_dir), s.categories(spark, sf_dir)
+def product_dim(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    """The product dimension, and whether it is small; it has no more brands than parts."""
+    small = counted_small(s.given(spark, sf_dir, "part"))
+    dim = gold.product_dimension(
+        s.products(spark, sf_dir),
+        s.brands(spark, sf_dir),
+        s.categories(spark, sf_dir),
+        small or None,
     )
+    return dim, small
 
 
 @checked(s.PRODUCT_DIM_SQL)
 def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.without_zone(product_dim(spark, sf_dir))
+    dim, _ = product_dim(spark, sf_dir)
+    return s.without_zone(dim)
+
+
+@checked(f"""
+SELECT c.category_name, count(*) AS n_brands
+FROM ({s.BRANDS_SQL}) AS b JOIN ({s.CATEGORIES_SQL}) AS c ON b.category_code = c.category_code
+GROUP BY c.category_name""")
+def temp_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames named for SQL."""
+    register_views(v_brands=s.brands(spark, sf_dir), v_category=s.categories(spark, sf_dir))
+    return spark.sql(
+        "SELECT c.category_name, count(*) AS n_brands FROM v_brands AS b"
+        " JOIN v_category AS c ON b.category_code = c.category_code GROUP BY c.category_name"
+    )
 
 
 @checked(f"""

@@ -18,7 +18,6 @@ from goldvein.operators.measures import (
     Dimension,
     Star,
 )
-from goldvein.operators.sizes import counted_small
 from goldvein.plans import gold, reports
 
 DAYS = ["Saturday", "Sunday"]
@@ -27,8 +26,7 @@ CATEGORY = "Economy"
 
 
 def _products(spark: SparkSession, sf_dir: str) -> Dimension:
-    small = counted_small(s.given(spark, sf_dir, "part"))
-    return reports.products_of(product_dim(spark, sf_dir), small)
+    return reports.products_of(*product_dim(spark, sf_dir))
 
 
 def _dates(spark: SparkSession, sf_dir: str) -> Dimension:

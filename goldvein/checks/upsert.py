@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from goldvein.checks import standin as s
 from goldvein.checks.registry import checked
 from goldvein.operators import upsert
+from goldvein.operators.sizes import counted_small
 
 KEYS = ("o_orderkey",)
 FIRST, SECOND, NOW = "2024-01-01 06:00:00", "2024-01-02 06:00:00", "2024-01-02 07:00:00"
@@ -73,8 +74,8 @@ def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked(_MERGED)
 def upsert_small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan that broadcasts a batch counted to be small; else the general one."""
-    small = batch(spark, sf_dir).limit(upsert.SMALL_BATCH_ROWS + 1).count()
-    return s.without_zone(merged(spark, sf_dir, small <= upsert.SMALL_BATCH_ROWS))
+    small = counted_small(batch(spark, sf_dir), upsert.SMALL_BATCH_ROWS)
+    return s.without_zone(merged(spark, sf_dir, small))
 
 
 @checked(f"SELECT _change, count(*) AS n_rows FROM ({_CLASSED}) AS c GROUP BY _change")

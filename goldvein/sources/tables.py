@@ -154,6 +154,14 @@ def append_table(df: DataFrame, table: Table) -> None:
     spark.catalog.refreshTable(table.sql_name)
 
 
+def _with_known_columns(df: DataFrame, known: T.StructType) -> DataFrame:
+    """The columns of the table first, null where ``df`` lacks them, then its own."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in known if f.name not in df.columns}
+    return df.withColumns(absent).select(
+        *[f.name for f in known], *[c for c in df.columns if c not in known.names]
+    )
+
+
 def save_table(
     df: DataFrame,
     table: Table,
@@ -161,12 +169,17 @@ def save_table(
     partition_by: Sequence[str] = (),
     gather: bool = True,
 ) -> None:
-    if mode == "append" and table_exists(df.sparkSession, table):
-        append_table(df, table)
-    elif mode in ("overwrite", "append"):
+    """Overwrite or append.  Columns are only ever added: those the rows lack are null."""
+    exists = table_exists(df.sparkSession, table)
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be overwrite or append, not {mode!r}")
+    if not exists:
         overwrite_table(df, table, partition_by, gather)
+    elif mode == "append":
+        append_table(df, table)
     else:
-        raise ValueError(f"mode must be overwrite or append, not {mode!r}")
+        known = read_table(df.sparkSession, table).schema
+        overwrite_table(_with_known_columns(df, known), table, partition_by, gather)
 
 
 def replace_partitions(df: DataFrame, table: Table, gather: bool = True) -> None:

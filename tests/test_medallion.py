@@ -3,7 +3,9 @@ from datetime import date, timedelta
 import pytest
 
 from conftest import DAY_ONE, DAY_TWO
-from goldvein.plans import gold, medallion, reports
+from goldvein.functions.cleaning import NOT_KEPT_WITH_POINT
+from goldvein.plans import gold, medallion, reports, silver
+from goldvein.sources.feeds import ORDER_ITEMS
 from goldvein.sources.tables import read_table
 
 FILES = {
@@ -120,3 +122,19 @@ def test_full_run_and_second_day(spark, house):
 def test_reconcile_fails_on_lost_rows(frame):
     with pytest.raises(ValueError, match="2 cleaned order lines but 1"):
         reports.reconcile(frame([(1,), (2,)], "i int"), frame([(1,)], "i int"))
+
+
+def test_amounts_with_fractions(frame):
+    raw = frame(
+        [("2024-01-06", "2024-01-06 10:00:00", "C", "1", "1", "1", "3", "EUR", "$10.25", "10%",
+          "0.50", "web", "")],
+        ORDER_ITEMS.schema,
+    )
+    points = {"unit_price": NOT_KEPT_WITH_POINT, "tax_amount": NOT_KEPT_WITH_POINT}
+    types = {"unit_price": "decimal(12,2)", "tax_amount": "decimal(12,2)"}
+    line = gold.line_amounts(silver.clean_order_items(raw, types=types, not_kept=points)).first()
+    assert str(line.gross_amount) == "30.75"
+    assert line.discount_amount == 4
+    assert str(line.net_amount) == "27.25"
+    whole = gold.line_amounts(silver.clean_order_items(raw)).first()
+    assert (whole.unit_price, whole.gross_amount) == (1025, 3075)

@@ -53,9 +53,11 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize(
-    "name", [n for n in sorted(QUERIES) if not n.startswith(("medallion", "upsert_table"))]
-)
+# these write tables before they give a plan
+WRITERS = ("csv_scan", "medallion", "rejects_sink", "table_append", "upsert_table", "view_create")
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith(WRITERS)])
 def test_no_plan_pairs_rows_without_a_key(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -24,7 +24,11 @@ def test_overwrite_and_append(spark, frame, zone):
     assert [f.dataType.simpleString() for f in got.schema] == ["int", "string", "double"]
     rows = {r.s: (r.i, r.d) for r in got.collect()}
     assert rows == {"a": (1, None), "b": (2, 2.5), "c": (None, None)}
-    tables.save_table(frame([("z",)], "other string"), table)
+    tables.save_table(frame([("z", "y")], "other string, s string"), table)
+    got = tables.read_table(spark, table)
+    assert got.columns == ["i", "s", "d", "other"]
+    assert [tuple(r) for r in got.collect()] == [(None, "y", None, "z")]
+    tables.overwrite_table(frame([("z",)], "other string"), table)
     assert pairs(tables.read_table(spark, table)) == [("z",)]
     with pytest.raises(ValueError):
         tables.save_table(frame([("z",)], "other string"), table, "upsert")
