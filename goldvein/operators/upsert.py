@@ -26,11 +26,13 @@ from goldvein.operators.dedup import (
     null_key_rows,
     repeated_keys,
 )
+from goldvein.operators.sizes import counted_small
 from goldvein.session import scratch_path
 from goldvein.sources.rejects import append_rejects, with_reason
 from goldvein.sources.tables import (
     Table,
     create_empty,
+    gathered,
     overwrite_table,
     partition_columns,
     read_table,
@@ -176,7 +178,11 @@ class LoadResult:
 
 
 def _observed(merged: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count the changes while the rows are written, not in a job of their own."""
+    """Count the changes while the rows are written, not in a job of their own.
+
+    To be applied after the last shuffle: there every row is counted once, also
+    when lost executors make Spark run tasks again.
+    """
     seen = Observation()
     counts = [F.count_if(F.col(CHANGE) == c).alias(c) for c in (INSERT, UPDATE, UNCHANGED)]
     return without_change(merged.observe(seen, *counts)), seen
@@ -261,30 +267,30 @@ def upsert_table(
     target = read_table(spark, table)
 
     if not has_rows(target):
-        merged, seen = _observed(first_load(newest, keys, now, loaded_at))
-        overwrite_table(merged, table, partition_by)
+        loaded = gathered(first_load(newest, keys, now, loaded_at), partition_by)
+        state, seen = _observed(loaded)
+        overwrite_table(state, table, partition_by, gather=False)
         return _result(seen, folder)
 
     table_parts = partition_columns(spark, table)
     if table_parts:
         target = _touched_partitions(target, batch, table_parts)
-    small = batch.count() <= small_batch_rows
-    merged, seen = _observed(
-        merge_batch(
-            target,
-            newest,
-            keys,
-            now,
-            loaded_at=loaded_at,
-            compare_ignore=compare_ignore,
-            small_batch=small,
-        )
+    small = counted_small(batch, small_batch_rows)
+    merged = merge_batch(
+        target,
+        newest,
+        keys,
+        now,
+        loaded_at=loaded_at,
+        compare_ignore=compare_ignore,
+        small_batch=small,
     )
+    # a small batch leaves the target's rows where they were read
+    state, seen = _observed(gathered(merged, table_parts, gather=not small))
     if table_parts:
-        # a small batch leaves the target's rows where they were read
-        replace_partitions(merged, table, gather=not small)
+        replace_partitions(state, table, gather=False)
     else:
-        overwrite_table(merged, table)
+        overwrite_table(state, table)
     return _result(seen, folder)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from goldvein.functions.amounts import month_key
 from goldvein.operators.dates import date_dimension_of
+from goldvein.operators.measures import Star
 from goldvein.operators.upsert import LoadResult, upsert_table
 from goldvein.plans import gold, reports, silver
 from goldvein.sources import feeds
@@ -25,6 +26,10 @@ from goldvein.sources.tables import (
 )
 
 
+#: the month the fact is partitioned by, beside its own columns
+FACT_MONTH = "date_month"
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     """The three zones, where files land and where rejects go."""
@@ -138,14 +143,23 @@ def publish(
 
     items = cleaned(silver.ORDER_ITEMS)
     fact = gold.order_line_fact(items, rates_lookup(spark, rates), direction=direction)
-    by_month = fact.withColumn("date_month", month_key(F.col("transaction_date")))
+    by_month = fact.withColumn(FACT_MONTH, month_key(F.col("transaction_date")))
     # the cleaned lines lie by month already, so no shuffle is needed to write them so
-    save_table(by_month, house.fact, partition_by=["date_month"], gather=False)
+    save_table(by_month, house.fact, partition_by=[FACT_MONTH], gather=False)
     save_table(date_dimension_of(items, "dt"), house.dates)
     publish_view(spark, house.view, gold.wide_view_sql(house.fact, house.products, house.dates))
     reports.reconcile(items, read_table(spark, house.fact))
 
 
+def star(spark: SparkSession, house: Lakehouse) -> Star:
+    """The published tables, ready for the reports."""
+    return reports.sales_star(
+        read_table(spark, house.fact),
+        reports.products_of(read_table(spark, house.products)),
+        reports.dates_of(read_table(spark, house.dates), FACT_MONTH),
+    )
+
+
 def run(
     spark: SparkSession,
     house: Lakehouse,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +25,14 @@ from goldvein.plans.gold import FACT_COLUMNS, VIEW_DATE_COLUMNS, VIEW_PRODUCT_CO
 Filters = Mapping[str, object] | None
 
 
-def _in_years(wanted) -> Column:
-    """A filter on years as ranges of the fact's date key, which the scan can skip by."""
-    years = wanted if isinstance(wanted, (list, tuple, set, frozenset)) else [wanted]
-    spans = [F.col("date_id").between(y * 10000 + 101, y * 10000 + 1231) for y in years]
-    test = spans[0]
-    for span in spans[1:]:
-        test = test | span
+def _in_years(column: str, first: int, last: int, scale: int) -> Callable[[object], Column]:
+    """A filter on years as ranges of a numeric day or month key of the fact."""
+
+    def test(wanted) -> Column:
+        years = wanted if isinstance(wanted, (list, tuple, set, frozenset)) else [wanted]
+        spans = [F.col(column).between(y * scale + first, y * scale + last) for y in years]
+        return reduce(lambda a, b: a | b, spans)
+
     return test
 
 
@@ -38,10 +40,20 @@ def products_of(products: DataFrame, small: bool | None = None) -> Dimension:
     return dimension(products, "product_id", "product_id", VIEW_PRODUCT_COLUMNS, small=small)
 
 
-def dates_of(dates: DataFrame) -> Dimension:
-    """Small by construction: the calendar refuses to grow beyond its limit."""
+def dates_of(dates: DataFrame, month_column: str | None = None) -> Dimension:
+    """Small by construction: the calendar refuses to grow beyond its limit.
+
+    A filter on years also reaches the fact: as a range of its date key, by which
+    the scan skips row groups, or of ``month_column`` if the fact is partitioned by
+    that, so that other months are not even listed.
+    """
+    in_years = (
+        _in_years(month_column, 1, 12, 100)
+        if month_column
+        else _in_years("date_id", 101, 1231, 10000)
+    )
     return dimension(
-        dates, "date_id", "date_key", VIEW_DATE_COLUMNS, small=True, implied={"year": _in_years}
+        dates, "date_id", "date_key", VIEW_DATE_COLUMNS, small=True, implied={"year": in_years}
     )
 
 

@@ -106,9 +106,7 @@ def _add_columns(spark: SparkSession, table: Table, fields: Sequence[T.StructFie
         spark.sql(f"ALTER TABLE {table.sql_name} ADD COLUMNS ({columns})")
 
 
-def _grouped_for_write(
-    df: DataFrame, partition_by: Sequence[str], gather: bool = True
-) -> DataFrame:
+def gathered(df: DataFrame, partition_by: Sequence[str], gather: bool = True) -> DataFrame:
     """Gather rows of a table partition, letting Spark split the large ones.
 
     Without this every task writes a file into every table partition it meets.
@@ -125,7 +123,7 @@ def overwrite_table(
     """Replace the table by ``df``; its schema is replaced as well."""
     spark = df.sparkSession
     location = _new_location(table)
-    writer = _grouped_for_write(df, partition_by, gather).write.mode("errorifexists")
+    writer = gathered(df, partition_by, gather).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(location)
@@ -145,7 +143,7 @@ def append_table(df: DataFrame, table: Table) -> None:
         if f.name in df.columns
     }
     partition_by = partition_columns(spark, table)
-    writer = _grouped_for_write(df.withColumns(same_type), partition_by).write.mode("append")
+    writer = gathered(df.withColumns(same_type), partition_by).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(table_location(spark, table))
@@ -192,7 +190,7 @@ def replace_partitions(df: DataFrame, table: Table, gather: bool = True) -> None
     partition_by = partition_columns(spark, table)
     added = [f for f in df.schema.fields if f.name not in read_table(spark, table).columns]
     (
-        _grouped_for_write(df, partition_by, gather)
+        gathered(df, partition_by, gather)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

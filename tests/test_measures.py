@@ -35,7 +35,7 @@ def star(frame, request):
                 products, "product", "id", ["category", "weight"], small=request.param == "small"
             ),
             dimension(days, "date_id", "date_key", ["year", "day"], small=True,
-                      implied={"year": reports._in_years}),
+                      implied=reports.dates_of(days).implied),
         ),
         {"is_web": F.col("channel") == "web"},
     )

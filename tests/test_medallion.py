@@ -91,14 +91,16 @@ def test_full_run_and_second_day(spark, house):
         10, "Saturday", True,
     )
 
-    star = reports.sales_star(
-        read_table(spark, house.fact),
-        reports.products_of(read_table(spark, house.products)),
-        reports.dates_of(read_table(spark, house.dates)),
-    )
+    star = medallion.star(spark, house)
     sales = {r.category_name: r.total_sales for r in reports.sales_by_category(star).collect()}
     assert sales == {"Toys": 190, gold.UNKNOWN: 51}
 
+    by_channel = reports.sales_by_channel(star, filters={"year": [2023, 2024]})
+    assert {r.channel: r.total_sales for r in by_channel.collect()} == {"web": 190, "app": 51}
+    plan = by_channel._jdf.queryExecution().executedPlan().toString()
+    pruned = plan[plan.index("PartitionFilters"):]
+    assert "202401" in pruned and "202312" in pruned
+
     # the same files again, under another name and a day later: nothing changes
     again = medallion.run(spark, house, {"USD": 1.1}, DAY_TWO)
     assert {(r.inserted, r.updated) for r in again.values()} == {(0, 0)}
