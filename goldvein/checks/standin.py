@@ -281,15 +281,17 @@ FROM customer JOIN (VALUES {_PLACES_SQL}) AS places(i, country, state)
   ON c_custkey % {len(places())} = i"""
 
 PRODUCT_DIM_SQL = f"""
-SELECT p.product_id, p.sku, p.category_code,
-  COALESCE(bc.category_name, 'Not Available') AS category_name, p.brand_code,
-  COALESCE(bc.brand_name, 'Not Available') AS brand_name, p.color, p.size, p.material,
-  p.weight_grams, p.length_cm, p.width_cm, p.height_cm, p.rating_count, p._source_file,
-  p.date_creation, p.date_modification
-FROM ({PRODUCTS_SQL}) AS p LEFT JOIN (
-  SELECT b.brand_code, b.brand_name, c.category_name
-  FROM ({BRANDS_SQL}) AS b JOIN ({CATEGORIES_SQL}) AS c ON b.category_code = c.category_code
-) AS bc ON p.brand_code = bc.brand_code"""
+SELECT product_id, sku, product.category_code,
+  CASE WHEN named.brand_code IS NULL THEN 'Not Available' ELSE category_name END AS category_name,
+  product.brand_code,
+  CASE WHEN named.brand_code IS NULL THEN 'Not Available' ELSE brand_name END AS brand_name,
+  color, size, material, weight_grams, length_cm, width_cm, height_cm, rating_count,
+  _source_file, date_creation, date_modification
+FROM ({PRODUCTS_SQL}) AS product
+LEFT JOIN (
+  SELECT brand_code, brand_name, category_name
+  FROM ({BRANDS_SQL}) AS brand JOIN ({CATEGORIES_SQL}) AS category USING (category_code)
+) AS named ON product.brand_code = named.brand_code"""
 
 DATE_DIM_SQL = """
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS date,
@@ -331,12 +333,12 @@ LEFT JOIN ({RATES_SQL}) AS r ON a.unit_price_currency = r.unit_price_currency"""
 
 def wide_sql(items: str = ITEMS_SQL) -> str:
     return f"""
-SELECT oi.*, CAST(hour(oi.transaction_ts) AS INTEGER) AS hour_of_day, p.category_code,
-  p.category_name, p.brand_code, p.brand_name, p.color, p.size, p.material, p.rating_count,
-  d.date, d.year, d.is_weekend, d.month, d.month_name, d.day_name, d.quarter
-FROM ({fact_sql(items)}) AS oi
-LEFT JOIN ({PRODUCT_DIM_SQL}) AS p ON p.product_id = oi.product_id
-LEFT JOIN ({DATE_DIM_SQL}) AS d ON d.date_key = oi.date_id"""
+SELECT fact.*, CAST(hour(transaction_ts) AS INTEGER) AS hour_of_day,
+  category_code, category_name, brand_code, brand_name, color, size, material, rating_count,
+  day.* EXCLUDE (date_key)
+FROM ({fact_sql(items)}) AS fact
+LEFT JOIN ({PRODUCT_DIM_SQL}) AS product ON fact.product_id = product.product_id
+LEFT JOIN ({DATE_DIM_SQL}) AS day ON date_id = date_key"""
 
 
 def without_zone(df: DataFrame) -> DataFrame:

@@ -49,24 +49,43 @@ def newest_first(
     return [F.col(loaded_at).desc(), *ties, *rest]
 
 
+def _winners(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key.
+
+    Filtering the row number to 1 lets Spark drop the losers inside each map
+    task, so a key with very many rows sends one row per task to the shuffle.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return (
+        rows.withColumn("_row_num", F.row_number().over(w))
+        .where("_row_num = 1")
+        .drop("_row_num")
+    )
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     loaded_at: str = LOADED_AT,
     tie_breakers: Sequence[Column | str] = (),
+    *,
+    repeated: DataFrame | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """The winning row of every key.
 
-    Filtering the row number to 1 lets Spark drop the losers inside each map
-    task, so a key with very many rows sends one row per task to the shuffle.
+    A caller that has the repeated keys at hand can pass them: if they are few,
+    all other rows go through without a shuffle.
     """
-    w = Window.partitionBy(*keys).orderBy(*newest_first(df, keys, loaded_at, tie_breakers))
-    return (
-        df.where(~null_key(keys))
-        .withColumn("_row_num", F.row_number().over(w))
-        .where("_row_num = 1")
-        .drop("_row_num")
-    )
+    on = list(keys)
+    order = newest_first(df, keys, loaded_at, tie_breakers)
+    valid = df.where(~null_key(keys))
+    if repeated is None or not counted_small(repeated, small_rows):
+        return _winners(valid, keys, order)
+    few = F.broadcast(repeated.select(*on))
+    single = valid.join(few, on, "left_anti")
+    ranked = _winners(valid.join(few, on, "left_semi"), keys, order)
+    return single.unionByName(ranked).select(*df.columns)
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

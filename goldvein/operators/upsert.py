@@ -9,7 +9,7 @@ the target.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
@@ -188,24 +188,27 @@ def _observed(merged: DataFrame) -> tuple[DataFrame, Observation]:
     return without_change(merged.observe(seen, *counts)), seen
 
 
+def _count_repeated(batch: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The repeated keys of a batch, written down because several steps look at them."""
+    counted = repeated_keys(batch, keys)
+    path = scratch_path(batch.sparkSession, f"repeated-{name}")
+    counted.write.parquet(path)
+    return batch.sparkSession.read.schema(counted.schema).parquet(path)
+
+
 def _export_rejects(
     batch: DataFrame,
+    repeated: DataFrame,
     keys: Sequence[str],
-    tie_breakers: Sequence[Column | str],
-    loaded_at: str,
+    order: Mapping[str, object],
     root: str,
     name: str,
     day: date,
 ) -> str | None:
     """Write duplicates and rows without a key; touch nothing if there are none."""
     folder = None
-    spark = batch.sparkSession
-    counted = repeated_keys(batch, keys)
-    keys_at = scratch_path(spark, f"repeated-{name}")
-    counted.write.parquet(keys_at)
-    repeated = spark.read.schema(counted.schema).parquet(keys_at)
     if has_rows(repeated):
-        losers = duplicate_rows(batch, keys, loaded_at, tie_breakers, repeated=repeated)
+        losers = duplicate_rows(batch, keys, repeated=repeated, **order)
         folder = append_rejects(with_reason(losers, "duplicate_key"), root, name, day)
     unmatched = null_key_rows(batch, keys)
     if has_rows(unmatched):
@@ -260,10 +263,12 @@ def upsert_table(
         empty_state = without_change(first_load(batch, keys, now, loaded_at))
         create_empty(spark, empty_state, table, partition_by)
 
+    order = {"loaded_at": loaded_at, "tie_breakers": tie_breakers}
+    repeated = _count_repeated(batch, keys, table.name)
     folder = _export_rejects(
-        batch, keys, tie_breakers, loaded_at, rejects_root, table.name, batch_time.date()
+        batch, repeated, keys, order, rejects_root, table.name, batch_time.date()
     )
-    newest = latest_per_key(batch, keys, loaded_at, tie_breakers)
+    newest = latest_per_key(batch, keys, repeated=repeated, **order)
     target = read_table(spark, table)
 
     if not has_rows(target):

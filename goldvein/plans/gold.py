@@ -11,6 +11,7 @@ from goldvein.operators.dates import DATE_COLUMNS
 from goldvein.operators.sizes import broadcast_if, counted_small
 from goldvein.sources.tables import Table
 
+# Stand-ins for unmatched rows, and the columns of the published tables.
 UNKNOWN = "Not Available"
 OTHER_REGION = "Other"
 
@@ -131,12 +132,12 @@ def order_line_fact(
 
 def wide_view_sql(fact: Table, products: Table, dates: Table) -> str:
     """The reporting view: every fact column, then product and date attributes."""
-    columns = [f"oi.`{c}`" for c in FACT_COLUMNS]
-    columns.append("extract(hour FROM oi.transaction_ts) AS hour_of_day")
-    columns += [f"p.`{c}`" for c in VIEW_PRODUCT_COLUMNS]
-    columns += [f"d.`{c}`" for c in VIEW_DATE_COLUMNS]
+    columns = [f"fact.`{c}`" for c in FACT_COLUMNS]
+    columns.append("hour(fact.transaction_ts) AS hour_of_day")
+    columns += [f"product.`{c}`" for c in VIEW_PRODUCT_COLUMNS]
+    columns += [f"day.`{c}`" for c in VIEW_DATE_COLUMNS]
     return (
-        f"SELECT {', '.join(columns)} FROM {fact.sql_name} AS oi"
-        f" LEFT JOIN {products.sql_name} AS p ON p.product_id = oi.product_id"
-        f" LEFT JOIN {dates.sql_name} AS d ON d.date_key = oi.date_id"
+        f"SELECT {', '.join(columns)} FROM {fact.sql_name} AS fact"
+        f" LEFT JOIN {products.sql_name} AS product ON fact.product_id = product.product_id"
+        f" LEFT JOIN {dates.sql_name} AS day ON fact.date_id = day.date_key"
     )

@@ -61,6 +61,7 @@ class SilverTable:
     partition_by: tuple[str, ...] = ()
 
 
+# Table names and keys.
 BRANDS = SilverTable("slv_ecommerce_brands", ("brand_code",))
 PRODUCTS = SilverTable("slv_ecommerce_products", ("product_id",))
 CATEGORIES = SilverTable("slv_ecommerce_categories", ("category_code",))

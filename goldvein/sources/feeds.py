@@ -19,6 +19,7 @@ class Feed:
     separator: str = ","
 
 
+# Folder, columns and types of each feed.
 BRANDS = Feed(
     "ecommerce_brands",
     "brands",

@@ -50,6 +50,9 @@ def test_split_is_exact_with_hot_keys(frame, partitions, limits):
     df = frame(rows, SCHEMA).repartition(partitions)
     kept, rejected = brute_force(rows)
     assert rows_of(dedup.latest_per_key(df, KEYS, tie_breakers=["seq"])) == kept
+    known = {"repeated": dedup.repeated_keys(df, KEYS), "small_rows": limits.get("small_rows", 9999)}
+    kept_otherwise = dedup.latest_per_key(df, KEYS, tie_breakers=["seq"], **known)
+    assert kept_otherwise.columns == df.columns and rows_of(kept_otherwise) == kept
     losers = dedup.duplicate_rows(df, KEYS, tie_breakers=["seq"], **limits)
     assert losers.columns == df.columns
     assert rows_of(losers) == rejected
@@ -71,6 +74,8 @@ def test_newest_wins_then_tie_breaker(frame):
 
 def test_no_duplicates(frame):
     df = frame([(1, "a", 1, "x", DAY_ONE), (1, "b", 1, "x", DAY_ONE)], SCHEMA)
+    repeated = dedup.repeated_keys(df, KEYS)
+    assert rows_of(dedup.latest_per_key(df, KEYS, repeated=repeated)) == rows_of(df)
     assert not dedup.has_rows(dedup.repeated_keys(df, KEYS))
     assert not dedup.has_rows(dedup.duplicate_rows(df, KEYS))
 
