@@ -120,11 +120,14 @@ def merge_batch(
     loaded_at: str = LOADED_AT,
     compare_ignore: Iterable[str] = TECHNICAL_COLUMNS,
     small_batch: bool = False,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """The target after the batch, plus ``_change`` per row.
 
     Both sides have at most one row per key and no null key, so no key is hot.
-    ``small_batch`` says that the batch is known to be small enough to broadcast.
+    ``small_batch`` says that the batch is known to be small enough to broadcast;
+    its new rows are then gathered by the partitions they will be written to, the
+    target's rows lie there already.
     """
     require_columns(batch, [*keys, loaded_at])
     t, s = _prefixed(target, keys, "_t_"), _prefixed(batch, keys, "_s_")
@@ -142,7 +145,7 @@ def merge_batch(
         if c not in keys
     }
     fresh = fresh.withColumns({**nothing, "_t_here": F.lit(None).cast("boolean")})
-    return present.unionByName(_merged_row(fresh, *finish))
+    return present.unionByName(gathered(_merged_row(fresh, *finish), partition_by))
 
 
 def first_load(
@@ -220,12 +223,18 @@ def _touched_partitions(target: DataFrame, batch: DataFrame, parts: Sequence[str
     """The table partitions a batch falls into.
 
     Few values become a literal filter, so the other partitions are never listed
-    or read; beyond the limit it is a join.
+    or read; beyond the limit it is a join.  Null is a partition like any other.
     """
     touched = batch.select(*parts).distinct()
     values = touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()
     if len(values) > MAX_TOUCHED_PARTITIONS:
-        return target.join(touched, list(parts), "left_semi").select(*target.columns)
+        touched = touched.select(*[F.col(c).alias(f"_touched_{c}") for c in parts])
+        same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in parts]
+        return target.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
+    if len(parts) == 1:
+        named = F.col(parts[0]).isin([row[0] for row in values if row[0] is not None])
+        has_null = any(row[0] is None for row in values)
+        return target.where(named | F.col(parts[0]).isNull() if has_null else named)
     hits = [
         reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in parts])
         for row in values
@@ -289,8 +298,8 @@ def upsert_table(
         loaded_at=loaded_at,
         compare_ignore=compare_ignore,
         small_batch=small,
+        partition_by=table_parts,
     )
-    # a small batch leaves the target's rows where they were read
     state, seen = _observed(gathered(merged, table_parts, gather=not small))
     if table_parts:
         replace_partitions(state, table, gather=False)

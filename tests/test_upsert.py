@@ -158,6 +158,22 @@ def test_only_touched_partitions_are_written(
     }
 
 
+@pytest.mark.parametrize("named", [0, 100])
+@pytest.mark.parametrize("parts", [("month",), ("month", "kind")])
+def test_null_is_a_partition_too(spark, frame, zone, tmp_path, monkeypatch, named, parts):
+    monkeypatch.setattr(upsert, "MAX_TOUCHED_PARTITIONS", named)
+    table = zone.table("n")
+    options = {"rejects_root": str(tmp_path / "rejects"), "partition_by": parts}
+    schema = "k int, v string, month int, kind string, _ingested_at timestamp"
+    first = [(1, "a", None, "x", DAY_ONE), (2, "b", None, "x", DAY_ONE), (3, "c", 1, "y", DAY_ONE)]
+    upsert.upsert_table(frame(first, schema), table, ["k"], batch_time=DAY_ONE, **options)
+    second = [(2, "B", None, "x", DAY_TWO), (4, "d", None, "x", DAY_TWO)]
+    result = upsert.upsert_table(frame(second, schema), table, ["k"], batch_time=NOW, **options)
+    assert (result.inserted, result.updated) == (1, 1)
+    got = {r.k: r.v for r in read_table(spark, table).collect()}
+    assert got == {1: "a", 2: "B", 3: "c", 4: "d"}
+
+
 def test_an_empty_batch_creates_the_table(spark, frame, zone, tmp_path):
     table = zone.table("nothing")
     result = upsert.upsert_table(
