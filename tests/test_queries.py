@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from goldvein.checks import ORACLE_SQL as ORACLE
+from goldvein.checks import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
 ).split()
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,7 @@ def comparable(table, columns):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
