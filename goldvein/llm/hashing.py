@@ -145,5 +145,5 @@ def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
             acc = h[w.first[short]].copy()
             for j in range(1, k):
                 acc = acc * _STEP + h[w.first[short] + j]
-            out[at[short]] = mix(mix(acc) + np.uint64(k) * _A)
+            out[at[short]] = mix(mix(acc) ^ mix(np.full(1, k, np.uint64)))
     return out, at

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldvein.llm import langid
+from goldvein.llm import debruijn, hyperminhash, langid
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -35,3 +35,14 @@ def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.select(
         "doc_id", (~in_training()).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
     )
+
+
+@query
+def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
+@query
+def op6_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = debruijn.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
