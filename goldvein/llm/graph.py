@@ -50,6 +50,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     now = _kept(start, "edges")
     before, state = None, _state(now)
+    if not state[0]:
+        before = state
     while state != before:
         now = _kept(_small_star(_large_star(now)), "edges")
         before, state = state, _state(now)

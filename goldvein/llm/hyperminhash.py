@@ -18,6 +18,9 @@ equal and a register of two sets agrees about as often as their Jaccard index.
    link between components is lost, while a bucket whose members are already one
    component costs nothing more.
 
+Sizes alone rule out pairs whose larger set is more than 100 / percent times the
+smaller one.  Two short texts are compared by their sets at once, not by an estimate.
+
 Edge cases: texts that are null or have no words have no shingles and link with
 nothing.  A text shorter than a shingle has one shingle, all its words.  Rows with a
 null id link with nothing.  Rows with the same id are one document to the links.
@@ -43,7 +46,7 @@ ROWS, BANDS = 5, 25  # a pair at 0.8 shares no band with a chance below 1e-4
 SHORT = 30  # up to so many shingles a text also has prefix keys
 MARGIN = 4.0  # standard deviations below the threshold that an estimate may be
 BLOCK = 1000  # members of a bucket compared at once
-PARTNERS = 8  # of a member in a block and a round; later rounds take the rest
+PARTNERS = 64  # of a member in a block and a round; later rounds take the rest
 MEMBERS = 2000  # texts compared with one copy of a leader's text
 
 _EDGE = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(64 - BITS)
@@ -83,15 +86,15 @@ def registers(least: np.ndarray, full: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(docs: DataFrame, n: int, lower: bool, percent: int) -> DataFrame:
-    """(id, n_shingles, set_a, set_b, registers, short_keys) of rows (id, text)."""
+def sketches(docs: DataFrame, n: int, lower: bool) -> DataFrame:
+    """(id, n_shingles, set_a, set_b, registers, short) of rows (id, text)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = len(batch)
             size, a, b = np.zeros(rows, np.int64), np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
             least, full = np.zeros((rows, BUCKETS), np.uint64), np.zeros((rows, BUCKETS), bool)
-            keys: list[list[int] | None] = [None] * rows
+            keys: list[bytes | None] = [None] * rows
             for i, s in enumerate(shingle_sets(batch.column(1), n, lower)):
                 if not len(s):
                     continue
@@ -100,7 +103,7 @@ def sketches(docs: DataFrame, n: int, lower: bool, percent: int) -> DataFrame:
                 least[i] = s[np.minimum(np.searchsorted(s, _EDGE), len(s) - 1)]
                 full[i] = (least[i] >> np.uint64(64 - BITS)) == _OWN
                 if len(s) <= SHORT:
-                    keys[i] = mix(s[: len(s) - (percent * len(s) + 99) // 100 + 1]).view(np.int64).tolist()
+                    keys[i] = s.tobytes()
             packed = np.ascontiguousarray(registers(least, full))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -109,13 +112,13 @@ def sketches(docs: DataFrame, n: int, lower: bool, percent: int) -> DataFrame:
                     pa.array(a.view(np.int64)),
                     pa.array(b.view(np.int64)),
                     pa.array([r.tobytes() for r in packed], pa.binary()),
-                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(keys, pa.binary()),
                 ],
-                names=["id", "n_shingles", "set_a", "set_b", "registers", "short_keys"],
+                names=["id", "n_shingles", "set_a", "set_b", "registers", "short"],
             )
 
     return docs.mapInArrow(
-        task, "id long, n_shingles long, set_a long, set_b long, registers binary, short_keys array<long>"
+        task, "id long, n_shingles long, set_a long, set_b long, registers binary, short binary"
     )
 
 
@@ -123,8 +126,16 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), BUCKETS)
 
 
-def bands(nodes: DataFrame) -> DataFrame:
-    """(key, id) for each band of a node's registers and each of its short keys."""
+def _short(raw: bytes | None) -> np.ndarray | None:
+    return None if raw is None else np.frombuffer(raw, np.uint64)
+
+
+def bands(nodes: DataFrame, percent: int) -> DataFrame:
+    """(key, id) for each band of a node's registers, and for a short text's first shingles.
+
+    Two sets that reach the threshold share one of their first shingles in hash
+    order, if each gives all but the share that may differ.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,8 +144,8 @@ def bands(nodes: DataFrame) -> DataFrame:
             key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(32), part.shape[:2]).copy()
             for r in range(ROWS):
                 key = mix(key + part[:, :, r])
-            lists = batch.column(2).to_pylist()
-            extra = [(k, i) for i, ks in zip(ids, lists) if ks for k in ks]
+            sets = [(i, _short(raw)) for i, raw in zip(ids, batch.column(2).to_pylist()) if raw]
+            extra = [(k, i) for i, s in sets for k in mix(s[: len(s) - (percent * len(s) + 99) // 100 + 1]).view(np.int64)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "key": np.concatenate([key.ravel().view(np.int64), np.array([k for k, _ in extra], np.int64)]),
@@ -142,7 +153,7 @@ def bands(nodes: DataFrame) -> DataFrame:
                 }
             )
 
-    return nodes.select("id", "registers", "short_keys").mapInArrow(task, "key long, id long")
+    return nodes.select("id", "registers", "short").mapInArrow(task, "key long, id long")
 
 
 def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -150,27 +161,47 @@ def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x == y).mean(axis=-1) - _CHANCE) / (1 - _CHANCE)
 
 
-def least_estimate(percent: int) -> float:
-    t = percent / 100
-    return t - MARGIN * (t * (1 - t) / BUCKETS) ** 0.5
+def may_link(x: dict, y: dict, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a node x and many nodes y: which may reach the threshold, and the estimates.
+
+    x and y have n_shingles, registers and short; those of y are arrays, short a list.
+    """
+    t, n = percent / 100, y["n_shingles"]
+    small, large = np.minimum(n, x["n_shingles"]), np.maximum(n, x["n_shingles"])
+    near = estimate(x["registers"], y["registers"])
+    least = t - MARGIN * (t * (1 - t) / np.minimum(BUCKETS, large)) ** 0.5
+    may = 100 * small >= percent * large
+    if x["short"] is None:
+        return may & (near >= least), near
+    for k in np.flatnonzero(may):
+        if (other := y["short"][k]) is not None:
+            shared = len(np.intersect1d(x["short"], other, assume_unique=True))
+            near[k] = shared / (len(x["short"]) + len(other) - shared)
+            may[k] = 100 * shared >= percent * (len(x["short"]) + len(other) - shared)
+        else:
+            may[k] = near[k] >= least[k]
+    return may, near
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that the sketches do not rule out; short texts always stay."""
-    least = least_estimate(percent)
+    """The pairs (a, b) that sizes and sketches do not rule out."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                near = estimate(_unpacked(batch.column(2)), _unpacked(batch.column(3))) >= least
-                near |= batch.column(4).to_numpy(zero_copy_only=False) <= SHORT
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near))
-
-    sketch = nodes.select("id", F.col("registers").alias("r"), "n_shingles")
-    both = pairs.join(sketch.select(F.col("id").alias("a"), F.col("r").alias("x"), F.col("n_shingles").alias("n")), "a").join(
-        sketch.select(F.col("id").alias("b"), F.col("r").alias("y"), F.col("n_shingles").alias("m")), "b"
-    )
-    return both.select("a", "b", "x", "y", F.least("n", "m")).mapInArrow(task, "a long, b long")
+            if not len(batch):
+                continue
+            n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
+            short, other = (batch.column(i).to_pylist() for i in (6, 7))
+            x, y = _unpacked(batch.column(2)), _unpacked(batch.column(3))
+            may = np.zeros(len(batch), bool)
+            for i in np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m)):
+                one = {"n_shingles": n[i], "registers": x[i], "short": _short(short[i])}
+                may[i] = may_link(one, {"n_shingles": m[i : i + 1], "registers": y[i : i + 1], "short": [_short(other[i])]}, percent)[0][0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(may))
+
+    sketch = nodes.select("id", F.col("registers").alias("r"), F.col("n_shingles").alias("n"), F.col("short").alias("s"))
+    both = pairs.join(sketch.toDF("a", "x", "n", "s"), "a").join(sketch.toDF("b", "y", "m", "o"), "b")
+    return both.select("a", "b", "x", "y", "n", "m", "s", "o").mapInArrow(task, "a long, b long")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, percent: int) -> DataFrame:
@@ -202,26 +233,30 @@ def confirm(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, percent: in
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", "role").mapInArrow(task, "a long, b long, linked boolean")
 
 
+def still_mixed(keys: DataFrame, label: DataFrame) -> DataFrame:
+    """(key, id) of the buckets whose members are in several components."""
+    named = keys.select("key", "id").join(label, "id")
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return named.join(mixed.select("key"), "key").select("key", "id")
+
+
 def untested(keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     """Likely pairs (a, b) of one bucket in different components that are not tested yet.
 
-    Only buckets with several components are looked at, and in blocks of about
-    `BLOCK` members, so no task holds a whole large bucket.
+    Buckets are looked at in blocks of about `BLOCK` members, so no task holds a
+    whole large bucket.
     """
-    least = least_estimate(percent)
-    named = keys.join(label, "id")
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
-    mixed = mixed.where("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    parts = keys.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     done = tested.select(F.col("a").alias("id"), F.col("b").alias("o")).unionByName(tested.select(F.col("b").alias("id"), F.col("a").alias("o")))
     done = done.groupBy("id").agg(F.collect_set("o").alias("done"))
+    own = nodes.select("id", "registers", "n_shingles", "short").join(label, "id").join(done, "id", "left")
     rows = (
-        named.join(mixed, "key")
+        keys.join(parts, "key")
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component")
-        .join(nodes.select("id", "registers", "n_shingles"), "id")
-        .join(done, "id", "left")
-        .select("key", "i", "j", "own", "id", "component", "registers", "n_shingles", "done")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id")
+        .join(own, "id")
+        .select("key", "i", "j", "own", "id", "component", "registers", "n_shingles", "short", "done")
     )
 
     def pairs(group: list[dict]) -> Iterator[tuple[int, int]]:
@@ -229,14 +264,20 @@ def untested(keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFr
         right = [r for r in group if r["own"] == r["j"]]
         if not left or not right:
             return
-        table = np.frombuffer(b"".join(r["registers"] for r in right), np.uint16).reshape(-1, BUCKETS)
+        table = {
+            "registers": np.frombuffer(b"".join(r["registers"] for r in right), np.uint16).reshape(-1, BUCKETS),
+            "n_shingles": np.array([r["n_shingles"] for r in right]),
+        }
+        short = [_short(r["short"]) for r in right]
         ids, comp = np.array([r["id"] for r in right]), np.array([r["component"] for r in right])
-        short = np.array([r["n_shingles"] for r in right]) <= SHORT
         for r in left:
-            near = estimate(np.frombuffer(r["registers"], np.uint16), table)
-            may = (near >= least) | short | (r["n_shingles"] <= SHORT)
-            at = np.flatnonzero(may & (comp != r["component"]) & ~np.isin(ids, r["done"] or []))
-            for k in at[np.argsort(-near[at], kind="stable")][:PARTNERS]:
+            at = np.flatnonzero((comp != r["component"]) & ~np.isin(ids, r["done"] or []))
+            if not len(at):
+                continue
+            x = {"registers": np.frombuffer(r["registers"], np.uint16), "n_shingles": r["n_shingles"], "short": _short(r["short"])}
+            may, near = may_link(x, {k: v[at] for k, v in table.items()} | {"short": [short[k] for k in at]}, percent)
+            best = at[may][np.argsort(-near[may], kind="stable")][:PARTNERS]
+            for k in best.tolist():
                 yield min(r["id"], int(ids[k])), max(r["id"], int(ids[k]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,6 +303,14 @@ def untested(keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFr
     return spread.mapInArrow(task, "a long, b long").distinct()
 
 
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) after more links (a, b): components of components."""
+    ends = links.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b")
+    joined = components(ends.select("x", "y"), "x", "y")
+    moved = label.join(joined, label["component"] == joined["node"], "left")
+    return moved.select("id", F.coalesce(joined["component"], label["component"]).alias("component"))
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, lower: bool = True, percent: int = 80
 ) -> DataFrame:
@@ -280,7 +329,7 @@ def near_duplicates(
         return spark.read.parquet(path)
 
     plain = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    sketch = keep(sketches(plain, shingle, lower, percent), "sketches")
+    sketch = keep(sketches(plain, shingle, lower), "sketches")
     of = ["set_a", "set_b", "n_shingles"]
     live = sketch.where("n_shingles > 0 and id is not null")
     classes = live.groupBy(*of).agg(F.min("id").alias("class_id"))
@@ -289,21 +338,22 @@ def near_duplicates(
     nodes = sketch.drop("set_a", "set_b").join(member.where("id = class_id").select("id").distinct(), "id").dropDuplicates(["id"])
     nodes = keep(nodes, "nodes")
 
-    keys = bands(nodes)
+    keys = bands(nodes, percent)
     shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    found = keep(keys.join(shared, "key").select("a", "id").distinct(), "buckets")
-    texts = plain.join(found.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    keys = keep(keys.join(shared, "key"), "buckets")
+    texts = plain.join(keys.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     texts = keep(texts, "texts")
-    pairs = likely(found.where("a < id").select("a", F.col("id").alias("b")), nodes, percent)
-    tested = keep(confirm(pairs, texts, shingle, lower, percent), "tested")
+    more = likely(keys.where("a < id").select("a", F.col("id").alias("b")).distinct(), nodes, percent)
+    label = nodes.select("id", F.col("id").alias("component"))
+    tested, keys = None, keys.select("key", "id")
     while True:
-        group = components(tested.where("linked"))
-        label = nodes.select("id").join(group, nodes["id"] == group["node"], "left")
-        label = label.select("id", F.coalesce("component", "id").alias("component"))
+        new = keep(confirm(more, texts, shingle, lower, percent), "tested")
+        tested = new if tested is None else tested.unionByName(new)
+        label = keep(_merged(label, new.where("linked")), "labels")
+        keys = keep(still_mixed(keys, label), "mixed")
         more = keep(untested(keys, nodes, label, tested, percent), "pairs")
         if more.isEmpty():
             break
-        tested = tested.unionByName(keep(confirm(more, texts, shingle, lower, percent), "tested"))
     of_id = member.groupBy("id").agg(F.min("class_id").alias("class_id")).join(label.withColumnRenamed("id", "class_id"), "class_id")
     of_id = of_id.groupBy("id").agg(F.min("class_id").alias("class_id"), F.min("component").alias("component_id"))
     out = sketch.select("id", "n_shingles").join(of_id, "id", "left")
