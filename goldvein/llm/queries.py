@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldvein.llm import debruijn, hyperminhash, langid
+from goldvein.llm import debruijn, decontaminate, hyperminhash, langid, sentencepieces
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -46,3 +48,19 @@ def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = debruijn.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op8_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contained_items(docs.select("doc_id", "text"), items)
+
+
+@query
+def op1_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = sentencepieces.round_trip(docs, sentencepieces.read_vocabulary(PIECES))
+    same = F.col("decoded").eqNullSafe(F.col("text"))
+    return done.select(
+        "doc_id", sentencepieces.piece_count().alias("n_pieces"), "n_byte_pieces", "piece_ids", same.alias("round_trip")
+    )
