@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldvein.llm import debruijn, decontaminate, hyperminhash, langid, sentencepieces
+from goldvein.llm import (
+    debruijn,
+    decontaminate,
+    hyperminhash,
+    langid,
+    licenses,
+    sentencepieces,
+    suffixes,
+    urlfilter,
+    warc,
+)
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -64,3 +74,44 @@ def op1_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(
         "doc_id", sentencepieces.piece_count().alias("n_pieces"), "n_byte_pieces", "piece_ids", same.alias("round_trip")
     )
+
+
+@query
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return done.withColumnRenamed("source", "page_id")
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    best = F.get("matches", F.lit(0))
+    return found.select(
+        "doc_id",
+        best["license"].alias("license"),
+        F.coalesce(best["coverage"], F.lit(0.0)).alias("coverage"),
+        best["from_word"].alias("from_word"),
+        best["to_word"].alias("to_word"),
+        F.size("matches").alias("n_matches"),
+    )
+
+
+# The rules of the contract.
+URL_RULES = [
+    urlfilter.parse_rule("allow", "com/"),
+    urlfilter.parse_rule("block", "example.com/en/"),
+    urlfilter.parse_rule("allow", "www.example.com/en/"),
+    urlfilter.parse_rule("block", "net/es/"),
+    urlfilter.parse_rule("block", "net/fr/"),
+]
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
