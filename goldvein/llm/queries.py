@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from goldvein.llm import (
     debruijn,
     decontaminate,
+    embedding,
     hyperminhash,
     langid,
     licenses,
@@ -115,3 +116,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.edit_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
