@@ -21,7 +21,8 @@ words; a false match needs the same minimizer and an accident of 2^-32.
 
 Edge cases: null or empty texts, and texts shorter than the window, keep all words.
 Rows with a null id come after all others.  Rows with the same id are one text: spans
-found in any of them are removed from each.  Results do not depend on row order.
+found in any of them are removed from each.  Results do not depend on row order.  Extra
+columns pass through; a column with the name of one that is added is replaced.
 """
 
 from __future__ import annotations
@@ -202,6 +203,7 @@ def remove_repeats(
     A word goes if a window that covers it also starts earlier: in a row with a
     smaller id, or before in the same text.
     """
+    docs = docs.drop("spans", "kept_text", "n_words", "n_removed", "_doc")
     own = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
     found = pieces(docs.select(own.alias("doc"), F.col(text).alias("text")), window, min(small, window))
     spans = (

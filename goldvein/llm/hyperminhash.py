@@ -13,10 +13,12 @@ equal and a register of two sets agrees about as often as their Jaccard index.
 3. Pairs whose estimate, corrected for chance agreement of registers, is far too low
    are left; the rest are confirmed on the full sets.
 4. Confirmed links give components.  Buckets that still hold several components are
-   looked through again, in blocks: each member is paired with its likeliest untested
-   partners in other components.  This repeats until no pair is left to test, so no
-   link between components is lost, while a bucket whose members are already one
-   component costs nothing more.
+   looked through again, in blocks: a block's most central member is paired with all
+   that may link with it, and each member with its likeliest untested partners in other
+   components: one at first, more in later rounds, when few members are left.  A pair
+   that shares several bands counts in the first of them only.  This repeats until no
+   pair is left to test, so no link between components is lost, while a bucket whose
+   members are already one component costs nothing more.
 
 Sizes alone rule out pairs whose larger set is more than 100 / percent times the
 smaller one.  Two short texts are compared by their sets at once, not by an estimate.
@@ -46,7 +48,8 @@ ROWS, BANDS = 5, 25  # a pair at 0.8 shares no band with a chance below 1e-4
 SHORT = 30  # up to so many shingles a text also has prefix keys
 MARGIN = 4.0  # standard deviations below the threshold that an estimate may be
 BLOCK = 1000  # members of a bucket compared at once
-PARTNERS = 64  # of a member in a block and a round; later rounds take the rest
+PARTNERS = (1, 8, 64)  # of a member in a block, by round; as many as the last from then on
+CROWD = 16  # members from which a block has a central one
 MEMBERS = 2000  # texts compared with one copy of a leader's text
 
 _EDGE = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(64 - BITS)
@@ -131,7 +134,7 @@ def _short(raw: bytes | None) -> np.ndarray | None:
 
 
 def bands(nodes: DataFrame, percent: int) -> DataFrame:
-    """(key, id) for each band of a node's registers, and for a short text's first shingles.
+    """(key, band, id) for each band of a node's registers, and for a short text's first shingles (band -1).
 
     Two sets that reach the threshold share one of their first shingles in hash
     order, if each gives all but the share that may differ.
@@ -149,11 +152,12 @@ def bands(nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "key": np.concatenate([key.ravel().view(np.int64), np.array([k for k, _ in extra], np.int64)]),
+                    "band": np.concatenate([np.tile(np.arange(BANDS, dtype=np.int32), len(ids)), np.full(len(extra), -1, np.int32)]),
                     "id": np.concatenate([np.repeat(ids, BANDS), np.array([i for _, i in extra], np.int64)]),
                 }
             )
 
-    return nodes.select("id", "registers", "short").mapInArrow(task, "key long, id long")
+    return nodes.select("id", "registers", "short").mapInArrow(task, "key long, band int, id long")
 
 
 def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -234,13 +238,24 @@ def confirm(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, percent: in
 
 
 def still_mixed(keys: DataFrame, label: DataFrame) -> DataFrame:
-    """(key, id) of the buckets whose members are in several components."""
-    named = keys.select("key", "id").join(label, "id")
+    """(key, band, id) of the buckets whose members are in several components."""
+    named = keys.join(label, "id")
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return named.join(mixed.select("key"), "key").select("key", "id")
+    return named.join(mixed.select("key"), "key").select("key", "band", "id")
 
 
-def untested(keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+def _central(table: np.ndarray) -> int:
+    """The row that agrees most with the commonest value of each register."""
+    common = np.empty(table.shape[1], table.dtype)
+    for c in range(table.shape[1]):
+        value, count = np.unique(table[:, c], return_counts=True)
+        common[c] = value[count.argmax()]
+    return int((table == common).sum(axis=1).argmax())
+
+
+def untested(
+    keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFrame, percent: int, partners: int
+) -> DataFrame:
     """Likely pairs (a, b) of one bucket in different components that are not tested yet.
 
     Buckets are looked at in blocks of about `BLOCK` members, so no task holds a
@@ -254,14 +269,16 @@ def untested(keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFr
         keys.join(parts, "key")
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "id")
         .join(own, "id")
-        .select("key", "i", "j", "own", "id", "component", "registers", "n_shingles", "short", "done")
+        .select("key", "i", "j", "own", "band", "id", "component", "registers", "n_shingles", "short", "done")
     )
 
     def pairs(group: list[dict]) -> Iterator[tuple[int, int]]:
-        left = [r for r in group if r["own"] == r["i"]]
-        right = [r for r in group if r["own"] == r["j"]]
+        left = right = group
+        if group and group[0]["i"] < group[0]["j"]:
+            left = [r for r in group if r["own"] == r["i"]]
+            right = [r for r in group if r["own"] == r["j"]]
         if not left or not right:
             return
         table = {
@@ -270,14 +287,23 @@ def untested(keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFr
         }
         short = [_short(r["short"]) for r in right]
         ids, comp = np.array([r["id"] for r in right]), np.array([r["component"] for r in right])
-        for r in left:
+        band = right[0]["band"]
+        banded = table["registers"][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+        central = _central(table["registers"]) if left is right and len(right) >= CROWD else -1
+        for n, r in enumerate(left):
             at = np.flatnonzero((comp != r["component"]) & ~np.isin(ids, r["done"] or []))
             if not len(at):
                 continue
             x = {"registers": np.frombuffer(r["registers"], np.uint16), "n_shingles": r["n_shingles"], "short": _short(r["short"])}
             may, near = may_link(x, {k: v[at] for k, v in table.items()} | {"short": [short[k] for k in at]}, percent)
-            best = at[may][np.argsort(-near[may], kind="stable")][:PARTNERS]
-            for k in best.tolist():
+            at, near = at[may], near[may]
+            if n != central:
+                if band >= 0 and len(at):
+                    equal = (banded[at] == x["registers"][: BANDS * ROWS].reshape(BANDS, ROWS)).all(axis=2)
+                    first = equal.argmax(axis=1) == band
+                    at, near = at[first], near[first]
+                at = at[np.argsort(-near, kind="stable")][:partners]
+            for k in at.tolist():
                 yield min(r["id"], int(ids[k])), max(r["id"], int(ids[k]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,13 +371,14 @@ def near_duplicates(
     texts = keep(texts, "texts")
     more = likely(keys.where("a < id").select("a", F.col("id").alias("b")).distinct(), nodes, percent)
     label = nodes.select("id", F.col("id").alias("component"))
-    tested, keys = None, keys.select("key", "id")
+    tested, keys, turn = None, keys.select("key", "band", "id"), 0
     while True:
         new = keep(confirm(more, texts, shingle, lower, percent), "tested")
         tested = new if tested is None else tested.unionByName(new)
         label = keep(_merged(label, new.where("linked")), "labels")
         keys = keep(still_mixed(keys, label), "mixed")
-        more = keep(untested(keys, nodes, label, tested, percent), "pairs")
+        partners = PARTNERS[min(turn, len(PARTNERS) - 1)]
+        more, turn = keep(untested(keys, nodes, label, tested, percent, partners), "pairs"), turn + 1
         if more.isEmpty():
             break
     of_id = member.groupBy("id").agg(F.min("class_id").alias("class_id")).join(label.withColumnRenamed("id", "class_id"), "class_id")

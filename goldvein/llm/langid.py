@@ -11,7 +11,7 @@ Edge cases: a text that is null or has no letter is `und` with score 0.  A word
 without letters scores 0 for every language and so takes its neighbours' label.
 Words in a script that no language was trained with are labelled `und`.  With no
 training rows every text is `und`.  Ties go to the language first in sort order.
-Extra columns pass through; names of the columns added must not be present already.
+Extra columns pass through; a column with the name of one that is added is replaced.
 """
 
 from __future__ import annotations
@@ -289,6 +289,7 @@ def label_texts(texts: list[str | None], model: Model, penalty: float) -> list[d
 
 def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = PENALTY) -> DataFrame:
     """Adds lang_pred, score (share of letters in its spans) and spans; no shuffle."""
+    docs = docs.drop("lang_pred", "score", "spans", "labelled")
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

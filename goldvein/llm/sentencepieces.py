@@ -17,7 +17,8 @@ Bytes that are no UTF-8 become U+FFFD.  A text with a literal U+2581 decodes to
 with a space there; any other text comes back unchanged.
 
 Edge cases: null texts have null ids and decode to null; empty texts have no ids.
-Repeated rows are encoded alike.  Extra columns pass through.
+Repeated rows are encoded alike.  Extra columns pass through; a column with the name of
+one that is added is replaced.
 """
 
 from __future__ import annotations
@@ -274,6 +275,7 @@ def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
 
 def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
     """Adds piece_ids and n_byte_pieces; no shuffle."""
+    docs = docs.drop("piece_ids", "n_byte_pieces")
     names, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(v)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,6 +297,7 @@ def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
 
 def decode(docs: DataFrame, v: Vocabulary, ids: str = "piece_ids") -> DataFrame:
     """Adds decoded; no shuffle."""
+    docs = docs.drop("decoded")
     names, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(v)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
