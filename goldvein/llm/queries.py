@@ -14,6 +14,7 @@ from goldvein.llm import (
     hyperminhash,
     langid,
     licenses,
+    oracle,
     sentencepieces,
     suffixes,
     urlfilter,
@@ -52,7 +53,7 @@ def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("class_id")
 
 
 @query
@@ -121,3 +122,13 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.edit_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE_SQL |= {
+    "op2_warc_derivatives": oracle.warc_sql(warc.HIDDEN, warc.LINE_TAGS, warc.TAGS, [(a, b) for a, b in warc.ENTITIES if a != "&#39;"]),
+    "op4_hyperminhash": oracle.OP4,
+    "op6_debruijn_dedup": oracle.OP6,
+    "op7_suffix_dedup": oracle.OP7,
+    "op8_containment_search": oracle.OP8,
+    "op9_url_filter": oracle.OP9,
+}
