@@ -370,7 +370,9 @@ def repeats(found: DataFrame, length: int, gram: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) for each row; kept are the remaining bytes."""
-    gram = min(gram, length)
+    gram = min(gram, length - 1)
+    if gram < 8:
+        raise ValueError("length must be 9 or more, gram 8 or more")
     parts = 64 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
     plain = docs.select(own.alias("doc"), F.col(id).alias("id"), F.col(text).alias("text"))
