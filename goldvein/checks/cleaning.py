@@ -24,11 +24,12 @@ def normalize_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(f"""
-SELECT page_id, regexp_replace(trim(url, ' '), '{_DROPPED_KEEP_POINT}', '', 'g') AS url
+SELECT page_id, regexp_replace(trim(url, ' '), '{_DROPPED_KEEP_POINT}', '', 'g') AS url,
+  regexp_replace(trim(html, ' '), '{_DROPPED}', '', 'g') AS html
 FROM pages""")
 def normalize_keep_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Another character set for one column."""
-    pages = s.given(spark, sf_dir, "pages").select("page_id", "url")
+    pages = s.given(spark, sf_dir, "pages")
     return cleaning.clean_frame(pages, not_kept={"url": cleaning.NOT_KEPT_WITH_POINT})
 
 
@@ -159,11 +160,8 @@ def cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return casting.cast_failures(text, types)
 
 
-@checked(f"""
-SELECT count(*) AS n_documents, count(*) FILTER (WHERE strip_accents(text) <> text) AS n_changed
-FROM documents""", name="fold_accents_count")
-def fold_accents_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in which folding accents changes something."""
-    docs = s.given(spark, sf_dir, "documents").select("text")
-    changed = cleaning.fold_accents(F.col("text")) != F.col("text")
-    return docs.agg(F.count("*").alias("n_documents"), F.count_if(changed).alias("n_changed"))
+@checked("SELECT doc_id, strip_accents(text) AS text FROM documents")
+def fold_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its accented letters as plain ones."""
+    docs = s.given(spark, sf_dir, "documents")
+    return docs.select("doc_id", cleaning.fold_accents(F.col("text")).alias("text"))

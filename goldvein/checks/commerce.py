@@ -167,6 +167,22 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_dimension_of(s.given(spark, sf_dir, "orders"), "o_orderdate")
 
 
+@checked("""
+SELECT year, count(*) AS n_days, min(date_key) AS first_key, max(date_key) AS last_key FROM (
+  SELECT CAST(year(d) AS INTEGER) AS year,
+    CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key
+  FROM (SELECT unnest(range(DATE '0204-01-06', max(o_orderdate)::DATE + 1, INTERVAL 1 DAY)) AS d FROM orders))
+GROUP BY year""")
+def dim_date_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mistyped year makes a calendar of many centuries, not a failed run."""
+    orders = s.given(spark, sf_dir, "orders").select("o_orderdate")
+    stray = orders.agg(F.lit("0204-01-06").cast("date").alias("o_orderdate"), F.count("*").alias("n"))
+    days = date_dimension_of(orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date")).unionByName(stray.drop("n")), "o_orderdate")
+    return days.groupBy("year").agg(
+        F.count("*").alias("n_days"), F.min("date_key").alias("first_key"), F.max("date_key").alias("last_key")
+    )
+
+
 @checked("SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour_of_day FROM events")
 def hour_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = s.given(spark, sf_dir, "events")

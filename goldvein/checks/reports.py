@@ -33,35 +33,13 @@ def _dates(spark: SparkSession, sf_dir: str) -> Dimension:
     return reports.dates_of(date_dimension_of(s.given(spark, sf_dir, "orders"), "o_orderdate"))
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines without their order: enough where no order column is asked for."""
-    lines = s.lines(spark, sf_dir).withColumn("dt", F.lit(None).cast("date"))
-    return gold.fact_names(gold.line_amounts(lines))
-
-
-def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact without the converted amount, which most figures do not use."""
-    return gold.fact_names(gold.line_amounts(s.order_items(spark, sf_dir)))
-
-
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order that has lines: enough for counting orders.
-
-    Lines are reduced to their orders before the join, so an order of very many
-    lines is one row in it.
-    """
-    with_lines = s.lines(spark, sf_dir).select("order_id").distinct()
-    return gold.fact_names(s.order_heads(spark, sf_dir).join(with_lines, "order_id"))
-
-
-FACTS = {"lines": _lines, "orders": _orders, "sales": _sales, "fact": fact}
 DIMENSIONS = {"products": _products, "dates": _dates}
 
 
-def star(spark: SparkSession, sf_dir: str, base: str, *dimensions: str) -> Star:
-    """A star of no more than a figure needs."""
+def star(spark: SparkSession, sf_dir: str, *dimensions: str) -> Star:
+    """The fact with the dimensions that a figure needs."""
     built = [DIMENSIONS[d](spark, sf_dir) for d in dimensions]
-    return reports.sales_star(FACTS[base](spark, sf_dir), *built)
+    return reports.sales_star(fact(spark, sf_dir), *built)
 
 
 _WIDE = s.wide_sql()
@@ -90,31 +68,28 @@ def report(name: str, sql: str, build: Callable[[Star], DataFrame], *parts: str)
 
 @checked(_WIDE)
 def wide_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.without_zone(reports.wide_view(star(spark, sf_dir, "fact", "products", "dates")))
+    return s.without_zone(reports.wide_view(star(spark, sf_dir, "products", "dates")))
 
 
-report("sales_trend", grouped_sql("month_name", _MONTHS), reports.sales_trend, "sales", "dates")
+report("sales_trend", grouped_sql("month_name", _MONTHS), reports.sales_trend, "dates")
 report(
     "sales_by_category",
     grouped_sql("category_name"),
     reports.sales_by_category,
-    "lines",
     "products",
 )
 report(
     "sales_heatmap",
     grouped_sql("hour_of_day, day_name"),
     reports.sales_heatmap,
-    "sales",
     "dates",
 )
-report("sales_by_channel", grouped_sql("channel"), reports.sales_by_channel, "sales")
-report("weekend_sales", grouped_sql("is_weekend"), reports.weekend_sales, "sales", "dates")
+report("sales_by_channel", grouped_sql("channel"), reports.sales_by_channel)
+report("weekend_sales", grouped_sql("is_weekend"), reports.weekend_sales, "dates")
 report(
     "channel_by_category",
     grouped_sql("channel, category_name"),
     reports.channel_by_category,
-    "sales",
     "products",
 )
 
@@ -126,14 +101,13 @@ SELECT {first}, month_name, CAST(grouping_id({first}, month_name) AS BIGINT) AS
 FROM ({_WIDE}) AS w GROUP BY CUBE ({first}, month_name)"""
 
 
-report("coupon_by_month", _cube_sql("coupon_flag"), reports.coupon_by_month, "sales", "dates")
-report("channel_by_month", _cube_sql("channel"), reports.channel_by_month, "sales", "dates")
+report("coupon_by_month", _cube_sql("coupon_flag"), reports.coupon_by_month, "dates")
+report("channel_by_month", _cube_sql("channel"), reports.channel_by_month, "dates")
 report(
     "total_sales",
     f"""SELECT {_SALES}, CAST(sum(gross_amount) AS BIGINT) AS total_gross
 FROM ({s.amounts_sql(s.LINES_SQL)}) AS a""",
     reports.grand_total,
-    "lines",
 )
 report(
     "total_sales_eur",
@@ -143,7 +117,6 @@ GROUP BY currency_known""",
     lambda star: star.aggregate(["unit_price_currency"], [TOTAL_SALES_EUR])
     .groupBy((F.col("unit_price_currency") != "XXX").alias("currency_known"))
     .agg(F.sum("total_sales_eur").alias("total_sales_eur")),
-    "fact",
 )
 report(
     "filtered_sales",
@@ -158,7 +131,6 @@ report(
         [TOTAL_SALES, TOTAL_GROSS],
         {"category_name": CATEGORY, "day_name": DAYS, "year": YEARS, "month": None, "quarter": []},
     ),
-    "sales",
     "products",
     "dates",
 )
@@ -180,7 +152,6 @@ def _filter_values(column: str) -> None:
         f"filter_values_{column.split('_')[0]}",
         sql,
         lambda star: star.filter_values(column, _FILTERS),
-        "sales",
         "products",
         "dates",
     )
@@ -193,30 +164,40 @@ report(
     "order_count",
     "SELECT count(DISTINCT l_orderkey) AS n_orders FROM lineitem",
     reports.order_count,
-    "lines",
 )
 report(
     "quantity_by_product",
     f"""SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, count(*) AS n_lines
 FROM ({s.LINES_SQL}) AS l GROUP BY product_id""",
     reports.quantity_by_product,
-    "lines",
 )
 for _column, _name in (("category_name", "top_categories"), ("brand_name", "top_brands")):
     report(
         _name,
         f"{grouped_sql(_column)} ORDER BY total_sales DESC, {_column} LIMIT 5",
         lambda star, column=_column: reports.top_values(star, column, 5),
-        "lines",
         "products",
     )
+report(
+    "filtered_top_brands",
+    f"{grouped_sql('brand_name', where=' AND '.join(_TESTS.values()))} ORDER BY total_sales DESC, brand_name LIMIT 5",
+    lambda star: reports.top_values(star, "brand_name", 5, filters=_FILTERS),
+    "products",
+    "dates",
+)
+report(
+    "filtered_order_count",
+    f"SELECT count(DISTINCT transaction_id) AS n_orders FROM ({_WIDE}) AS w WHERE {' AND '.join(_TESTS.values())}",
+    lambda star: reports.order_count(star, _FILTERS),
+    "products",
+    "dates",
+)
 report(
     "average_basket",
     f"""SELECT {_SALES}, count(DISTINCT transaction_id) AS n_orders,
   CAST(sum(net_amount) AS DOUBLE) / count(DISTINCT transaction_id) AS average_basket
 FROM ({s.fact_sql()}) AS f""",
     reports.average_basket,
-    "lines",
 )
 report(
     "customer_recurrence",
@@ -224,19 +205,17 @@ report(
   SELECT customer_id, count(DISTINCT transaction_id) AS n_orders
   FROM ({s.fact_sql()}) AS f GROUP BY customer_id) AS c GROUP BY n_orders""",
     reports.customer_recurrence,
-    "orders",
 )
 report(
     "orders_per_customer",
     f"""SELECT customer_id, count(DISTINCT transaction_id) AS n_orders
 FROM ({s.fact_sql()}) AS f GROUP BY customer_id""",
     reports.orders_per_customer,
-    "orders",
 )
 for _period, _by, _parts in (
-    ("day", "transaction_date", ["sales"]),
-    ("month", "year, month", ["sales", "dates"]),
-    ("year", "year", ["sales", "dates"]),
+    ("day", "transaction_date", []),
+    ("month", "year, month", ["dates"]),
+    ("year", "year", ["dates"]),
 ):
     report(
         f"sales_by_{_period}",

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldvein.checks import dedup as dedup_checks
@@ -13,11 +13,11 @@ from goldvein.checks import standin as s
 from goldvein.checks import upsert as upsert_checks
 from goldvein.checks.registry import checked
 from goldvein.operators import dedup, upsert
-from goldvein.plans import medallion
+from goldvein.plans import medallion, silver
 from goldvein.plans.silver import ORDER_ITEMS
 from goldvein.session import scratch_path
 from goldvein.sources import feeds
-from goldvein.sources.rejects import append_rejects, with_reason
+from goldvein.sources.rejects import read_rejects, write_rejects
 from goldvein.sources.tables import Zone, create_zone, publish_view, read_table, save_table
 
 BATCH_TIME = datetime(2024, 1, 2, 7)
@@ -44,40 +44,32 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked("""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderpriority
-FROM orders WHERE o_orderstatus = 'F'
-UNION ALL
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
-FROM orders WHERE o_orderstatus <> 'F'""")
+SELECT * REPLACE (CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority)
+FROM orders""")
 def table_append_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite, then append rows that bring one more column."""
-    orders = s.given(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = s.given(spark, sf_dir, "orders")
     table = _zone(spark).table("orders")
     closed = orders.where("o_orderstatus = 'F'").drop("o_orderpriority")
     save_table(closed, table)
     save_table(orders.where("o_orderstatus <> 'F'"), table, mode="append")
-    return read_table(spark, table)
+    return s.without_zone(read_table(spark, table))
 
 
 @checked("""
-SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
-  CAST(l_linenumber AS VARCHAR) AS l_linenumber, 'duplicate_key' AS _reject_reason
+SELECT l_orderkey, l_partkey, l_linenumber, 'duplicate_key' AS _reject_reason
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey
         ORDER BY l_shipdate DESC, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
           l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM lineitem) AS r
 WHERE rn > 1""")
 def rejects_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Duplicates written with their reason and read back."""
+    """Duplicates written with their reason, twice as by a repeated run, and read back."""
     lineitem = s.given(spark, sf_dir, "lineitem")
     losers = dedup.duplicate_rows(lineitem, dedup_checks.KEYS, "l_shipdate", ["l_linenumber"])
-    folder = append_rejects(
-        with_reason(losers, "duplicate_key"),
-        scratch_path(spark, "rejects"),
-        "lineitem",
-        date(2024, 1, 2),
-    )
-    written = spark.read.csv(folder, header=True)
-    return written.select("l_orderkey", "l_partkey", "l_linenumber", "_reject_reason")
+    root = scratch_path(spark, "rejects")
+    for _ in range(2):
+        folder = write_rejects(losers, root, "lineitem", BATCH_TIME, "duplicate_key")
+    return read_rejects(spark, folder).select("l_orderkey", "l_partkey", "l_linenumber", "_reject_reason")
 
 
 def _upserted(spark: SparkSession, sf_dir: str, partition_by: tuple[str, ...]) -> DataFrame:
@@ -118,6 +110,76 @@ def upsert_table_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, sf_dir, ("order_month",))
 
 
+@checked("""
+SELECT o_orderkey, CAST((o_orderkey + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END) % 7 AS INTEGER)
+    AS shelf, o_totalprice,
+  CASE WHEN o_orderstatus = 'O' THEN 'insert' WHEN o_orderstatus = 'F' THEN 'kept' ELSE 'moved' END AS came
+FROM orders""")
+def upsert_table_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that change their partition in a second load: one row a key, in the new partition."""
+    orders = s.given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+    def on_shelf(df: DataFrame, plus: int, day: str) -> DataFrame:
+        shelf = ((F.col("o_orderkey") + plus) % 7).cast("int")
+        return df.withColumns({"shelf": shelf, "_ingested_at": F.lit(day).cast("timestamp")})
+
+    table = _zone(spark).table("shelves")
+    options = {"rejects_root": scratch_path(spark, "rejects"), "partition_by": ["shelf"]}
+    days = (
+        (on_shelf(orders.where("o_orderstatus <> 'O'"), 0, upsert_checks.FIRST), upsert_checks.FIRST),
+        (on_shelf(orders.where("o_orderstatus <> 'F'"), 1, upsert_checks.SECOND), upsert_checks.NOW),
+    )
+    for batch, time in days:
+        upsert.upsert_table(batch, table, ["o_orderkey"], batch_time=datetime.fromisoformat(time), **options)
+    first = F.col("date_creation") == F.lit(upsert_checks.FIRST).cast("timestamp")
+    kept = F.col("date_modification") == F.lit(upsert_checks.FIRST).cast("timestamp")
+    came = F.when(~first, "insert").when(kept, "kept").otherwise("moved")
+    return read_table(spark, table).select("o_orderkey", "shelf", "o_totalprice", came.alias("came"))
+
+
+@checked("""
+SELECT count(*) FILTER (o_custkey % 10 <> 0) AS n_customers,
+  count(*) FILTER (o_custkey % 10 = 0) AS n_null_key FROM (SELECT DISTINCT o_custkey FROM orders)""")
+def blank_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank text keys are turned away; the same batch twice leaves the same rejects."""
+    orders = s.given(spark, sf_dir, "orders").select("o_custkey").distinct()
+    code = F.when(F.col("o_custkey") % 10 == 0, F.lit("  ")).otherwise(F.col("o_custkey").cast("string"))
+    batch = orders.select(code.alias("code"), "o_custkey", F.lit(upsert_checks.FIRST).cast("timestamp").alias("_ingested_at"))
+    table, root = _zone(spark).table("codes"), scratch_path(spark, "rejects")
+    for _ in range(2):
+        done = upsert.upsert_table(batch, table, ["code"], rejects_root=root, batch_time=BATCH_TIME)
+    rejected = read_rejects(spark, done.rejects_folder).where("_reject_reason = 'null_key'")
+    counts = read_table(spark, table).select(F.lit("n_customers").alias("k")).unionByName(
+        rejected.select(F.lit("n_null_key").alias("k"))
+    )
+    return counts.agg(*[F.count_if(F.col("k") == k).alias(k) for k in ("n_customers", "n_null_key")])
+
+
+@checked("""
+SELECT * FROM (VALUES ('quantity'), ('unit_price')) c(column_name), LATERAL (
+  SELECT CAST(CASE column_name WHEN 'quantity' THEN count(*) FILTER (l_linenumber = 7)
+    ELSE count(*) FILTER (l_extendedprice >= 1000) END AS BIGINT) AS lost FROM lineitem)""")
+def load_cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the casts of a load lose, counted while its batch is written."""
+    price = F.floor("l_extendedprice").cast("long")
+    grouped = F.when(price >= 1000, F.concat(F.lit("$"), F.format_number(price, 0))).otherwise(price.cast("string"))
+    raw = s.given(spark, sf_dir, "lineitem").select(
+        F.lit("2024-01-02").alias("dt"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").cast("string").alias("item_seq"),
+        F.when(F.col("l_linenumber") == 7, "many").otherwise("1").alias("quantity"),
+        grouped.alias("unit_price"),
+        F.lit(BATCH_TIME).alias("_ingested_at"),
+    )
+    lost = Observation()
+    batch = silver.clean_order_items(raw, lost=lost)
+    done = upsert.upsert_table(
+        batch, _zone(spark).table("lines"), ["order_id", "item_seq"], rejects_root=scratch_path(spark, "rejects"), batch_time=BATCH_TIME, lost_in_casts=lost,
+    )
+    rows = [(c, done.lost_in_casts[c]) for c in ("quantity", "unit_price")]
+    return spark.createDataFrame(rows, "column_name string, lost long")
+
+
 @checked("""
 SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY o_orderpriority""")
 def view_create(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,11 +96,10 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(f"""
-SELECT o_orderkey, o_custkey, o_orderstatus,
-  o_orderdate, o_orderpriority, TIMESTAMP '{SECOND}' AS date_creation,
+SELECT orders.*, TIMESTAMP '{SECOND}' AS date_creation,
   TIMESTAMP '{NOW}' AS date_modification, 'insert' AS _change
 FROM orders""")
 def upsert_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = s.given(spark, sf_dir, "orders").drop("o_totalprice")
+    orders = s.given(spark, sf_dir, "orders")
     loaded = orders.withColumn("_ingested_at", _stamp(SECOND))
     return s.without_zone(upsert.first_load(loaded, KEYS, _stamp(NOW)))

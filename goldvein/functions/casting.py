@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,14 @@ def lost_in_cast(column: str, dtype: str | T.DataType, **options) -> Column:
     return F.count_if(given & cast_value(value, dtype, **options).isNull())
 
 
+def observe_losses(
+    df: DataFrame, types: Mapping[str, str | T.DataType], lost: Observation, **options
+) -> DataFrame:
+    """The frame as it is; what its casts will lose is counted when it is written."""
+    counts = [lost_in_cast(c, t, **options).alias(c) for c, t in types.items() if c in df.columns]
+    return df.observe(lost, *counts) if counts else df
+
+
 def cast_failures(df: DataFrame, types: Mapping[str, str | T.DataType], **options) -> DataFrame:
     """One row per cast column: how many values were lost.  One pass over the data."""
     named = [(c, t) for c, t in types.items() if c in df.columns]

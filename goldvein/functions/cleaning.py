@@ -110,6 +110,11 @@ def decimal_point(value: Column) -> Column:
     return F.translate(value, ",", ".")
 
 
+def without_thousands(value: Column) -> Column:
+    """``1,234,567`` -> ``1234567``; a comma that does not part three digits stays."""
+    return F.regexp_replace(value, r"(?<=\d),(?=\d{3}(?!\d))", "")
+
+
 def replace_values(df: DataFrame, column: str, values: Mapping[str, str]) -> DataFrame:
     """Swap whole values, such as a number word for its digits."""
     return df.replace(dict(values), subset=[column])

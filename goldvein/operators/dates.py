@@ -12,9 +12,6 @@ from goldvein.functions.amounts import date_key
 # The order of a week in reports.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-#: longest calendar, in days; keeps the dimension small enough to broadcast
-MAX_DAYS = 150_000
-
 DATE_COLUMNS = (
     "date_key", "date", "year", "is_weekend", "month", "month_name", "day_name", "quarter",
 )
@@ -26,14 +23,13 @@ def weekday_position(day_name: Column) -> Column:
 
 
 def _calendar(bounds: DataFrame) -> DataFrame:
-    too_long = F.datediff("last", "first") >= MAX_DAYS
-    last = F.when(too_long, F.raise_error(F.lit(f"calendar over {MAX_DAYS} days"))).otherwise(
-        F.col("last")
-    )
     day = F.col("date")
-    return bounds.where("first IS NOT NULL").select(
-        F.explode(F.sequence(F.col("first"), last)).alias("date")
-    ).select(
+    # a year at a time, so that no array holds a long calendar
+    years = F.explode(F.sequence(F.year("first"), F.year("last")))
+    begin = F.greatest("first", F.make_date("year", F.lit(1), F.lit(1)))
+    end = F.least("last", F.make_date("year", F.lit(12), F.lit(31)))
+    days = bounds.where("first IS NOT NULL").select("first", "last", years.alias("year"))
+    return days.select(F.explode(F.sequence(begin, end)).alias("date")).select(
         date_key(day).alias("date_key"),
         day,
         F.year(day).alias("year"),
@@ -46,9 +42,8 @@ def _calendar(bounds: DataFrame) -> DataFrame:
 
 
 def date_dimension(spark: SparkSession, first: date, last: date) -> DataFrame:
-    if (last - first).days >= MAX_DAYS:
-        raise ValueError(f"calendar over {MAX_DAYS} days")
-    bounds = spark.range(1).select(F.lit(first).alias("first"), F.lit(last).alias("last"))
+    first, last = (F.lit(d.isoformat()).cast("date") for d in (first, last))
+    bounds = spark.range(1).select(first.alias("first"), last.alias("last"))
     return _calendar(bounds)
 
 

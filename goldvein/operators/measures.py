@@ -116,11 +116,22 @@ class Star:
         part = dim.part(needed)
         return df.join(part, df[dim.fact_key] == part["_dim_key"], "left").drop("_dim_key")
 
-    def wide(self, columns: Sequence[str]) -> DataFrame:
+    def wide(
+        self, columns: Sequence[str], filters: Mapping[str, object] | None = None
+    ) -> DataFrame:
         """The fact with the given columns, joining only where they come from."""
-        df = self._base(columns)
-        for dim in self._used(columns):
-            df = self._join(df, dim, columns)
+        filters = _chosen(filters)
+        needed = {*columns, *filters}
+        dims = self._used(needed)
+        df = self._base(needed)
+        for dim in dims:
+            for column, to_fact in (dim.implied or {}).items():
+                if column in filters:
+                    df = df.where(to_fact(filters[column]))
+        for dim in dims:
+            df = self._join(df, dim, needed)
+        for column, wanted in filters.items():
+            df = df.where(_test(column, wanted))
         return df.select(*columns)
 
     def aggregate(

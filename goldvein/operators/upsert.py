@@ -10,12 +10,13 @@ the target.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
-from datetime import date, datetime
+from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldvein import TECHNICAL_COLUMNS
 from goldvein.operators.dedup import (
@@ -23,18 +24,20 @@ from goldvein.operators.dedup import (
     duplicate_rows,
     has_rows,
     latest_per_key,
+    null_key,
     null_key_rows,
     repeated_keys,
 )
-from goldvein.operators.sizes import counted_small
-from goldvein.session import scratch_path
-from goldvein.sources.rejects import append_rejects, with_reason
+from goldvein.session import remove_folder, scratch_path
+from goldvein.sources.rejects import write_rejects
 from goldvein.sources.tables import (
     Table,
     create_empty,
     gathered,
     overwrite_table,
     partition_columns,
+    partition_values,
+    partitions_of,
     read_table,
     replace_partitions,
     table_exists,
@@ -46,8 +49,8 @@ INSERT, UPDATE, UNCHANGED, KEPT = "insert", "update", "unchanged", "kept"
 #: a batch up to this many rows is broadcast instead of shuffling the target
 SMALL_BATCH_ROWS = 100_000
 
-#: partition values named in a literal filter, beyond which a join is used
-MAX_TOUCHED_PARTITIONS = 1_000
+#: a batch is broadcast only if its texts and numbers take no more bytes than this
+SMALL_BATCH_BYTES = 64 << 20
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
@@ -178,6 +181,10 @@ class LoadResult:
     updated: int
     unchanged: int
     rejects_folder: str | None
+    #: values that casts turned into null, by column
+    lost_in_casts: Mapping[str, int] = field(default_factory=dict)
+    #: partitions that were rewritten; None if the table has none or is new
+    touched: tuple[tuple, ...] | None = None
 
 
 def _observed(merged: DataFrame) -> tuple[DataFrame, Observation]:
@@ -191,12 +198,14 @@ def _observed(merged: DataFrame) -> tuple[DataFrame, Observation]:
     return without_change(merged.observe(seen, *counts)), seen
 
 
-def _count_repeated(batch: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def _count_repeated(
+    batch: DataFrame, keys: Sequence[str], name: str
+) -> tuple[DataFrame, str]:
     """The repeated keys of a batch, written down because several steps look at them."""
     counted = repeated_keys(batch, keys)
     path = scratch_path(batch.sparkSession, f"repeated-{name}")
     counted.write.parquet(path)
-    return batch.sparkSession.read.schema(counted.schema).parquet(path)
+    return batch.sparkSession.read.schema(counted.schema).parquet(path), path
 
 
 def _export_rejects(
@@ -206,40 +215,63 @@ def _export_rejects(
     order: Mapping[str, object],
     root: str,
     name: str,
-    day: date,
+    batch_time: datetime,
 ) -> str | None:
     """Write duplicates and rows without a key; touch nothing if there are none."""
     folder = None
     if has_rows(repeated):
         losers = duplicate_rows(batch, keys, repeated=repeated, **order)
-        folder = append_rejects(with_reason(losers, "duplicate_key"), root, name, day)
+        folder = write_rejects(losers, root, name, batch_time, "duplicate_key")
     unmatched = null_key_rows(batch, keys)
     if has_rows(unmatched):
-        folder = append_rejects(with_reason(unmatched, "null_key"), root, name, day)
+        folder = write_rejects(unmatched, root, name, batch_time, "null_key")
     return folder
 
 
-def _touched_partitions(target: DataFrame, batch: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """The table partitions a batch falls into.
+def _touched_partitions(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], parts: Sequence[str], by_key: bool, small: bool
+) -> list[tuple]:
+    """The partitions a batch falls into, and those that hold its keys now.
 
-    Few values become a literal filter, so the other partitions are never listed
-    or read; beyond the limit it is a join.  Null is a partition like any other.
+    Where partitions follow from the key both are the same.  Otherwise a row may
+    move, so its key is looked for in all partitions; only key and partition columns
+    are read for that.
+    """
+    touched = batch.select(*parts)
+    if not by_key:
+        wanted = batch.where(~null_key(keys)).select(*keys)
+        if not small:
+            wanted = wanted.distinct()
+        held = target.select(*dict.fromkeys((*keys, *parts)))
+        found = held.join(F.broadcast(wanted) if small else wanted, list(keys), "left_semi")
+        touched = touched.unionByName(found.select(*parts))
+    return partition_values(touched, parts)
+
+
+def _key_partitions(
+    batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str] | Mapping[str, Column]
+) -> tuple[DataFrame, tuple[str, ...], bool]:
+    """The batch with its partition columns, and whether they follow from the key.
+
+    They do if they are key columns, or are given as expressions over key columns.
     """
-    touched = batch.select(*parts).distinct()
-    values = touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(values) > MAX_TOUCHED_PARTITIONS:
-        touched = touched.select(*[F.col(c).alias(f"_touched_{c}") for c in parts])
-        same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in parts]
-        return target.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
-    if len(parts) == 1:
-        named = F.col(parts[0]).isin([row[0] for row in values if row[0] is not None])
-        has_null = any(row[0] is None for row in values)
-        return target.where(named | F.col(parts[0]).isNull() if has_null else named)
-    hits = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in parts])
-        for row in values
-    ]
-    return target.where(reduce(lambda a, b: a | b, hits, F.lit(False)))
+    if not isinstance(partition_by, Mapping):
+        return batch, tuple(partition_by), set(partition_by) <= set(keys)
+    batch.select(*keys).select(*partition_by.values())  # fails on a column that is no key
+    return batch.withColumns(dict(partition_by)), tuple(partition_by), True
+
+
+def blank_keys_as_null(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An empty or blank text names no row, so as a key it is as good as none."""
+    texts = [k for k in keys if isinstance(batch.schema[k].dataType, T.StringType)]
+    return batch.withColumns({k: F.when(F.trim(F.col(k)) != "", F.col(k)) for k in texts})
+
+
+def _fits_broadcast(batch: DataFrame, rows: int) -> bool:
+    """Whether a batch is small in rows and in bytes; one pass, one number a task."""
+    wide = [F.coalesce(F.length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in batch.schema]
+    size = batch.agg(F.count("*").alias("n"), F.sum(reduce(lambda a, b: a + b, wide)).alias("b")).first()
+    return size.n <= rows and (size.b or 0) + 16 * len(wide) * size.n <= SMALL_BATCH_BYTES
 
 
 def upsert_table(
@@ -252,16 +284,25 @@ def upsert_table(
     tie_breakers: Sequence[Column | str] = (),
     loaded_at: str = LOADED_AT,
     compare_ignore: Iterable[str] = TECHNICAL_COLUMNS,
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] | Mapping[str, Column] = (),
     small_batch_rows: int = SMALL_BATCH_ROWS,
+    blank_keys_are_null: bool = True,
+    lost_in_casts: Observation | None = None,
 ) -> LoadResult:
     """Deduplicate a batch, keep its rejects, and bring the table up to date.
 
-    ``partition_by`` names columns that depend on the key alone.  A later load
-    then reads and rewrites only the table partitions the batch falls into.
+    A load reads and rewrites only the partitions that the batch falls into or that
+    hold its keys.  ``partition_by`` are key columns or, as a mapping, expressions
+    over key columns; then the key says where its row lies.  Other columns may
+    change with a row: the row's old partition is found and rewritten too.
+
+    ``lost_in_casts`` is an observation of the batch; its counts go into the result.
     """
     spark = batch.sparkSession
     require_columns(batch, [*keys, loaded_at])
+    if blank_keys_are_null:
+        batch = blank_keys_as_null(batch, keys)
+    batch, parts, by_key = _key_partitions(batch, keys, partition_by)
     now = F.lit(batch_time)
     # Cleaning is the costly part of a batch and several steps below read it, most of
     # them a few columns only.  Written once, it also outlives lost executors.
@@ -270,46 +311,44 @@ def upsert_table(
     batch = spark.read.schema(batch.schema).parquet(staged_at)
     if not table_exists(spark, table):
         empty_state = without_change(first_load(batch, keys, now, loaded_at))
-        create_empty(spark, empty_state, table, partition_by)
+        create_empty(spark, empty_state, table, parts)
 
     order = {"loaded_at": loaded_at, "tie_breakers": tie_breakers}
-    repeated = _count_repeated(batch, keys, table.name)
-    folder = _export_rejects(
-        batch, repeated, keys, order, rejects_root, table.name, batch_time.date()
-    )
+    repeated, repeated_at = _count_repeated(batch, keys, table.name)
+    folder = _export_rejects(batch, repeated, keys, order, rejects_root, table.name, batch_time)
     newest = latest_per_key(batch, keys, repeated=repeated, **order)
     target = read_table(spark, table)
+    touched = None
 
     if not has_rows(target):
-        loaded = gathered(first_load(newest, keys, now, loaded_at), partition_by)
+        loaded = gathered(first_load(newest, keys, now, loaded_at), parts)
         state, seen = _observed(loaded)
-        overwrite_table(state, table, partition_by, gather=False)
-        return _result(seen, folder)
-
-    table_parts = partition_columns(spark, table)
-    if table_parts:
-        target = _touched_partitions(target, batch, table_parts)
-    small = counted_small(batch, small_batch_rows)
-    merged = merge_batch(
-        target,
-        newest,
-        keys,
-        now,
-        loaded_at=loaded_at,
-        compare_ignore=compare_ignore,
-        small_batch=small,
-        partition_by=table_parts,
-    )
-    state, seen = _observed(gathered(merged, table_parts, gather=not small))
-    if table_parts:
-        replace_partitions(state, table, gather=False)
+        overwrite_table(state, table, parts, gather=False)
     else:
-        overwrite_table(state, table)
-    return _result(seen, folder)
-
-
-def _result(seen: Observation, folder: str | None) -> LoadResult:
+        table_parts = partition_columns(spark, table)
+        small = _fits_broadcast(batch, small_batch_rows)
+        if table_parts:
+            by_key = by_key and set(table_parts) <= {*parts, *keys}
+            touched = _touched_partitions(target, batch, keys, table_parts, by_key, small)
+            target = partitions_of(target, table_parts, touched)
+        merged = merge_batch(
+            target,
+            newest,
+            keys,
+            now,
+            loaded_at=loaded_at,
+            compare_ignore=compare_ignore,
+            small_batch=small,
+            partition_by=table_parts,
+        )
+        state, seen = _observed(gathered(merged, table_parts, gather=not (small and by_key)))
+        if table_parts:
+            replace_partitions(state, table, touched, gather=False)
+        else:
+            overwrite_table(state, table)
+    # the table points to its new state, so what was staged for it can go
+    remove_folder(spark, staged_at)
+    remove_folder(spark, repeated_at)
     counts = [seen.get.get(c, 0) for c in (INSERT, UPDATE, UNCHANGED)]
-    return LoadResult(*counts, folder)
-
-
+    lost = dict(lost_in_casts.get) if lost_in_casts is not None else {}
+    return LoadResult(*counts, folder, lost, None if touched is None else tuple(touched))

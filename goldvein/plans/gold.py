@@ -130,8 +130,12 @@ def order_line_fact(
     return fact_names(with_converted_amount(lines, rates, direction)).select(*FACT_COLUMNS)
 
 
-def wide_view_sql(fact: Table, products: Table, dates: Table) -> str:
-    """The reporting view: every fact column, then product and date attributes."""
+def wide_view_sql(fact: Table, products: Table, dates: Table, fact_month: str, day_month: str) -> str:
+    """The reporting view: every fact column, then product and date attributes.
+
+    Days are joined by their month as well, the fact's partition column, so a filter
+    on the calendar prunes the fact's partitions while the query runs.
+    """
     columns = [f"fact.`{c}`" for c in FACT_COLUMNS]
     columns.append("hour(fact.transaction_ts) AS hour_of_day")
     columns += [f"product.`{c}`" for c in VIEW_PRODUCT_COLUMNS]
@@ -140,4 +144,5 @@ def wide_view_sql(fact: Table, products: Table, dates: Table) -> str:
         f"SELECT {', '.join(columns)} FROM {fact.sql_name} AS fact"
         f" LEFT JOIN {products.sql_name} AS product ON fact.product_id = product.product_id"
         f" LEFT JOIN {dates.sql_name} AS day ON fact.date_id = day.date_key"
+        f" AND fact.`{fact_month}` = day.`{day_month}`"
     )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from goldvein.functions.amounts import month_key
+from goldvein.functions.amounts import date_key, month_key
 from goldvein.operators.dates import date_dimension_of
 from goldvein.operators.measures import Star
 from goldvein.operators.upsert import LoadResult, upsert_table
@@ -22,12 +22,16 @@ from goldvein.sources.tables import (
     create_zone,
     publish_view,
     read_table,
+    replace_partitions,
     save_table,
+    table_exists,
 )
 
 
-#: the month the fact is partitioned by, beside its own columns
-FACT_MONTH = "date_month"
+#: the month the fact is partitioned by, beside its own columns, and the calendar's
+FACT_MONTH, DAY_MONTH = "date_month", "month_key"
+#: what cleaned order lines are partitioned by
+ITEM_MONTH, ITEM_DAY = "order_month", "order_day"
 
 
 @dataclass(frozen=True)
@@ -83,12 +87,37 @@ class Lakehouse:
         return self.gold.table("v_fact_ecommerce_transaction_all_data")
 
 
-SILVER_STEPS = (
-    (feeds.BRANDS, silver.BRANDS, silver.clean_brands),
-    (feeds.PRODUCTS, silver.PRODUCTS, silver.clean_products),
-    (feeds.CATEGORIES, silver.CATEGORIES, silver.clean_categories),
-    (feeds.CUSTOMERS, silver.CUSTOMERS, silver.clean_customers),
-    (feeds.ORDER_ITEMS, silver.ORDER_ITEMS, silver.clean_order_items),
+@dataclass(frozen=True)
+class Settings:
+    """What a run leaves open; the defaults are the behaviour to match.
+
+    ``item_keys`` are the key columns of order lines; ``types``, ``not_kept`` and
+    ``thousands`` go to their cleaning, ``strict`` makes a lossy cast an error.
+    ``item_partition`` is ``month`` or ``day``: what a late line makes a load rewrite.
+    ``blank_keys_are_null`` rejects rows whose text keys are blank; off, all blank keys
+    of a feed are one row.
+    """
+
+    direction: str = "multiply"
+    coupon_when_empty: int = 1
+    exact_discount: bool = False
+    types: Mapping[str, str] | None = None
+    not_kept: Mapping[str, str] | None = None
+    thousands: tuple[str, ...] = ()
+    strict: bool = False
+    item_keys: tuple[str, ...] = silver.ORDER_ITEMS.keys
+    item_partition: str = "month"
+    blank_keys_are_null: bool = True
+
+
+DEFAULTS = Settings()
+
+FEED_TABLES = (
+    (feeds.BRANDS, silver.BRANDS),
+    (feeds.PRODUCTS, silver.PRODUCTS),
+    (feeds.CATEGORIES, silver.CATEGORIES),
+    (feeds.CUSTOMERS, silver.CUSTOMERS),
+    (feeds.ORDER_ITEMS, silver.ORDER_ITEMS),
 )
 
 
@@ -104,21 +133,52 @@ def ingest(spark: SparkSession, house: Lakehouse, batch_time: datetime) -> None:
         save_table(raw, house.bronze.table(feed.name))
 
 
+def _cleaned(
+    table: silver.SilverTable, raw: DataFrame, settings: Settings
+) -> tuple[DataFrame, Observation | None]:
+    """A cleaned feed, and where its casts count what they lose."""
+    if table is silver.BRANDS:
+        return silver.clean_brands(raw), None
+    if table is silver.CATEGORIES:
+        return silver.clean_categories(raw), None
+    if table is silver.CUSTOMERS:
+        return silver.clean_customers(raw), None
+    lost = Observation()
+    if table is silver.PRODUCTS:
+        return silver.clean_products(raw, lost, settings.strict), lost
+    lines = silver.clean_order_items(
+        raw,
+        types=dict(settings.types or {}),
+        not_kept=dict(settings.not_kept or {}),
+        thousands=settings.thousands,
+        lost=lost,
+        strict=settings.strict,
+    )
+    return lines, lost
+
+
 def refine(
-    spark: SparkSession, house: Lakehouse, batch_time: datetime
+    spark: SparkSession, house: Lakehouse, batch_time: datetime, settings: Settings = DEFAULTS
 ) -> dict[str, LoadResult]:
     """Bronze to silver: clean, deduplicate, upsert."""
     results = {}
-    for feed, table, clean in SILVER_STEPS:
-        batch = clean(read_table(spark, house.bronze.table(feed.name)))
+    for feed, table in FEED_TABLES:
+        batch, lost = _cleaned(table, read_table(spark, house.bronze.table(feed.name)), settings)
+        partition_by: dict[str, Column] = {}
+        if table.month_of:
+            partition_by[ITEM_MONTH] = month_key(F.col(table.month_of))
+            if settings.item_partition == "day":
+                partition_by[ITEM_DAY] = date_key(F.col(table.month_of))
         results[table.name] = upsert_table(
             batch,
             house.silver.table(table.name),
-            table.keys,
+            settings.item_keys if table is silver.ORDER_ITEMS else table.keys,
             rejects_root=house.rejects,
             batch_time=batch_time,
             tie_breakers=table.tie_breakers,
-            partition_by=table.partition_by,
+            partition_by=partition_by,
+            blank_keys_are_null=settings.blank_keys_are_null,
+            lost_in_casts=lost,
         )
     return results
 
@@ -127,9 +187,14 @@ def publish(
     spark: SparkSession,
     house: Lakehouse,
     rates: Mapping[str, float] | DataFrame,
-    direction: str = "multiply",
+    settings: Settings = DEFAULTS,
+    months: Collection[int] | None = None,
 ) -> None:
-    """Silver to gold: dimensions, fact by month, calendar and the wide view."""
+    """Silver to gold: dimensions, fact by month, calendar and the wide view.
+
+    ``months`` limits the fact to the months that a load has touched; the others keep
+    their files.  Publish all of them (None) when the rates have changed.
+    """
 
     def cleaned(table: silver.SilverTable) -> DataFrame:
         return read_table(spark, house.silver.table(table.name))
@@ -142,13 +207,30 @@ def publish(
     save_table(customers, house.customers)
 
     items = cleaned(silver.ORDER_ITEMS)
-    fact = gold.order_line_fact(items, rates_lookup(spark, rates), direction=direction)
+    calendar = date_dimension_of(items, "dt").withColumn(DAY_MONTH, month_key(F.col("date")))
+    save_table(calendar, house.dates)
+    if months is not None and not table_exists(spark, house.fact):
+        months = None
+    chosen = items
+    if months is not None:
+        named = F.col(ITEM_MONTH).isin([m for m in months if m is not None])
+        chosen = items.where(named | F.col(ITEM_MONTH).isNull() if None in months else named)
+    fact = gold.order_line_fact(
+        chosen,
+        rates_lookup(spark, rates),
+        direction=settings.direction,
+        coupon_when_empty=settings.coupon_when_empty,
+        exact_discount=settings.exact_discount,
+    )
     by_month = fact.withColumn(FACT_MONTH, month_key(F.col("transaction_date")))
     # the cleaned lines lie by month already, so no shuffle is needed to write them so
-    save_table(by_month, house.fact, partition_by=[FACT_MONTH], gather=False)
-    save_table(date_dimension_of(items, "dt"), house.dates)
-    publish_view(spark, house.view, gold.wide_view_sql(house.fact, house.products, house.dates))
+    if months is None:
+        save_table(by_month, house.fact, partition_by=[FACT_MONTH], gather=False)
+    elif months:
+        replace_partitions(by_month, house.fact, [(m,) for m in months], gather=False)
     reports.reconcile(items, read_table(spark, house.fact))
+    view = gold.wide_view_sql(house.fact, house.products, house.dates, FACT_MONTH, DAY_MONTH)
+    publish_view(spark, house.view, view)
 
 
 def star(spark: SparkSession, house: Lakehouse) -> Star:
@@ -165,10 +247,18 @@ def run(
     house: Lakehouse,
     rates: Mapping[str, float] | DataFrame,
     batch_time: datetime,
+    settings: Settings = DEFAULTS,
+    incremental: bool = False,
 ) -> dict[str, LoadResult]:
-    """One complete batch; running it again with the same files changes nothing."""
+    """One complete batch; running it again with the same files changes nothing.
+
+    ``incremental`` publishes only the fact months that the load has touched; it is
+    for batches between which the rates stay the same.
+    """
     set_up(spark, house)
     ingest(spark, house, batch_time)
-    results = refine(spark, house, batch_time)
-    publish(spark, house, rates)
+    results = refine(spark, house, batch_time, settings)
+    touched = results[silver.ORDER_ITEMS.name].touched
+    months = {values[0] for values in touched} if incremental and touched is not None else None
+    publish(spark, house, rates, settings, months)
     return results

@@ -40,8 +40,10 @@ def products_of(products: DataFrame, small: bool | None = None) -> Dimension:
     return dimension(products, "product_id", "product_id", VIEW_PRODUCT_COLUMNS, small=small)
 
 
-def dates_of(dates: DataFrame, month_column: str | None = None) -> Dimension:
-    """Small by construction: the calendar refuses to grow beyond its limit.
+def dates_of(
+    dates: DataFrame, month_column: str | None = None, small: bool | None = None
+) -> Dimension:
+    """The calendar, counted like any other dimension: a stray date may make it long.
 
     A filter on years also reaches the fact: as a range of its date key, by which
     the scan skips row groups, or of ``month_column`` if the fact is partitioned by
@@ -53,7 +55,7 @@ def dates_of(dates: DataFrame, month_column: str | None = None) -> Dimension:
         else _in_years("date_id", 101, 1231, 10000)
     )
     return dimension(
-        dates, "date_id", "date_key", VIEW_DATE_COLUMNS, small=True, implied={"year": in_years}
+        dates, "date_id", "date_key", VIEW_DATE_COLUMNS, small=small, implied={"year": in_years}
     )
 
 
@@ -121,60 +123,62 @@ def grand_total(
     return star.aggregate([], measures, filters)
 
 
-def order_count(star: Star) -> DataFrame:
-    return star.wide(["transaction_id"]).agg(
+def order_count(star: Star, filters: Filters = None) -> DataFrame:
+    return star.wide(["transaction_id"], filters).agg(
         F.count_distinct("transaction_id").alias("n_orders")
     )
 
 
-def quantity_by_product(star: Star) -> DataFrame:
-    return star.aggregate(["product_id"], [QUANTITY, LINES])
+def quantity_by_product(star: Star, filters: Filters = None) -> DataFrame:
+    return star.aggregate(["product_id"], [QUANTITY, LINES], filters)
 
 
-def top_values(star: Star, column: str, k: int, measure: Measure = TOTAL_SALES) -> DataFrame:
+def top_values(
+    star: Star, column: str, k: int, measure: Measure = TOTAL_SALES, filters: Filters = None
+) -> DataFrame:
     """The k best values of a column; equal sales are ordered by name."""
-    ranked = star.aggregate([column], [measure]).orderBy(F.desc(measure.name), column)
+    ranked = star.aggregate([column], [measure], filters).orderBy(F.desc(measure.name), column)
     return ranked.limit(k)
 
 
-def average_basket(star: Star) -> DataFrame:
+def average_basket(star: Star, filters: Filters = None) -> DataFrame:
     """Sales per order over all orders.
 
     Lines are summed per order first, so no distinct count over raw lines is needed.
     """
-    orders = star.aggregate(["transaction_id"], [TOTAL_SALES])
+    orders = star.aggregate(["transaction_id"], [TOTAL_SALES], filters)
     return orders.agg(
         F.sum("total_sales").alias("total_sales"),
         F.count("transaction_id").alias("n_orders"),
     ).withColumn("average_basket", F.col("total_sales") / F.col("n_orders"))
 
 
-def orders_per_customer(star: Star) -> DataFrame:
+def orders_per_customer(star: Star, filters: Filters = None) -> DataFrame:
     """Orders of each customer; pairs are made distinct before customers are counted."""
-    pairs = star.wide(["customer_id", "transaction_id"])
+    pairs = star.wide(["customer_id", "transaction_id"], filters)
     return pairs.groupBy("customer_id").agg(
         F.count_distinct("transaction_id").alias("n_orders")
     )
 
 
-def customer_recurrence(star: Star) -> DataFrame:
+def customer_recurrence(star: Star, filters: Filters = None) -> DataFrame:
     """How many customers placed how many orders."""
     return (
-        orders_per_customer(star)
+        orders_per_customer(star, filters)
         .groupBy("n_orders")
         .agg(F.count("*").alias("n_customers"))
         .orderBy("n_orders")
     )
 
 
-def sales_by_period(star: Star, period: str) -> DataFrame:
+def sales_by_period(star: Star, period: str, filters: Filters = None) -> DataFrame:
     """By ``day``, ``month`` or ``year``."""
     by = {
         "day": ["transaction_date"],
         "month": ["year", "month"],
         "year": ["year"],
     }[period]
-    return star.aggregate(by, [TOTAL_SALES, LINES]).orderBy(*by)
+    return star.aggregate(by, [TOTAL_SALES, LINES], filters).orderBy(*by)
 
 
 def row_counts(silver: DataFrame, gold: DataFrame) -> DataFrame:

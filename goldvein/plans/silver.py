@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from goldvein.functions.amounts import month_key
-from goldvein.functions.casting import cast_columns
+from goldvein.functions.casting import cast_columns, observe_losses
 from goldvein.functions.cleaning import (
     clean_frame,
     decimal_point,
@@ -16,6 +16,7 @@ from goldvein.functions.cleaning import (
     phone_columns,
     replace_values,
     upper_columns,
+    without_thousands,
 )
 
 # The type of every cleaned column.
@@ -58,7 +59,8 @@ class SilverTable:
     name: str
     keys: tuple[str, ...]
     tie_breakers: tuple[str, ...] = ()
-    partition_by: tuple[str, ...] = ()
+    #: a key column whose month the table is partitioned by, as ``order_month``
+    month_of: str | None = None
 
 
 # Table names and keys.
@@ -72,7 +74,7 @@ ORDER_ITEMS = SilverTable(
     "slv_ecommerce_order_items",
     ("dt", "customer_id", "order_id", "product_id"),
     tie_breakers=("item_seq",),
-    partition_by=("order_month",),
+    month_of="dt",
 )
 
 
@@ -88,7 +90,9 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     return clean_frame(phone_columns(raw, ["phone"]))
 
 
-def clean_products(raw: DataFrame) -> DataFrame:
+def clean_products(
+    raw: DataFrame, lost: Observation | None = None, strict: bool = False
+) -> DataFrame:
     """Units and decimal commas go, codes are upper case; texts stay as they came."""
     measured = raw.withColumns(
         {
@@ -98,7 +102,14 @@ def clean_products(raw: DataFrame) -> DataFrame:
             "height_cm": decimal_point(F.col("height_cm")),
         }
     )
-    return cast_columns(upper_columns(measured, ["category_code", "brand_code"]), PRODUCT_TYPES)
+    return _typed(upper_columns(measured, ["category_code", "brand_code"]), PRODUCT_TYPES, lost, strict)
+
+
+def _typed(
+    df: DataFrame, types: dict[str, str], lost: Observation | None, strict: bool
+) -> DataFrame:
+    """Cast by the map; count what is lost, or fail on it if ``strict``."""
+    return cast_columns(observe_losses(df, types, lost) if lost else df, types, strict=strict)
 
 
 def clean_order_items(
@@ -106,12 +117,16 @@ def clean_order_items(
     *,
     types: dict[str, str] | None = None,
     not_kept: dict[str, str] | None = None,
+    thousands: Iterable[str] = (),
+    lost: Observation | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """Clean and type order lines, and add the month the table is partitioned by.
+    """Clean and type order lines.
 
     To keep fractions of an amount, pass a decimal type in ``types`` and a
-    character set with the point in ``not_kept`` for that column.
+    character set with the point in ``not_kept`` for that column.  ``thousands``
+    names columns whose numbers may be grouped by commas.
     """
     cleaned = replace_values(clean_frame(raw, not_kept=not_kept), "quantity", QUANTITY_WORDS)
-    typed = cast_columns(cleaned, {**ORDER_ITEM_TYPES, **(types or {})})
-    return typed.withColumn("order_month", month_key(F.col("dt")))
+    cleaned = cleaned.withColumns({c: without_thousands(F.col(c)) for c in thousands})
+    return _typed(cleaned, {**ORDER_ITEM_TYPES, **(types or {})}, lost, strict)

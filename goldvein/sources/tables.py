@@ -3,15 +3,20 @@
 A table is an external parquet table whose location is a version folder.  An
 overwrite writes a new version folder first and only then re-points the table,
 so a job that dies half-way leaves readers on the old data, and a table may be
-rebuilt from itself.  Partitioned tables can also have single partitions
-replaced, which is what keeps an incremental load from rewriting the rest.
+rebuilt from itself.  In a partitioned table each partition has its own folder:
+new files are finished in a new version folder, then the partitions they hold are
+re-pointed one after the other.  Each partition switches in one step, a table is
+never dropped while its columns fit, old files stay, and a switch that broke off
+is mended by running the load again.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,9 +100,47 @@ def _register(
     )
 
 
-def _find_partitions(spark: SparkSession, table: Table, partition_by: Sequence[str]) -> None:
-    if partition_by:
-        spark.sql(f"ALTER TABLE {table.sql_name} RECOVER PARTITIONS")
+def _spec(columns: Sequence[str], values: Sequence[object]) -> str:
+    def literal(value: object) -> str:
+        if value is None:
+            return "null"
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return ", ".join(f"`{c}` = {literal(v)}" for c, v in zip(columns, values))
+
+
+def partition_values(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """The partitions that rows fall into; as many rows as the table has partitions at most."""
+    return [tuple(r) for r in df.select(*columns).distinct().collect()]
+
+
+def _written(df: DataFrame, location: str, columns: Sequence[str]) -> dict[tuple, str]:
+    """Partitions of a finished folder and the folder of each."""
+    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
+    # the path comes as a URI; a plus sign is not a space in one
+    plain = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    files = df.sparkSession.read.schema(df.schema).parquet(location)
+    rows = files.select(*columns, plain.alias("_folder")).distinct().collect()
+    return {tuple(r)[:-1]: r["_folder"] for r in rows}
+
+
+def _switch_partitions(
+    spark: SparkSession, table: Table, columns: Sequence[str], folders: dict[tuple, str], gone: Iterable[tuple] = ()
+) -> None:
+    """Point partitions at finished folders, and forget those that have no rows any more."""
+    for values, folder in folders.items():
+        spec, where = _spec(columns, values), folder.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table.sql_name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{where}'")
+        spark.sql(f"ALTER TABLE {table.sql_name} PARTITION ({spec}) SET LOCATION '{where}'")
+    for values in gone:
+        spark.sql(f"ALTER TABLE {table.sql_name} DROP IF EXISTS PARTITION ({_spec(columns, values)})")
+    spark.catalog.refreshTable(table.sql_name)
+
+
+def _fits(old: T.StructType, new: T.StructType) -> bool:
+    """Whether a table's columns are the first of the new ones, with the same types."""
+    plain = [(f.name, f.dataType) for f in new]
+    return [(f.name, f.dataType) for f in old] == plain[: len(old)]
 
 
 def _add_columns(spark: SparkSession, table: Table, fields: Sequence[T.StructField]) -> None:
@@ -127,8 +170,22 @@ def overwrite_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(location)
+    if not partition_by:
+        _register(spark, table, df, location, partition_by)
+        return
+    folders = _written(df, location, partition_by)
+    if table_exists(spark, table) and partition_columns(spark, table) == list(partition_by):
+        old = read_table(spark, table).schema
+        value_fields = [f for f in df.schema if f.name not in partition_by]
+        old_values = T.StructType([f for f in old if f.name not in partition_by])
+        if _fits(old_values, T.StructType(value_fields)):
+            _add_columns(spark, table, value_fields[len(old_values) :])
+            before = partition_values(read_table(spark, table), partition_by)
+            gone = [values for values in before if values not in folders]
+            _switch_partitions(spark, table, partition_by, folders, gone)
+            return
     _register(spark, table, df, location, partition_by)
-    _find_partitions(spark, table, partition_by)
+    _switch_partitions(spark, table, partition_by, folders)
 
 
 def append_table(df: DataFrame, table: Table) -> None:
@@ -143,15 +200,31 @@ def append_table(df: DataFrame, table: Table) -> None:
         if f.name in df.columns
     }
     partition_by = partition_columns(spark, table)
-    writer = gathered(df.withColumns(same_type), partition_by).write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(table_location(spark, table))
     _add_columns(spark, table, added)
-    _find_partitions(spark, table, partition_by)
+    df = df.withColumns(same_type)
+    if partition_by:
+        # the rows' partitions are made anew with the rows they have, and switched
+        touched = partition_values(df, partition_by)
+        have = partitions_of(read_table(spark, table), partition_by, touched)
+        both = have.unionByName(df, allowMissingColumns=True)
+        replace_partitions(both, table, touched)
+        return
+    df.write.mode("append").parquet(table_location(spark, table))
     spark.catalog.refreshTable(table.sql_name)
 
 
+def partitions_of(df: DataFrame, columns: Sequence[str], values: Sequence[tuple]) -> DataFrame:
+    """Rows of some partitions, by a filter that the scan prunes with."""
+    if not values:
+        return df.limit(0)
+    if len(columns) == 1:
+        column = F.col(columns[0])
+        named = column.isin([v[0] for v in values if v[0] is not None])
+        return df.where(named | column.isNull() if any(v[0] is None for v in values) else named)
+    hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(x)) for c, x in zip(columns, v)]) for v in values]
+    return df.where(reduce(or_, hits))
+
+
 def _with_known_columns(df: DataFrame, known: T.StructType) -> DataFrame:
     """The columns of the table first, null where ``df`` lacks them, then its own."""
     absent = {f.name: F.lit(None).cast(f.dataType) for f in known if f.name not in df.columns}
@@ -180,25 +253,24 @@ def save_table(
         overwrite_table(_with_known_columns(df, known), table, partition_by, gather)
 
 
-def replace_partitions(df: DataFrame, table: Table, gather: bool = True) -> None:
-    """Replace only the table partitions that occur in ``df``; it may read the table.
+def replace_partitions(
+    df: DataFrame, table: Table, touched: Iterable[tuple] = (), gather: bool = True
+) -> None:
+    """Replace the table partitions that occur in ``df``; it may read the table.
 
-    Spark stages the new files and moves them in when the job commits, so the
-    partitions are still readable while the query runs.
+    ``touched`` names partitions to empty if ``df`` has no rows of them.  The new files
+    are finished in a folder of their own before any partition is re-pointed.
     """
     spark = df.sparkSession
     partition_by = partition_columns(spark, table)
     added = [f for f in df.schema.fields if f.name not in read_table(spark, table).columns]
-    (
-        gathered(df, partition_by, gather)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(table_location(spark, table))
-    )
+    location = _new_location(table)
+    writer = gathered(df, partition_by, gather).write.mode("errorifexists")
+    writer.partitionBy(*partition_by).parquet(location)
+    folders = _written(df, location, partition_by)
     _add_columns(spark, table, added)
-    _find_partitions(spark, table, partition_by)
-    spark.catalog.refreshTable(table.sql_name)
+    gone = [values for values in touched if values not in folders]
+    _switch_partitions(spark, table, partition_by, folders, gone)
 
 
 def create_empty(

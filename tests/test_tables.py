@@ -104,9 +104,10 @@ def test_feed_schemas(spark):
     }
 
 
-def test_rejects_are_appended(spark, frame, tmp_path):
-    turned_away = rejects.with_reason(frame([(1,)], "i int"), "why")
-    for _ in range(2):
-        folder = rejects.append_rejects(turned_away, str(tmp_path) + "/", "t", SOME_DAY)
+def test_rejects_of_a_batch_are_written_once(spark, frame, tmp_path):
+    turned_away = frame([(1, "two\nlines")], "i int, t string")
+    for hour in (6, 6, 7):
+        time = DAY_ONE.replace(hour=hour)
+        folder = rejects.write_rejects(turned_away, str(tmp_path) + "/", "t", time, "why")
     assert folder == f"{tmp_path}/t_rejets/2024-01-01/"
-    assert pairs(spark.read.csv(folder, header=True)) == [("1", "why")] * 2
+    assert pairs(rejects.read_rejects(spark, folder)) == [(1, "two\nlines", "why")] * 2

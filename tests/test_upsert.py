@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import DAY_ONE, DAY_TWO
 from goldvein.operators import upsert
+from goldvein.sources import tables
+from goldvein.sources.rejects import read_rejects
 from goldvein.sources.tables import read_table, table_exists, table_location
 
 NOW = DAY_TWO + timedelta(hours=1)
@@ -105,7 +107,7 @@ def test_table_loads(spark, frame, zone, tmp_path, small_batch_rows):
              (None, "d", 1, "f1", DAY_ONE)]
     result = upsert.upsert_table(frame(first, BATCH), table, ["k"], batch_time=DAY_ONE, **options)
     assert (result.inserted, result.updated, result.unchanged) == (2, 0, 0)
-    rejects = spark.read.csv(result.rejects_folder, header=True)
+    rejects = read_rejects(spark, result.rejects_folder)
     assert {(r.v, r._reject_reason) for r in rejects.collect()} == {
         ("b", "duplicate_key"), ("d", "null_key"),
     }
@@ -126,11 +128,7 @@ def test_table_loads(spark, frame, zone, tmp_path, small_batch_rows):
 
 
 @pytest.mark.parametrize("small_batch_rows", [0, 100])
-@pytest.mark.parametrize("named", [0, 100])
-def test_only_touched_partitions_are_written(
-    spark, frame, zone, tmp_path, monkeypatch, small_batch_rows, named
-):
-    monkeypatch.setattr(upsert, "MAX_TOUCHED_PARTITIONS", named)
+def test_only_touched_partitions_are_written(spark, frame, zone, tmp_path, small_batch_rows):
     table = zone.table("p")
     options = {
         "rejects_root": str(tmp_path / "rejects"),
@@ -158,10 +156,8 @@ def test_only_touched_partitions_are_written(
     }
 
 
-@pytest.mark.parametrize("named", [0, 100])
 @pytest.mark.parametrize("parts", [("month",), ("month", "kind")])
-def test_null_is_a_partition_too(spark, frame, zone, tmp_path, monkeypatch, named, parts):
-    monkeypatch.setattr(upsert, "MAX_TOUCHED_PARTITIONS", named)
+def test_null_is_a_partition_too(spark, frame, zone, tmp_path, parts):
     table = zone.table("n")
     options = {"rejects_root": str(tmp_path / "rejects"), "partition_by": parts}
     schema = "k int, v string, month int, kind string, _ingested_at timestamp"
@@ -181,3 +177,69 @@ def test_an_empty_batch_creates_the_table(spark, frame, zone, tmp_path):
     )
     assert (result.inserted, result.updated, result.rejects_folder) == (0, 0, None)
     assert table_exists(spark, table) and read_table(spark, table).count() == 0
+
+
+@pytest.mark.parametrize("small_batch_rows", [0, 100])
+def test_a_row_moves_to_another_partition(spark, frame, zone, tmp_path, small_batch_rows):
+    """The key is found wherever it lies; a partition left without rows is gone."""
+    table = zone.table("m")
+    options = {
+        "rejects_root": str(tmp_path / "rejects"),
+        "partition_by": ["kind"],
+        "small_batch_rows": small_batch_rows,
+    }
+    schema = "k int, v string, kind string, _ingested_at timestamp"
+    first = [(1, "a", "x y+z:%", DAY_ONE), (2, "b", "it's", DAY_ONE), (3, "c", None, DAY_ONE)]
+    upsert.upsert_table(frame(first, schema), table, ["k"], batch_time=DAY_ONE, **options)
+    second = [(1, "a", "it's", DAY_TWO), (3, "c", "new", DAY_TWO), (4, "d", None, DAY_TWO)]
+    result = upsert.upsert_table(frame(second, schema), table, ["k"], batch_time=NOW, **options)
+    assert (result.inserted, result.updated, result.unchanged) == (1, 2, 0)
+    rows = {r.k: (r.v, r.kind, r.date_creation) for r in read_table(spark, table).collect()}
+    assert rows == {
+        1: ("a", "it's", DAY_ONE), 2: ("b", "it's", DAY_ONE), 3: ("c", "new", DAY_ONE),
+        4: ("d", None, DAY_TWO),
+    }
+    assert spark.sql(f"SHOW PARTITIONS {table.sql_name}").count() == 3
+
+
+def test_a_load_that_breaks_off_leaves_the_old_rows(spark, frame, zone, tmp_path):
+    table = zone.table("b")
+    options = {"rejects_root": str(tmp_path / "rejects"), "partition_by": ["month"]}
+    schema = "k int, month int, v string, _ingested_at timestamp"
+    first = [(1, 1, "a", DAY_ONE), (2, 2, "b", DAY_ONE)]
+    upsert.upsert_table(frame(first, schema), table, ["k", "month"], batch_time=DAY_ONE, **options)
+    second = frame([(1, 1, "A", DAY_TWO), (2, 2, "B", DAY_TWO)], schema)
+    target = read_table(spark, table)
+    broken = target.withColumn("v", F.when(F.col("k") == 2, F.raise_error(F.lit("lost"))).otherwise("?"))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_partitions(broken, table)
+    assert {r.k: r.v for r in read_table(spark, table).collect()} == {1: "a", 2: "b"}
+    upsert.upsert_table(second, table, ["k", "month"], batch_time=NOW, **options)
+    assert {r.k: r.v for r in read_table(spark, table).collect()} == {1: "A", 2: "B"}
+
+
+def test_partition_expressions_use_key_columns_only(frame, zone, tmp_path):
+    batch = frame(BATCH_ROWS, BATCH)
+    with pytest.raises(Exception, match="w"):
+        upsert.upsert_table(
+            batch, zone.table("e"), ["k"], rejects_root=str(tmp_path), batch_time=NOW,
+            partition_by={"part": F.col("w") % 2},
+        )
+
+
+def test_a_wide_batch_is_not_broadcast(frame):
+    assert upsert._fits_broadcast(frame(BATCH_ROWS, BATCH), 100)
+    wide = frame([(1, "x" * (9 << 20))], "k int, v string").selectExpr("k", *[f"v AS v{i}" for i in range(8)])
+    assert not upsert._fits_broadcast(wide, 100)
+
+
+def test_blank_keys(spark, frame, zone, tmp_path):
+    schema = "k string, v int, _ingested_at timestamp"
+    rows = [("a", 1, DAY_ONE), ("", 2, DAY_ONE), ("  ", 3, DAY_ONE)]
+    for name, blank_is_null, kept in (("s", True, {"a"}), ("t", False, {"a", "", "  "})):
+        table = zone.table(name)
+        upsert.upsert_table(
+            frame(rows, schema), table, ["k"], rejects_root=str(tmp_path / name), batch_time=NOW,
+            blank_keys_are_null=blank_is_null,
+        )
+        assert {r.k for r in read_table(spark, table).collect()} == kept
