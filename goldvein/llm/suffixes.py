@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,15 +171,15 @@ def _shared(rows: np.ndarray) -> np.ndarray:
 
 
 def suffix_runs(texts: DataFrame, length: int, gram: int, parts: int) -> DataFrame:
-    """Step 2, of rows (doc, text, places): front-coded sorted runs by part, and repeats known already."""
+    """Step 2, of rows (doc, id, text, places): front-coded sorted runs by part, and repeats known already."""
     left_most = length - gram
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            places = batch.column(2)
+            places = batch.column(3)
             right, left, doc, at, size, ahead = [], [], [], [], [], []
-            for row, data, offsets in blocks(batch.column(1)):
+            for row, data, offsets in blocks(batch.column(2)):
                 own = [places[row + i] for i in range(len(offsets) - 1)]
                 n = [len(x) if x.is_valid else 0 for x in own]
                 if not sum(n):
@@ -213,7 +214,7 @@ def suffix_runs(texts: DataFrame, length: int, gram: int, parts: int) -> DataFra
             again = np.flatnonzero(later & (size + ahead >= length))
             # a repeat of the batch goes by its own text, an entry of its own by part
             send = np.flatnonzero(~same | ~later)
-            out = []
+            out, small = [], zstandard.ZstdCompressor().compress
             edge = np.append(np.flatnonzero(_firsts(part[send])), len(send))
             shared = _shared(right[send])
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
@@ -221,7 +222,7 @@ def suffix_runs(texts: DataFrame, length: int, gram: int, parts: int) -> DataFra
                 lcp = shared[a:b].copy()
                 lcp[0] = 0
                 rest = right[r][np.arange(length) >= lcp[:, None]].tobytes()
-                out.append((int(part[r[0]]), lcp.tobytes(), rest, left[r].tobytes(), pack(doc[r]), pack(at[r].astype(np.int32)), size[r].astype(np.uint8).tobytes(), ahead[r].astype(np.uint8).tobytes()))
+                out.append((int(part[r[0]]), lcp.tobytes(), small(rest), small(left[r].tobytes()), pack(doc[r]), pack(at[r].astype(np.int32)), size[r].astype(np.uint8).tobytes(), ahead[r].astype(np.uint8).tobytes()))
             begin, end = _merged(doc[again], at[again] - ahead[again], at[again] + size[again])
             for p in np.unique(begin[:, 0] % parts).tolist():
                 mine = begin[:, 0] % parts == p
@@ -312,11 +313,11 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[tuple[in
 
 def repeats(found: DataFrame, length: int, gram: int) -> DataFrame:
     """Steps 3 and 4: (doc, start, end), the bytes of repeated strings."""
-    left_most = length - gram
+    left_most, large = length - gram, zstandard.decompress
 
     def strings(r: dict) -> tuple[list[bytes], list[int]]:
         lcp = list(r["lcp"])
-        rest, out, before, p = r["rest"], [], b"", 0
+        rest, out, before, p = large(r["rest"]), [], b"", 0
         for n in lcp:
             before = before[:n] + rest[p : p + length - n]
             p += length - n
@@ -331,7 +332,7 @@ def repeats(found: DataFrame, length: int, gram: int) -> DataFrame:
         lcp = np.array(shared)
         lcp[0] = 0
         near = np.maximum(lcp, np.append(lcp[1:], 0)) >= gram
-        left = np.frombuffer(b"".join(r["left"] for r in rows), np.uint8).reshape(-1, left_most)[o]
+        left = np.frombuffer(b"".join(large(r["left"]) for r in rows), np.uint8).reshape(-1, left_most)[o]
         doc, place = (np.concatenate([unpack(r[c], t) for r in rows])[o] for c, t in (("doc", np.int64), ("place", np.int32)))
         size, ahead = (np.concatenate([np.frombuffer(r[c], np.uint8) for r in rows])[o].astype(np.int64) for c in ("size", "ahead"))
         before = np.zeros(len(o), np.uint64)
@@ -378,16 +379,17 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     plain = docs.select(own.alias("doc"), F.col(id).alias("id"), F.col(text).alias("text"))
     shared = shared_anchors(anchor_parts(plain.select("doc", "text"), length, gram, parts))
     places = shared.groupBy("doc").agg(F.collect_list("place").alias("places"))
-    at = plain.join(places, "doc", "left").select("doc", "text", "places")
+    # with the same columns and join as below, so that Spark shuffles the texts once
+    at = plain.join(places, "doc", "left").select("doc", "id", "text", "places")
     found = repeats(suffix_runs(at, length, gram, parts), length, gram)
     spans = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    joined = plain.join(spans, "doc", "left").select("id", "text", "spans")
+    joined = plain.join(spans, "doc", "left").select("doc", "id", "text", "spans")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, gone, count, kept = [], [], [], []
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for raw, spans in zip(texts, batch.column(2).to_pylist()):
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            for raw, spans in zip(texts, batch.column(3).to_pylist()):
                 raw, left, done, n, runs = raw or b"", [], 0, 0, 0
                 for s in spans or ():
                     if s["start"] > done or not runs:
@@ -402,7 +404,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
                 count.append(runs)
                 kept.append(b"".join(left))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary())],
+                [batch.column(1), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary())],
                 ["id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
