@@ -374,7 +374,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     gram = min(gram, length - 1)
     if gram < 8:
         raise ValueError("length must be 9 or more, gram 8 or more")
-    parts = 64 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
     plain = docs.select(own.alias("doc"), F.col(id).alias("id"), F.col(text).alias("text"))
     shared = shared_anchors(anchor_parts(plain.select("doc", "text"), length, gram, parts))
