@@ -3,8 +3,8 @@
 A text's distinct word shingles are hashed to 64 bits.  The first bits of a hash name
 one of `BUCKETS` buckets; of the smallest remainder in a bucket the sketch stores the
 count of leading zeros and the ten bits after the first one, 16 bits in all.  Empty
-buckets borrow from others by one fixed probing order, so registers of equal sets are
-equal and a register of two sets agrees about as often as their Jaccard index.
+buckets are marked; for banding they borrow from others by one fixed probing order, so a
+register of two sets agrees about as often as their Jaccard index.
 
 1. Texts with the same shingle set are one class; only its smallest id goes on.
 2. Bands of registers (and, for very short texts, a prefix of their shingles in hash
@@ -14,11 +14,11 @@ equal and a register of two sets agrees about as often as their Jaccard index.
    are left; the rest are confirmed on the full sets.
 4. Confirmed links give components.  Buckets that still hold several components are
    looked through again, in blocks: a block's most central member is paired with all
-   that may link with it, and each member with its likeliest untested partners in other
-   components: one at first, more in later rounds, when few members are left.  A pair
-   that shares several bands counts in the first of them only.  This repeats until no
-   pair is left to test, so no link between components is lost, while a bucket whose
-   members are already one component costs nothing more.
+   that may link with it, and each member with its likeliest untested partner in another
+   component.  In a last round, when few members are left apart, all pairs that are
+   left are tested, so no link between components is lost, while a bucket whose members
+   are already one component costs nothing more.  A pair that shares several bands
+   counts in the first of them only.
 
 Sizes alone rule out pairs whose larger set is more than 100 / percent times the
 smaller one.  Two short texts are compared by their sets at once, not by an estimate.
@@ -41,14 +41,15 @@ from goldvein.llm.graph import components
 from goldvein.llm.hashing import blocks, mix, shingles, words
 from goldvein.session import scratch_path
 
-BITS = 7
+BITS = 8
 BUCKETS = 1 << BITS
 MANTISSA = 10
 ROWS, BANDS = 5, 25  # a pair at 0.8 shares no band with a chance below 1e-4
 SHORT = 30  # up to so many shingles a text also has prefix keys
-MARGIN = 4.0  # standard deviations below the threshold that an estimate may be
+MARGIN = 3.5  # standard deviations below the threshold that an estimate may be
 BLOCK = 1000  # members of a bucket compared at once
-PARTNERS = (1, 8, 64)  # of a member in a block, by round; as many as the last from then on
+PARTNERS = (1, None)  # of a member in a block, by round; None: all
+EMPTY = 0xFFFF
 CROWD = 16  # members from which a block has a central one
 MEMBERS = 2000  # texts compared with one copy of a leader's text
 
@@ -71,24 +72,37 @@ def shingle_sets(column: pa.Array, n: int, lower: bool) -> Iterator[np.ndarray]:
 def registers(least: np.ndarray, full: np.ndarray) -> np.ndarray:
     """16-bit registers of rows of bucket minima; full marks the buckets in use."""
     rest = (least << np.uint64(BITS)) | np.uint64(1 << (BITS - 1))
-    zeros = (64 - np.frexp(rest.astype(np.float64))[1]).clip(0, 63).astype(np.uint64)
+    zeros = (64 - np.frexp(rest.astype(np.float64))[1]).clip(0, 62).astype(np.uint64)
     bits = (rest << zeros << np.uint64(1)) >> np.uint64(64 - MANTISSA)
-    out = ((zeros << np.uint64(MANTISSA)) | bits).astype(np.uint16)
+    return np.where(full, (zeros << np.uint64(MANTISSA)) | bits, np.uint64(EMPTY)).astype(np.uint16)
+
+
+def densified(table: np.ndarray) -> np.ndarray:
+    """Rows of registers whose empty ones hold what they borrow."""
+    out, full = table.copy(), table != EMPTY
     got = full.copy()
     for probe in _PROBE:
-        take = ~got & full[:, probe]
-        if take.any():
-            out[take] = out[:, probe][take]
-            got |= take
         if got.all():
             return out
+        take = ~got & full[:, probe]
+        out[take] = table[:, probe][take]
+        got |= take
     nearest = np.maximum.accumulate(np.where(full, np.arange(BUCKETS), -1), axis=1)
     nearest = np.where(nearest < 0, nearest[:, -1:], nearest)
     rows, cols = np.nonzero(~got & full.any(axis=1)[:, None])
-    out[rows, cols] = out[rows, nearest[rows, cols]]
+    out[rows, cols] = table[rows, nearest[rows, cols]]
     return out
 
 
+def band_keys(table: np.ndarray) -> np.ndarray:
+    """A hash for each band of rows of registers."""
+    part = densified(table)[:, : BANDS * ROWS].reshape(len(table), BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(32), part.shape[:2]).copy()
+    for r in range(ROWS):
+        key = mix(key + part[:, :, r])
+    return key
+
+
 def sketches(docs: DataFrame, n: int, lower: bool) -> DataFrame:
     """(id, n_shingles, set_a, set_b, registers, short) of rows (id, text)."""
 
@@ -143,10 +157,7 @@ def bands(nodes: DataFrame, percent: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            part = _unpacked(batch.column(1))[:, : BANDS * ROWS].reshape(len(ids), BANDS, ROWS).astype(np.uint64)
-            key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(32), part.shape[:2]).copy()
-            for r in range(ROWS):
-                key = mix(key + part[:, :, r])
+            key = band_keys(_unpacked(batch.column(1)))
             sets = [(i, _short(raw)) for i, raw in zip(ids, batch.column(2).to_pylist()) if raw]
             extra = [(k, i) for i, s in sets for k in mix(s[: len(s) - (percent * len(s) + 99) // 100 + 1]).view(np.int64)]
             yield pa.RecordBatch.from_pydict(
@@ -162,7 +173,9 @@ def bands(nodes: DataFrame, percent: int) -> DataFrame:
 
 def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Jaccard estimates of rows of registers, corrected for chance agreement."""
-    return ((x == y).mean(axis=-1) - _CHANCE) / (1 - _CHANCE)
+    used = (x != EMPTY) | (y != EMPTY)
+    agree = ((x == y) & used).sum(axis=-1) / np.maximum(1, used.sum(axis=-1))
+    return (agree - _CHANCE) / (1 - _CHANCE)
 
 
 def may_link(x: dict, y: dict, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +186,10 @@ def may_link(x: dict, y: dict, percent: int) -> tuple[np.ndarray, np.ndarray]:
     t, n = percent / 100, y["n_shingles"]
     small, large = np.minimum(n, x["n_shingles"]), np.maximum(n, x["n_shingles"])
     near = estimate(x["registers"], y["registers"])
-    least = t - MARGIN * (t * (1 - t) / np.minimum(BUCKETS, large)) ** 0.5
+    # registers sample the union of the sets, and of a small union they hold nearly all
+    union = (small + large) / (1 + t)
+    drawn = BUCKETS * (1 - np.exp(-union / BUCKETS))
+    least = t - MARGIN * (t * (1 - t) / drawn * np.maximum(1 - drawn / union, 0.1)) ** 0.5
     may = 100 * small >= percent * large
     if x["short"] is None:
         return may & (near >= least), near
@@ -254,7 +270,7 @@ def _central(table: np.ndarray) -> int:
 
 
 def untested(
-    keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFrame, percent: int, partners: int
+    keys: DataFrame, nodes: DataFrame, label: DataFrame, tested: DataFrame, percent: int, partners: int | None
 ) -> DataFrame:
     """Likely pairs (a, b) of one bucket in different components that are not tested yet.
 
@@ -288,20 +304,19 @@ def untested(
         short = [_short(r["short"]) for r in right]
         ids, comp = np.array([r["id"] for r in right]), np.array([r["component"] for r in right])
         band = right[0]["band"]
-        banded = table["registers"][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+        keyed = band_keys(table["registers"])[:, : max(band, 0)]
+        mine = keyed if left is right else band_keys(np.frombuffer(b"".join(r["registers"] for r in left), np.uint16).reshape(-1, BUCKETS))[:, : max(band, 0)]
         central = _central(table["registers"]) if left is right and len(right) >= CROWD else -1
         for n, r in enumerate(left):
             at = np.flatnonzero((comp != r["component"]) & ~np.isin(ids, r["done"] or []))
+            if n != central and len(at):
+                at = at[~(keyed[at] == mine[n]).any(axis=1)]  # no earlier band in common
             if not len(at):
                 continue
             x = {"registers": np.frombuffer(r["registers"], np.uint16), "n_shingles": r["n_shingles"], "short": _short(r["short"])}
             may, near = may_link(x, {k: v[at] for k, v in table.items()} | {"short": [short[k] for k in at]}, percent)
             at, near = at[may], near[may]
             if n != central:
-                if band >= 0 and len(at):
-                    equal = (banded[at] == x["registers"][: BANDS * ROWS].reshape(BANDS, ROWS)).all(axis=2)
-                    first = equal.argmax(axis=1) == band
-                    at, near = at[first], near[first]
                 at = at[np.argsort(-near, kind="stable")][:partners]
             for k in at.tolist():
                 yield min(r["id"], int(ids[k])), max(r["id"], int(ids[k]))
@@ -371,16 +386,15 @@ def near_duplicates(
     texts = keep(texts, "texts")
     more = likely(keys.where("a < id").select("a", F.col("id").alias("b")).distinct(), nodes, percent)
     label = nodes.select("id", F.col("id").alias("component"))
-    tested, keys, turn = None, keys.select("key", "band", "id"), 0
-    while True:
+    tested, keys = None, keys.select("key", "band", "id")
+    for partners in (*PARTNERS, 0):
         new = keep(confirm(more, texts, shingle, lower, percent), "tested")
         tested = new if tested is None else tested.unionByName(new)
         label = keep(_merged(label, new.where("linked")), "labels")
-        keys = keep(still_mixed(keys, label), "mixed")
-        partners = PARTNERS[min(turn, len(PARTNERS) - 1)]
-        more, turn = keep(untested(keys, nodes, label, tested, percent, partners), "pairs"), turn + 1
-        if more.isEmpty():
+        if partners == 0:
             break
+        keys = keep(still_mixed(keys, label), "mixed")
+        more = keep(untested(keys, nodes, label, tested, percent, partners), "pairs")
     of_id = member.groupBy("id").agg(F.min("class_id").alias("class_id")).join(label.withColumnRenamed("id", "class_id"), "class_id")
     of_id = of_id.groupBy("id").agg(F.min("class_id").alias("class_id"), F.min("component").alias("component_id"))
     out = sketch.select("id", "n_shingles").join(of_id, "id", "left")

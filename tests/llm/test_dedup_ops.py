@@ -97,7 +97,7 @@ def test_estimates_follow_jaccard():
             least[i] = s[np.minimum(np.searchsorted(s, hyperminhash._EDGE), len(s) - 1)]
         r = hyperminhash.registers(least, (least >> np.uint64(64 - hyperminhash.BITS)) == hyperminhash._OWN)
         true = len(both) / (2 * n - len(both))
-        assert abs(float(hyperminhash.estimate(r[0], r[1])) - true) < 0.16
+        assert abs(float(hyperminhash.estimate(r[0], r[1])) - true) < 0.12
 
 
 def brute_windows(rows, window):
