@@ -6,6 +6,7 @@ from conftest import DAY_ONE, DAY_TWO
 from goldvein.functions.cleaning import NOT_KEPT_WITH_POINT
 from goldvein.plans import gold, medallion, reports, silver
 from goldvein.sources.feeds import ORDER_ITEMS
+from goldvein.sources.rejects import read_rejects
 from goldvein.sources.tables import read_table
 
 FILES = {
@@ -58,7 +59,7 @@ def test_full_run_and_second_day(spark, house):
         "slv_ecommerce_customers": 3, "slv_ecommerce_order_items": 2,
     }
     folder = results["slv_ecommerce_order_items"].rejects_folder
-    reasons = sorted(r._reject_reason for r in spark.read.csv(folder, header=True).collect())
+    reasons = sorted(r._reject_reason for r in read_rejects(spark, folder).collect())
     assert reasons == ["duplicate_key", "null_key"]
 
     products = {r.product_id: r for r in read_table(spark, house.products).collect()}
@@ -105,6 +106,11 @@ def test_full_run_and_second_day(spark, house):
     again = medallion.run(spark, house, {"USD": 1.1}, DAY_TWO)
     assert {(r.inserted, r.updated) for r in again.values()} == {(0, 0)}
 
+    # a filter on the calendar prunes the fact behind the view
+    scan = view.where("year = 2024").groupBy("channel").sum("net_amount")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
     # one changed line, one new month
     lines = FILES["order_items/landing"].splitlines()
     changed = lines[1].replace("$100", "$110")
@@ -140,3 +146,42 @@ def test_amounts_with_fractions(frame):
     assert str(line.net_amount) == "27.25"
     whole = gold.line_amounts(silver.clean_order_items(raw)).first()
     assert (whole.unit_price, whole.gross_amount) == (1025, 3075)
+
+
+def fact_files(spark, house):
+    rows = read_table(spark, house.fact).select("date_month", "_metadata.file_path").distinct()
+    return {r.date_month: r.file_path for r in rows.collect()}
+
+
+def test_incremental_days_and_settings(spark, house):
+    """A second day rewrites only the fact months it touches; a mistyped year is published."""
+    settings = medallion.Settings(
+        item_keys=("dt", "order_id", "item_seq"), item_partition="day", thousands=("unit_price",),
+        not_kept={"unit_price": r"[^0-9,]"}, coupon_when_empty=0, direction="divide",
+    )
+    write_feeds(house, FILES)
+    first = medallion.run(spark, house, {"USD": 2.0}, DAY_ONE, settings, incremental=True)
+    lost = first["slv_ecommerce_order_items"].lost_in_casts
+    assert lost["dt"] == 1 and lost["unit_price"] == 0 and lost["quantity"] == 0
+    assert first["slv_ecommerce_order_items"].inserted == 3  # both lines of order 100
+    before = fact_files(spark, house)
+    head = FILES["order_items/landing"].splitlines()[0]
+    text = "\n".join(
+        [head, "2024-01-07,2024-01-07 01:00:00,C3,103,1,1,1,USD,\"$1,234\",0%,0,web,",
+         "0204-01-06,2024-01-06 01:00:00,C3,104,1,1,1,EUR,$10,0%,0,web,X"]
+    )
+    write_feeds(house, {"order_items/landing": text + "\n"})
+    medallion.run(spark, house, {"USD": 2.0}, DAY_TWO, settings, incremental=True)
+    after = fact_files(spark, house)
+    assert set(after) == {20401, 202401, 202402} and after[202402] == before[202402]
+    assert after[202401] != before[202401]
+    wide = {(r.transaction_id, r.seq_no): r for r in read_table(spark, house.view).collect()}
+    assert len(wide) == 5 and wide[104, 1].year == 204
+    line = wide[103, 1]
+    assert (line.unit_price, line.net_amount_eur, line.coupon_flag) == (1234, 617, 0)
+
+
+def test_strict_casts_fail(spark, house):
+    write_feeds(house, FILES)
+    with pytest.raises(Exception, match="bad"):
+        medallion.run(spark, house, {}, DAY_ONE, medallion.Settings(strict=True))
