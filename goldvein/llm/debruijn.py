@@ -16,8 +16,9 @@ minimizer in a row travel as one piece.  Pieces, not words, are shuffled.
    a path ends where the source branches off to another text or coordinate.
 4. Paths are joined with the texts by id, and the words they cover are removed.
 
-An edge is compared by the 64-bit hash of its minimizer and 32 more bits of its own
-words; a false match needs the same minimizer and an accident of 2^-32.
+An edge is compared by the 64-bit hash of all its words and 32 bits of its minimizer,
+so edges of one minimizer, however common, are told apart by 64 bits: ten million
+different ones have a false match with a chance of about 3e-6.
 
 Edge cases: null or empty texts, and texts shorter than the window, keep all words.
 Rows with a null id come after all others.  Rows with the same id are one text: spans
@@ -41,7 +42,7 @@ MINIMIZER = 8
 LAST = (1 << 63) - 1  # stands for a null id
 
 _PIECES = pa.schema(
-    [("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("src_start", pa.int32()), ("edges", pa.binary())]
+    [("key", pa.int32()), ("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("src_start", pa.int32()), ("edges", pa.binary())]
 )
 _REPEATS = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("src_start", pa.int32())])
 
@@ -74,7 +75,7 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, window: int, small: int) -> d
     content = mix(edge[begin] + mix(edge[begin + n - 1] + n.astype(np.uint64)))
     return {
         "text": text[begin], "start": at[begin] - w.first[text[begin]], "n": n,
-        "key": g[least[begin]], "content": content, "edge": (edge >> np.uint64(32)).astype(np.uint32),
+        "key": (mix(g[least[begin]]) >> np.uint64(32)).astype(np.uint32).view(np.int32), "content": content, "edge": edge,
     }
 
 
@@ -113,22 +114,22 @@ def pieces(docs: DataFrame, window: int, small: int) -> DataFrame:
             first = origin == np.arange(len(origin))
             ends = np.cumsum(p["n"])
             keep = np.flatnonzero(first)
-            raw, stop = p["edge"].tobytes(), ends * 4
-            begin = stop - p["n"] * 4
+            raw, stop = p["edge"].tobytes(), ends * 8
+            begin = stop - p["n"] * 8
             edges = [raw[a:b] for a, b in zip(begin[keep].tolist(), stop[keep].tolist())]
             none = pa.nulls(len(keep), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(p["key"][keep].view(np.int64)), pa.array(doc[keep]), pa.array(p["start"][keep].astype(np.int32)), pa.array(p["n"][keep].astype(np.int32)), none, none.cast(pa.int32()), pa.array(edges, pa.binary())],
+                [pa.array(p["key"][keep]), pa.array(doc[keep]), pa.array(p["start"][keep].astype(np.int32)), pa.array(p["n"][keep].astype(np.int32)), none, none.cast(pa.int32()), pa.array(edges, pa.binary())],
                 schema=_PIECES,
             )
             same = (doc[origin] == doc) & (p["start"][origin] == p["start"])
             rest = np.flatnonzero(~first & ~same)
             far = origin[rest]
             r = _joined_runs(doc[rest], p["start"][rest], p["n"][rest], doc[far], p["start"][far], p["text"][rest])
-            spread = mix(r.column(0).to_numpy().view(np.uint64) + r.column(1).to_numpy().astype(np.uint64)).view(np.int64)
+            spread = mix(r.column(0).to_numpy().view(np.uint64) + r.column(1).to_numpy().astype(np.uint64)).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(spread), *r.columns, pa.nulls(len(r), pa.binary())], schema=_PIECES)
 
-    return docs.mapInArrow(task, "key long, doc long, start int, n int, src long, src_start int, edges binary")
+    return docs.mapInArrow(task, "key int, doc long, start int, n int, src long, src_start int, edges binary")
 
 
 def _repeated(t: pa.Table) -> pa.RecordBatch:
@@ -143,14 +144,13 @@ def _repeated(t: pa.Table) -> pa.RecordBatch:
     n = t.column("n").to_numpy()[use].astype(np.int64)
     row = np.repeat(np.arange(len(use)), n)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    edge = np.frombuffer(b"".join(t.column("edges").take(pa.array(use)).to_pylist()), np.uint32).astype(np.uint64)
-    full = mix(key[use].view(np.uint64)[row] + edge)
+    edge = np.frombuffer(b"".join(t.column("edges").take(pa.array(use)).to_pylist()), np.uint64)
     doc, start = t.column("doc").to_numpy()[use][row], t.column("start").to_numpy()[use].astype(np.int64)[row] + inside
-    order = np.lexsort((start, doc, full))
-    f = full[order]
-    fresh = np.append(True, f[1:] != f[:-1]) if len(f) else np.zeros(0, bool)
+    order = np.lexsort((start, doc, edge, key[use][row]))
+    e, k = edge[order], key[use][row][order]
+    fresh = np.append(True, (e[1:] != e[:-1]) | (k[1:] != k[:-1])) if len(e) else np.zeros(0, bool)
     origin = np.empty(len(order), np.int64)
-    origin[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(f) else order
+    origin[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(e) else order
     later = np.flatnonzero((doc[origin] != doc) | (start[origin] != start))
     far = origin[later]
     return _joined_runs(doc[later], start[later], np.ones(len(later), np.int64), doc[far], start[far], row[later])

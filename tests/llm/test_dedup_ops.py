@@ -144,6 +144,16 @@ def test_paths_name_their_source(docs_of, some_words):
     assert [tuple(s) for s in spans[2]] == [(2, 52, 1, 30)]
 
 
+def test_edges_of_one_minimizer_that_agree_in_32_bits(docs_of):
+    """Two windows around a common line; the upper halves of their hashes are equal, their words are not."""
+    line = [f"l33490x{j}" for j in range(8)]
+    rows = [(k, " ".join([f"a{first + j}" for j in range(12)] + line)) for k, first in ((1, 51432), (2, 292296))]
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    found = debruijn._pieces(data, np.array([0, len(rows[0][1]), len(data)]), 20, 8)
+    assert found["key"][0] == found["key"][1]
+    assert removed(docs_of(rows)) == brute_windows(rows, 20)
+
+
 def brute_bytes(rows, length):
     ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     last = 1 << 63
