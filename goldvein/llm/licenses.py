@@ -106,22 +106,33 @@ def scan(text: np.ndarray, template: list[int], least: float) -> list[tuple[floa
     wide = int(np.ceil(SLACK * len(template)))
     inside = np.isin(text, template)
     place = np.flatnonzero(inside)
-    out, p = [], 0
-    while p < len(place):
-        start = int(place[p])
-        stretch = text[start : start + wide]
-        if len(set(stretch[np.isin(stretch, template)].tolist())) < need:
-            p += 1
-            continue
+    out: list[tuple[float, int, int]] = []
+
+    def match(start: int, stop: int) -> tuple[float, int, int] | None:
+        end = min(start + wide, stop)
+        stretch = text[start:end]
+        if len(set(stretch[inside[start:end]].tolist())) < need:
+            return None
         pairs = align(template, stretch.tolist())
         coverage = len(pairs) / len(template)
-        if coverage >= least:
-            first, last = start + pairs[0][1], start + pairs[-1][1] + 1
-            out.append((coverage, first, last))
-            p = int(np.searchsorted(place, last))
-        else:
+        return (coverage, start + pairs[0][1], start + pairs[-1][1] + 1) if coverage >= least else None
+
+    todo = [(0, len(text))]
+    while todo:
+        start, stop = todo.pop()
+        p = int(np.searchsorted(place, start))
+        while p < len(place) and place[p] < stop and (best := match(int(place[p]), stop)) is None:
             p += 1
-    return out
+        if p == len(place) or place[p] >= stop:
+            continue
+        begin = int(place[p])
+        while (p := p + 1) < len(place) and place[p] < best[2]:
+            other = match(int(place[p]), stop)
+            if other and (other[0], other[1] - other[2]) > (best[0], best[1] - best[2]):
+                best = other
+        out.append(best)
+        todo += [(best[2], stop), (begin, best[1])]
+    return sorted(out, key=lambda m: m[1])
 
 
 def find_licenses(

@@ -230,6 +230,20 @@ def test_licenses_of_texts(docs_of, odd_texts, some_words):
     assert licenses.find_licenses(docs_of([])).count() == 0
 
 
+def test_licenses_behind_stray_template_words(docs_of):
+    mit, gpl = licenses.TEMPLATES["mit"], licenses.TEMPLATES["gpl-3.0"]
+    rows = [
+        (1, f"see the full text {mit}"),
+        (2, f"thanedble the, anea. Eriner thanea. {gpl}"),
+        (3, f"the this under {gpl} under {mit} {mit}"),
+        (4, f"released under our mit license {mit}"),
+    ]
+    got = {r.doc_id: [tuple(m) for m in r.matches] for r in licenses.find_licenses(docs_of(rows)).collect()}
+    assert got[1] == [("mit", 1.0, 4, 9)] and got[2] == [("gpl-3.0", 1.0, 5, 17)]
+    assert got[3] == [("gpl-3.0", 1.0, 3, 15), ("mit", 1.0, 16, 21), ("mit", 1.0, 21, 26)]
+    assert got[4] == [("mit", 1.0, 5, 10), ("mit", 0.8, 0, 5)]
+
+
 # URLs
 
 
