@@ -9,8 +9,9 @@ from both of its ends.  Coverage is the share of the template's words that are
 matched.  Scanning goes on behind each match, so repeated notices are all found.
 
 A map over whole texts, without a shuffle.  Templates are a parameter, broadcast with
-the task; a text is aligned only if it has the distinct words that the least coverage
-needs, so most texts cost one hash lookup a word.
+the task; a text is aligned only if it has as many distinct words as the least coverage
+needs at least (the commonest of the template first, as repeats count), so most texts
+cost one hash lookup a word.
 
 Edge cases: null and empty texts match nothing; a template without words matches
 nothing; ties go to the template first in sort order, then the first place.
@@ -99,10 +100,19 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def fewest(template: list[int], least: float) -> int:
+    """The least number of distinct words by which the coverage can be reached; one without words needs 1."""
+    total, used = 0, 0
+    for n in sorted(Counter(template).values(), reverse=True):
+        if total / len(template) >= least:
+            break
+        total, used = total + n, used + 1
+    return max(1, used)
+
+
 def scan(text: np.ndarray, template: list[int], least: float) -> list[tuple[float, int, int]]:
     """(coverage, first word, last word + 1) of each match in word numbers; -1 is another word."""
-    wanted = len(set(template))
-    need = np.ceil(least * wanted)
+    need = fewest(template, least)
     wide = int(np.ceil(SLACK * len(template)))
     inside = np.isin(text, template)
     place = np.flatnonzero(inside)
@@ -158,7 +168,7 @@ def find_licenses(
     member = np.zeros((max(1, len(known)), len(numbered)), np.float32)
     for t, (_, own) in enumerate(numbered):
         member[own, t] = 1
-    need = np.maximum(1, np.ceil(least * member.sum(axis=0)))
+    need = np.array([fewest(own, least) for _, own in numbered])
     schema = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("from_word", pa.int32()), ("to_word", pa.int32())]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -244,6 +244,15 @@ def test_licenses_behind_stray_template_words(docs_of):
     assert got[4] == [("mit", 1.0, 5, 10), ("mit", 0.8, 0, 5)]
 
 
+def test_licenses_with_repeated_template_words(docs_of):
+    """Six words that the template has once are changed: 25 of 31 words, 17 of 23 distinct ones."""
+    changed = {"except": "but", "compliance": "line", "with": "by", "obtain": "get", "a": "any", "copy": "print"}
+    notice = " ".join(changed.get(w, w) for w in licenses.TEMPLATES["apache-2.0-notice"].split())
+    found = licenses.find_licenses(docs_of([(1, notice)])).first().matches
+    assert ("apache-2.0-notice", 25 / 31) in [(m.license, m.coverage) for m in found]
+    assert licenses.fewest([1, 1, 1, 2, 3, 4], 0.8) == 3 and licenses.fewest([1, 2, 3, 4, 5], 0.8) == 4
+
+
 # URLs
 
 
