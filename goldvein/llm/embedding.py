@@ -13,8 +13,10 @@ samples like a reservoir: step j replaces what the slot holds with a chance of
 from the whole walk, and walks of nearly equal length sample mostly the same steps.
 
 Near duplicates are found by banding: a band is eight bits at each of `BAND` slots.
-Texts that share a band's bits meet at the bucket's smallest text and are confirmed by
-the Hamming distance of whole fingerprints; links give components.
+All pairs of texts that share a band's bits are confirmed by the Hamming distance of
+whole fingerprints, each in the first band that they share; links give components.
+Buckets are looked at in blocks of about `BLOCK` members, and a block hands on one row
+for each member, so rows do not grow with the number of pairs; comparisons do.
 
 Edge cases: null texts are empty; empty texts have the fingerprint of no samples, all
 zero, which is alike only to itself.  Rows with the same id and text count once in the
@@ -30,13 +32,13 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldvein.llm.graph import components
 from goldvein.llm.hashing import mix
+from goldvein.session import scratch_path
 
 SLOTS = 128
 BAND, BANDS = 4, 24  # a pair that is alike at 0.8 shares no band with a chance below 1e-5
@@ -44,6 +46,7 @@ SEED = 20240229
 STEPS = 4096  # random bits made at once
 CHARS = 12_000_000  # of texts that walk together
 CLASSES = 64
+BLOCK = 2000  # members of a bucket that one side of a comparison holds
 BUCKETS_A_PARTITION = 4
 _LAST = -(1 << 63)
 
@@ -210,34 +213,107 @@ def edit_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     return out.withColumnRenamed("id", id)
 
 
+def block_links(own: np.ndarray, i: int, j: int, table: np.ndarray, band: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of members of blocks i and j of one bucket: the first member that links reach, and the number of links.
+
+    Only pairs with one side in each block count, and only if `band` is the first band they share.
+    """
+    keys = np.ascontiguousarray(table[:, _BANDED[:band].ravel()]).view("<u4") if band else np.zeros((len(table), 0), np.uint32)
+    root, count = np.arange(len(table)), np.zeros(len(table), np.int64)
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    for n in left.tolist():
+        at = right[right > n] if i == j else right
+        at = at[~(keys[at] == keys[n]).any(axis=1)]
+        at = at[likeness(table[at], table[n]) >= least]
+        if len(at):
+            count[n] += len(at)
+            count[at] += 1
+            joined = np.unique(np.append(root[at], root[n]))
+            if len(joined) > 1:
+                root[np.isin(root, joined)] = joined[0]
+    return root, count
+
+
+def bucket_links(members: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """(node, other, n) of members (key, band, node): n links of a node in a block, other one that they reach."""
+    parts = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    parts = parts.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    rows = (
+        members.join(parts, "key")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "node")
+        .join(prints, "node")
+        .select("key", "i", "j", "own", "band", "node", "f")
+    )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def answer(t: pa.Table) -> pa.RecordBatch:
+            key, i, j, own, band, node = (t.column(c).to_numpy() for c in range(6))
+            table = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint8).reshape(-1, SLOTS)
+            new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+            begin = np.flatnonzero(new)
+            out = [(np.zeros(0, np.int64),) * 3]
+            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(key)]):
+                root, count = block_links(own[a:b], i[a], j[a], table[a:b], int(band[a]), least)
+                some = np.flatnonzero(count)
+                out.append((node[a:b][some], node[a:b][root[some]], count[some]))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["node", "other", "n"])
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            held = t if held is None else pa.concat_tables([held, t])
+            if not len(held):
+                continue
+            last = np.ones(len(held), bool)
+            for c in range(3):
+                x = held.column(c).to_numpy()
+                last &= x == x[-1]
+            whole = int(np.argmax(last))
+            if whole:
+                yield answer(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None and len(held):
+            yield answer(held)
+
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(task, "node long, other long, n long")
+
+
+def node_groups(prints: DataFrame, least: float) -> DataFrame:
+    """(node, group_id, n_links) of rows (id, node, f); f are fingerprints in bytes, node their hash."""
+    spark = prints.sparkSession
+    some = prints.where(F.col("f") != F.lit(bytes(SLOTS)))
+    bits = lambda b: F.concat(*[F.substring("f", s + 1, 1) for s in _band(b)])
+    bands = F.posexplode(F.array(*[F.xxhash64(F.lit(b), bits(b)) for b in range(BANDS)])).alias("band", "key")
+    members = some.select("node", bands).distinct()
+    path = scratch_path(spark, "links")
+    bucket_links(members, some.select("node", "f").dropDuplicates(["node"]), least).write.parquet(path)
+    links = spark.read.parquet(path)
+    group = components(links, "node", "other")
+    count = links.groupBy("node").agg(F.sum("n").alias("n_links"))
+    classes = prints.groupBy("node").agg(F.min("id").alias("least"))
+    named = classes.join(group, "node", "left").join(count, "node", "left")
+    named = named.select("node", "least", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    groups = named.groupBy("component").agg(F.min("least").alias("group_id"))
+    return named.join(groups, "component").select("node", "group_id", "n_links")
+
+
 def near_groups(prints: DataFrame, id: str = "doc_id", fingerprint: str = "fingerprint", least: float = 0.8) -> DataFrame:
     """(id, group_id, n_links): texts with alike fingerprints, of rows with a hex fingerprint.
 
-    Rows with equal fingerprints are one class.  Each class is linked to the smallest
-    class of each of its band buckets that it is confirmed to be alike with; group_id is
-    the smallest id that links reach.  Fingerprints of empty texts link with none but their like.
+    Rows with equal fingerprints are one class, named by a 64-bit hash.  Classes that
+    share a band and are alike are linked; n_links counts a class's links, group_id is
+    the smallest id that links reach, null if all are.  Fingerprints of empty texts
+    link with none but their like.
     """
-    own = prints.select(F.col(id).cast("long").alias("id"), F.col(fingerprint).alias("f"))
-    classes = own.groupBy("f").agg(F.min("id").alias("class"))
-    bits = lambda b: F.concat_ws("", *[F.substring("f", 2 * s + 1, 2) for s in _band(b)])
-    banded = classes.where(F.translate("f", "0", "") != "").select("class", F.explode(F.array(*[F.xxhash64(F.lit(b), bits(b)) for b in range(BANDS)])).alias("key"))
-    heads = banded.groupBy("key").agg(F.min("class").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = banded.join(heads, "key").where("class > head").select("head", "class").distinct()
-    with_f = pairs.join(classes.toDF("x", "head"), "head").join(classes.toDF("y", "class"), "class")
-
-    @F.pandas_udf("double")
-    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        table = lambda s: np.frombuffer(bytes.fromhex("".join(s)), np.uint8).reshape(-1, SLOTS)
-        return pd.Series(likeness(table(x), table(y)))
-
-    links = with_f.where(alike("x", "y") >= least).select("head", "class")
-    group = components(links, "head", "class")
-    count = links.select(F.explode(F.array("head", "class")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    named = classes.join(group, classes["class"] == group["node"], "left").drop("node").join(count, classes["class"] == count["node"], "left").drop("node")
-    return own.join(named, "f").select(
-        F.col("id").alias(id), F.coalesce("component", "class").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
+    own = prints.select(F.col(id).cast("long").alias("id"), F.unhex(fingerprint).alias("f")).withColumn("node", F.xxhash64("f"))
+    return own.join(node_groups(own, least), "node").select(F.col("id").alias(id), "group_id", "n_links")
 
 
 def _band(b: int) -> list[int]:
     return sorted(np.random.default_rng([SEED, b]).choice(SLOTS, BAND, replace=False).tolist())
+
+
+_BANDED = np.array([_band(b) for b in range(BANDS)])

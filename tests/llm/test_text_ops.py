@@ -371,3 +371,38 @@ def test_groups_of_alike_fingerprints(docs_of, some_words):
     prints = embedding.edit_fingerprints(docs_of(rows))
     got = {r.doc_id: (r.group_id, r.n_links) for r in embedding.near_groups(prints).collect()}
     assert got == {9: (3, 1), 3: (3, 1), 5: (3, 1), 7: (7, 1), 8: (7, 1), 1: (1, 0), 20: (20, 0), 21: (20, 0)}
+
+
+@pytest.mark.parametrize("block", [2000, 3])
+def test_groups_behind_a_foreign_head(spark, monkeypatch, block):
+    """One bucket in all bands: its smallest member is like none, the others are two groups and a chain."""
+    monkeypatch.setattr(embedding, "BLOCK", block)
+    random = np.random.default_rng(4)
+    base = random.integers(1, 256, embedding.SLOTS).astype(np.uint8)
+    band = embedding._band(0)
+    free = np.setdiff1d(np.arange(embedding.SLOTS), band)
+
+    def changed(row, slots):
+        row = row.copy()
+        row[slots] = row[slots] % 255 + 1
+        return row
+
+    head, x, u = changed(base, free), base, changed(changed(base, free), free)
+    rows = [head, x, changed(x, free[:10]), changed(x, free[:30]), u, changed(u, free[50:60]), changed(x, free[-20:])]
+    table = np.stack(rows)
+    alike = np.array([[a != b and embedding.likeness(table[[a]], table[[b]])[0] >= 0.8 for b in range(7)] for a in range(7)])
+    prints = spark.createDataFrame([(i, r.tobytes().hex()) for i, r in enumerate(rows)] + [(None, head.tobytes().hex())], "doc_id long, fingerprint string")
+    got = sorted((r.doc_id, r.group_id, r.n_links) for r in embedding.near_groups(prints).collect() if r.doc_id is not None)
+    assert got == [(i, g, alike[i].sum()) for i, g in enumerate([0, 1, 1, 1, 4, 4, 1])]
+
+
+def test_groups_with_a_foreign_head_in_every_bucket(spark):
+    random = np.random.default_rng(5)
+    base, *heads = random.integers(1, 256, (1 + embedding.BANDS, embedding.SLOTS)).astype(np.uint8)
+    for b, head in enumerate(heads):
+        head[embedding._band(b)] = base[embedding._band(b)]
+    other = base.copy()
+    other[:10] = other[:10] % 255 + 1
+    rows = [*enumerate(r.tobytes().hex() for r in heads), (50, base.tobytes().hex()), (51, other.tobytes().hex())]
+    got = {r.doc_id: (r.group_id, r.n_links) for r in embedding.near_groups(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()}
+    assert got == {b: (b, 0) for b in range(embedding.BANDS)} | {50: (50, 1), 51: (50, 1)}
