@@ -312,8 +312,25 @@ def near_groups(prints: DataFrame, id: str = "doc_id", fingerprint: str = "finge
     return own.join(node_groups(own, least), "node").select(F.col("id").alias(id), "group_id", "n_links")
 
 
+def with_groups(prints: DataFrame, id: str = "doc_id", least: float = 0.8) -> DataFrame:
+    """The rows of edit_fingerprints with group_id and n_links of near_groups.
+
+    The rows are written to the session's shared folder first, fingerprints in bytes,
+    so that texts are read and walked once.
+    """
+    spark = prints.sparkSession
+    path = scratch_path(spark, "prints")
+    packed = prints.select(*[F.unhex(c).alias(c) if c in _HEX else F.col(f"`{c}`") for c in prints.columns])
+    packed.withColumn("node", F.xxhash64("fingerprint")).write.parquet(path)
+    packed = spark.read.parquet(path)
+    groups = node_groups(packed.select(F.col(id).cast("long").alias("id"), F.col("fingerprint").alias("f"), "node"), least)
+    plain = [F.lower(F.hex(c)).alias(c) if c in _HEX else F.col(f"`{c}`") for c in prints.columns]
+    return packed.join(groups, "node").select(*plain, "group_id", "n_links")
+
+
 def _band(b: int) -> list[int]:
     return sorted(np.random.default_rng([SEED, b]).choice(SLOTS, BAND, replace=False).tolist())
 
 
 _BANDED = np.array([_band(b) for b in range(BANDS)])
+_HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")

@@ -121,7 +121,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding.edit_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return embedding.with_groups(embedding.edit_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 ORACLE_SQL |= {

@@ -406,3 +406,21 @@ def test_groups_with_a_foreign_head_in_every_bucket(spark):
     rows = [*enumerate(r.tobytes().hex() for r in heads), (50, base.tobytes().hex()), (51, other.tobytes().hex())]
     got = {r.doc_id: (r.group_id, r.n_links) for r in embedding.near_groups(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()}
     assert got == {b: (b, 0) for b in range(embedding.BANDS)} | {50: (50, 1), 51: (50, 1)}
+
+
+def test_fingerprint_rows_have_their_groups(spark):
+    from goldvein.llm.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    plain = embedding.edit_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).collect()
+    got = QUERIES["op3_edit_embedding"](spark, sf_dir).collect()
+    assert sorted(tuple(r)[:7] for r in got) == sorted(tuple(r) for r in plain)
+    table = np.stack([np.frombuffer(bytes.fromhex(r.fingerprint), np.uint8) for r in got])
+    group = {}
+    for r in got:
+        group.setdefault(r.group_id, []).append(r.doc_id)
+    assert all(g == min(ids) for g, ids in group.items()) and any(len(ids) > 1 for ids in group.values())
+    for k, r in enumerate(got):
+        near = np.flatnonzero(embedding.likeness(table, table[k]) >= 0.8)
+        assert {got[n].group_id for n in near} == {r.group_id} or not table[k].any()
+        assert r.n_links == len({got[n].fingerprint for n in near if got[n].fingerprint != r.fingerprint})
