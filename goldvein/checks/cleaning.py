@@ -121,8 +121,7 @@ def null_default_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(f"""
-SELECT i.* EXCLUDE (_source_file, date_creation, date_modification),
-  CAST(year(dt) * 100 + month(dt) AS INTEGER) AS order_month
+SELECT i.* EXCLUDE (_source_file, date_creation, date_modification)
 FROM ({s.ITEMS_SQL}) AS i""")
 def cast_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text order lines through cleaning and the whole cast map."""

@@ -19,6 +19,7 @@ from goldvein.operators.measures import (
     Star,
 )
 from goldvein.plans import gold, reports
+from goldvein.sources.lookups import rates_lookup
 
 DAYS = ["Saturday", "Sunday"]
 YEARS = [1997, 1998]
@@ -39,7 +40,8 @@ DIMENSIONS = {"products": _products, "dates": _dates}
 def star(spark: SparkSession, sf_dir: str, *dimensions: str) -> Star:
     """The fact with the dimensions that a figure needs."""
     built = [DIMENSIONS[d](spark, sf_dir) for d in dimensions]
-    return reports.sales_star(fact(spark, sf_dir), *built)
+    lines = gold.order_line_fact(s.order_items(spark, sf_dir), None)
+    return reports.sales_star(lines, *built, rates=rates_lookup(spark, s.RATES))
 
 
 _WIDE = s.wide_sql()

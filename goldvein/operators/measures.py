@@ -12,7 +12,7 @@ results, which gives two ways to reach a dimension:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -96,16 +96,21 @@ def _chosen(filters: Mapping[str, object] | None) -> dict[str, object]:
 class Star:
     """A fact frame and the dimensions that widen it.
 
-    ``derived`` names columns computed from the fact row itself.
+    ``derived`` names columns computed from the fact row itself, ``widened`` columns
+    that take a join; the join is planned only if the column is asked for.
     """
 
     fact: DataFrame
     dimensions: tuple[Dimension, ...] = ()
     derived: Mapping[str, Column] | None = None
+    widened: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None
 
     def _base(self, needed: Iterable[str]) -> DataFrame:
-        used = {n: c for n, c in (self.derived or {}).items() if n in set(needed)}
-        return self.fact.withColumns(used) if used else self.fact
+        needed, df = set(needed), self.fact
+        for name, widen in (self.widened or {}).items():
+            df = widen(df) if name in needed else df
+        used = {n: c for n, c in (self.derived or {}).items() if n in needed}
+        return df.withColumns(used) if used else df
 
     def _used(self, needed: Iterable[str]) -> list[Dimension]:
         needed = set(needed)

@@ -118,16 +118,19 @@ def fact_names(lines: DataFrame) -> DataFrame:
 
 def order_line_fact(
     items: DataFrame,
-    rates: DataFrame,
+    rates: DataFrame | None,
     *,
     direction: str = "multiply",
     coupon_when_empty: int = 1,
     exact_discount: bool = False,
 ) -> DataFrame:
-    lines = line_amounts(
-        items, coupon_when_empty=coupon_when_empty, exact_discount=exact_discount
+    """The fact; without ``rates`` it has no ``net_amount_eur``."""
+    lines = fact_names(
+        line_amounts(items, coupon_when_empty=coupon_when_empty, exact_discount=exact_discount)
     )
-    return fact_names(with_converted_amount(lines, rates, direction)).select(*FACT_COLUMNS)
+    if rates is None:
+        return lines.select(*[c for c in FACT_COLUMNS if c != "net_amount_eur"])
+    return with_converted_amount(lines, rates, direction).select(*FACT_COLUMNS)
 
 
 def wide_view_sql(fact: Table, products: Table, dates: Table, fact_month: str, day_month: str) -> str:

@@ -20,7 +20,12 @@ from goldvein.operators.measures import (
     Star,
     dimension,
 )
-from goldvein.plans.gold import FACT_COLUMNS, VIEW_DATE_COLUMNS, VIEW_PRODUCT_COLUMNS
+from goldvein.plans.gold import (
+    FACT_COLUMNS,
+    VIEW_DATE_COLUMNS,
+    VIEW_PRODUCT_COLUMNS,
+    with_converted_amount,
+)
 
 Filters = Mapping[str, object] | None
 
@@ -59,8 +64,18 @@ def dates_of(
     )
 
 
-def sales_star(fact: DataFrame, *dimensions: Dimension) -> Star:
-    return Star(fact, dimensions, {"hour_of_day": F.hour("transaction_ts")})
+def sales_star(
+    fact: DataFrame,
+    *dimensions: Dimension,
+    rates: DataFrame | None = None,
+    direction: str = "multiply",
+) -> Star:
+    """A star of a fact; if ``rates`` are given, the fact comes without converted amounts
+    and meets them only for figures in that currency."""
+    widened = rates is not None and {
+        "net_amount_eur": lambda lines: with_converted_amount(lines, rates, direction)
+    }
+    return Star(fact, dimensions, {"hour_of_day": F.hour("transaction_ts")}, widened or None)
 
 
 def wide_view(star: Star) -> DataFrame:
