@@ -169,3 +169,70 @@ SELECT page_id, warc_type, record_id, refers_to, url AS target_uri, source_diges
     'WARC-Block-Digest: ' || block_digest, 'Content-Type: ' || type,
     'Content-Length: ' || content_length::VARCHAR) AS header, block
 FROM d"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes; the table of steps comes from the rule of its polynomial."""
+    steps = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        steps.append(n)
+    of_bytes = f"list_transform(range(0, octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT)"
+    step = f"xor(c >> 8, ({steps}::BIGINT[])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({of_bytes}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _field(value: str) -> str:
+    value = f"{value}::VARCHAR"
+    return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+
+def _record(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+def _tree(leaves: str) -> str:
+    """Rows (t, lev, idx, n, h) of all nodes over leaves of the same columns at level 0."""
+    return f"""
+      SELECT * FROM {leaves}
+      UNION ALL
+      SELECT t, lev + 1, idx // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY idx))
+      FROM {{0}} WHERE n > 1 GROUP BY t, lev, idx // 8"""
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS t, {_record("text")} AS leaf,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_record(_low("text"))} ELSE {_record("text")} END AS now
+  FROM documents),
+l AS (
+  SELECT t, 0::BIGINT AS lev, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY t) AS n, leaf AS h, doc_id, now FROM d),
+l0 AS (SELECT t, lev, idx, n, h FROM l),
+nodes AS ({_tree("l0").format("nodes")}),
+sub AS (SELECT t, h AS subroot, row_number() OVER (ORDER BY t) - 1 AS place, count(*) OVER () AS groups FROM nodes WHERE n = 1),
+u0 AS (SELECT '' AS t, 0::BIGINT AS lev, place AS idx, groups AS n, subroot AS h FROM sub),
+upper AS ({_tree("u0").format("upper")}),
+depth AS (SELECT t, max(lev) AS levels FROM nodes GROUP BY t),
+steps AS (
+  SELECT l.t, l.idx, l.h AS leaf, s.lev,
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < l.idx // (8 ** s.lev)::BIGINT), '') AS before,
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > l.idx // (8 ** s.lev)::BIGINT), '') AS after
+  FROM l JOIN nodes s ON s.t = l.t AND s.n > 1 AND s.idx // 8 = l.idx // (8 ** (s.lev + 1))::BIGINT
+  GROUP BY ALL
+  UNION ALL
+  SELECT l.t, l.idx, l.h, levels + s.lev,
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < place // (8 ** s.lev)::BIGINT), ''),
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > place // (8 ** s.lev)::BIGINT), '')
+  FROM l JOIN sub USING (t) JOIN depth USING (t) JOIN upper s ON s.n > 1 AND s.idx // 8 = place // (8 ** (s.lev + 1))::BIGINT
+  GROUP BY ALL),
+proof AS (SELECT t, idx, sha256(string_agg(before || after, '' ORDER BY lev)) AS proof, max(lev) + 1 AS levels FROM steps GROUP BY t, idx),
+folded AS (
+  SELECT t, idx, 0::BIGINT AS lev, now AS h FROM l
+  UNION ALL
+  SELECT f.t, f.idx, f.lev + 1, sha256(before || f.h || after) FROM folded f JOIN steps s ON s.t = f.t AND s.idx = f.idx AND s.lev = f.lev),
+ended AS (SELECT t, idx, arg_max(h, lev) AS h FROM folded GROUP BY t, idx)
+SELECT doc_id, l.h AS leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, ended.h AS folded_root, ended.h = root AS verified
+FROM l JOIN sub USING (t) JOIN ended ON ended.t = l.t AND ended.idx = l.idx
+  LEFT JOIN proof ON proof.t = l.t AND proof.idx = l.idx, (SELECT h AS root FROM upper WHERE n = 1)"""

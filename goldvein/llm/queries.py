@@ -14,6 +14,7 @@ from goldvein.llm import (
     hyperminhash,
     langid,
     licenses,
+    merkle,
     oracle,
     sentencepieces,
     suffixes,
@@ -124,6 +125,27 @@ def op3_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.with_groups(embedding.edit_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("doc_id", "source", "lang", "n_chars")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    tampered = merkle.record_digest(*fields, F.translate("text", UPPER, LOWER))
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", merkle.record_digest(*fields, "text").alias("leaf"), F.when(changed, tampered).alias("tampered")
+    )
+    done = merkle.manifest(leaves, digest="leaf", group="lang", order=("doc_id",))
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    digests = {
+        "leaf": F.col("leaf"), "subroot": F.col("subroot"), "root": F.col("root"),
+        "proof_sha256": merkle.proof_digest(F.col("path")), "folded_root": folded,
+    }
+    hexed = done.select("doc_id", *[merkle.hex_of(c).alias(n) for n, c in digests.items()])
+    return hexed.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 ORACLE_SQL |= {
     "op2_warc_derivatives": oracle.warc_sql(warc.HIDDEN, warc.LINE_TAGS, warc.TAGS, [(a, b) for a, b in warc.ENTITIES if a != "&#39;"]),
     "op4_hyperminhash": oracle.OP4,
@@ -131,4 +153,5 @@ ORACLE_SQL |= {
     "op7_suffix_dedup": oracle.OP7,
     "op8_containment_search": oracle.OP8,
     "op9_url_filter": oracle.OP9,
+    "op11_merkle_manifest": oracle.OP11,
 }
