@@ -236,3 +236,47 @@ ended AS (SELECT t, idx, arg_max(h, lev) AS h FROM folded GROUP BY t, idx)
 SELECT doc_id, l.h AS leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, ended.h AS folded_root, ended.h = root AS verified
 FROM l JOIN sub USING (t) JOIN ended ON ended.t = l.t AND ended.idx = l.idx
   LEFT JOIN proof ON proof.t = l.t AND proof.idx = l.idx, (SELECT h AS root FROM upper WHERE n = 1)"""
+
+_LETTERS = r"[A-Za-z\x{C0}-\x{FF}]+"
+OP12 = f"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, {_low("unnest(regexp_extract_all(coalesce(text, ''), '" + _LETTERS + "'))")} AS run FROM documents),
+o AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS own, run, count(*) AS times FROM r GROUP BY ALL),
+h AS (SELECT run, times, {_crc32("own")} AS h FROM o),
+v AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, (h % length(run)) + 2) ELSE run END AS word, times
+  FROM h),
+w AS (SELECT word, sum(times)::BIGINT AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pair AS (
+  SELECT a.word AS x, b.word AS y FROM cut a JOIN cut b ON a.less = b.less AND a.i = b.i AND a.word != b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN w ON w.word = c.less
+  UNION SELECT w.word, c.word FROM cut c JOIN w ON w.word = c.less),
+near AS (
+  SELECT x AS word, count(*) AS n_near, arg_min(struct_pack(word := y, n := b.n), (-b.n, y)) AS best
+  FROM pair JOIN w b ON b.word = y GROUP BY x),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 10 * w.n THEN best.word END AS form,
+    CASE WHEN best.n >= 10 * w.n THEN best.n END AS form_n
+  FROM w LEFT JOIN near ON near.word = w.word),
+step AS (
+  SELECT word, word AS root, 0 AS k FROM f
+  UNION ALL SELECT s.word, f.form, k + 1 FROM step s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(root, k) AS root FROM step GROUP BY word) s ON s.word = f.word"""
+
+OP13 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+x AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.label = b.label AND a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT b, c FROM reach JOIN x ON id = a),
+least AS (SELECT id, min(c) AS c FROM reach GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM x GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.id = vec_id"""

@@ -17,7 +17,9 @@ from goldvein.llm import (
     merkle,
     oracle,
     sentencepieces,
+    spelling,
     suffixes,
+    tiles,
     urlfilter,
     warc,
 )
@@ -146,6 +148,25 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hexed.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    run = F.translate("run", UPPER, LOWER)
+    drawn = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run))
+    cut = (drawn % F.char_length(run)).cast("int")
+    without = F.concat(F.substring(run, F.lit(1), cut), F.substring(run, cut + 2, F.char_length(run)))
+    word = F.when(drawn % 31 == 0, without).otherwise(run)
+    # a run of fewer code points gives no word, with or without one of them
+    pattern = f"[A-Za-z\u00C0-\u00FF]{{{spelling.LEAST},}}"
+    counted = spelling.word_counts(docs, F.when(F.char_length(word) >= spelling.LEAST, word), pattern)
+    return spelling.variants(counted.where("n >= 2"))
+
+
+@query
+def op13_tiled_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 ORACLE_SQL |= {
     "op2_warc_derivatives": oracle.warc_sql(warc.HIDDEN, warc.LINE_TAGS, warc.TAGS, [(a, b) for a, b in warc.ENTITIES if a != "&#39;"]),
     "op4_hyperminhash": oracle.OP4,
@@ -154,4 +175,6 @@ ORACLE_SQL |= {
     "op8_containment_search": oracle.OP8,
     "op9_url_filter": oracle.OP9,
     "op11_merkle_manifest": oracle.OP11,
+    "op12_spelling_variants": oracle.OP12,
+    "op13_tiled_embeddings": oracle.OP13,
 }
