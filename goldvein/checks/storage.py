@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +16,10 @@ from goldvein.operators import dedup, upsert
 from goldvein.plans import medallion, silver
 from goldvein.plans.silver import ORDER_ITEMS
 from goldvein.session import scratch_path
-from goldvein.sources import feeds
+from goldvein.sources import feeds, quarantine
 from goldvein.sources.rejects import read_rejects, write_rejects
 from goldvein.sources.tables import Zone, create_zone, publish_view, read_table, save_table
+from goldvein.streaming import landing
 
 BATCH_TIME = datetime(2024, 1, 2, 7)
 
@@ -235,3 +236,63 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count("*").alias("n_lines"),
         )
     )
+
+
+@checked(f"""
+SELECT c.customer_id, c.phone || '.0' AS phone, c.state,
+  CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS BIGINT) AS load,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'day_two.csv' ELSE 'day_one.csv' END AS file_day,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN TIMESTAMP '2024-01-03 07:00:00' ELSE TIMESTAMP '2024-01-02 07:00:00' END AS _ingested_at
+FROM ({s.CUSTOMERS_SQL}) AS c JOIN customer ON CAST(c_custkey AS VARCHAR) = customer_id""")
+def landing_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of files and a run on each, then a run without a new file: each file is read once."""
+    root, zone = scratch_path(spark, "house"), _zone(spark)
+    table, feed = zone.table("customers"), feeds.CUSTOMERS
+    segment = s.given(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"), "c_mktsegment"
+    )
+    raw = s.raw_customers(spark, sf_dir).join(segment, "customer_id")
+    second = F.col("c_mktsegment") == "BUILDING"
+    days = (("day_one", raw.where(~second)), ("day_two", raw.where(second)), (None, None))
+    for n, (day, rows) in enumerate(days):
+        if day:
+            rows.drop("c_mktsegment").write.csv(f"{root}/landing/{feed.folder}/{day}.csv", header=True)
+        landing.ingest_new(
+            spark, f"{root}/landing", feed, table, f"{root}/ledger", f"{root}/rejects", BATCH_TIME + timedelta(days=n)
+        )
+    day_of_file = F.element_at(F.split("_source_file", "/"), -2)
+    rows = read_table(spark, table).select(
+        "customer_id", "phone", "state", F.col(landing.LOAD).alias("load"), day_of_file.alias("file_day"), "_ingested_at"
+    )
+    return s.without_zone(rows)
+
+
+_PARTS_TEXT = "CAST(p_partkey AS VARCHAR) || ',SKU-' || CAST(p_partkey AS VARCHAR) || ',,' || upper(p_brand) || ',red,M,wood,250g,1,2,3'"
+
+
+@checked(f"""
+SELECT CASE WHEN p_size > 3 THEN p_partkey END AS product_id,
+  CASE WHEN p_size > 3 THEN CAST(p_size AS INTEGER) END AS rating_count,
+  CASE p_size WHEN 1 THEN 'too_few_columns' WHEN 2 THEN 'too_many_columns' WHEN 3 THEN 'wrong_type' END AS reason,
+  CASE p_size WHEN 1 THEN {_PARTS_TEXT} WHEN 2 THEN {_PARTS_TEXT} || ',2,more' WHEN 3 THEN {_PARTS_TEXT} || ',three' END AS record,
+  CASE WHEN p_size <= 3 THEN 'txt' END AS file_kind
+FROM part""")
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product lines of which the smallest parts' are short, long or hold a wrong type."""
+    part = s.given(spark, sf_dir, "part")
+    size = F.col("p_size")
+    end = F.when(size == 1, "").when(size == 2, ",2,more").when(size == 3, ",three").otherwise(F.concat(F.lit(","), size.cast("string")))
+    text = F.concat(F.expr(_PARTS_TEXT.replace("VARCHAR", "STRING")), end)
+    root = scratch_path(spark, "landing")
+    part.select(text.alias("value")).write.text(root)
+    found = quarantine.sorted_out(
+        quarantine.scan_csv(spark, root, feeds.PRODUCTS.schema, header=False).withColumn("_source_file", F.col("_metadata.file_path"))
+    )
+    kind = F.element_at(F.split("_source_file", r"\."), -1)
+    none = F.lit(None)
+    sound = found.sound.select("product_id", "rating_count", *[none.cast("string").alias(c) for c in ("reason", "record", "file_kind")])
+    broken = found.broken.select(
+        none.cast("long").alias("product_id"), none.cast("int").alias("rating_count"), F.col(quarantine.REASON).alias("reason"),
+        F.col(quarantine.RECORD).alias("record"), kind.alias("file_kind"),
+    )
+    return sound.unionByName(broken)

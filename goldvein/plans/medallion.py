@@ -16,10 +16,14 @@ from goldvein.operators.upsert import LoadResult, upsert_table
 from goldvein.plans import gold, reports, silver
 from goldvein.sources import feeds
 from goldvein.sources.lookups import rates_lookup, region_lookup
+from goldvein.streaming import landing
 from goldvein.sources.tables import (
     Table,
     Zone,
+    append_table,
     create_zone,
+    overwrite_table,
+    partition_values_of,
     publish_view,
     read_table,
     replace_partitions,
@@ -62,10 +66,19 @@ class Lakehouse:
     def landing(self) -> str:
         return f"{self.root.rstrip('/')}/landing"
 
+    @property
+    def ledgers(self) -> str:
+        return f"{self.root.rstrip('/')}/ledgers"
+
     @property
     def rejects(self) -> str:
         return f"{self.root.rstrip('/')}/rejects"
 
+    @property
+    def refined(self) -> Table:
+        """Which loads of which raw table have been refined."""
+        return self.bronze.table("refined_loads")
+
     @property
     def products(self) -> Table:
         return self.gold.table("dim_ecommerce_products")
@@ -133,6 +146,47 @@ def ingest(spark: SparkSession, house: Lakehouse, batch_time: datetime) -> None:
         save_table(raw, house.bronze.table(feed.name))
 
 
+def ingest_new(spark: SparkSession, house: Lakehouse, batch_time: datetime) -> dict[str, landing.Landed]:
+    """Only the files that have landed since the last run, each feed by its own ledger."""
+    return {
+        feed.name: landing.ingest_new(
+            spark,
+            house.landing,
+            feed,
+            house.bronze.table(feed.name),
+            f"{house.ledgers}/{feed.name}",
+            house.rejects,
+            batch_time,
+        )
+        for feed in feeds.FEEDS
+    }
+
+
+def pending_loads(spark: SparkSession, house: Lakehouse, feed: feeds.Feed) -> tuple[int, ...]:
+    """Loads of a raw table that no run has refined to the end, from an earlier run or this one."""
+    table = house.bronze.table(feed.name)
+    if not table_exists(spark, table):
+        return ()
+    have = {v[0] for v in partition_values_of(spark, table)}
+    if table_exists(spark, house.refined):
+        done = read_table(spark, house.refined).where(F.col("feed") == feed.name).select("load")
+        have -= {r["load"] for r in done.collect()}
+    return tuple(sorted(have))
+
+
+def _mark_refined(
+    spark: SparkSession, house: Lakehouse, loads: Mapping[str, tuple[int, ...]], batch_time: datetime
+) -> None:
+    rows = [(name, load, batch_time) for name, numbers in loads.items() for load in numbers]
+    if not rows:
+        return
+    marks = spark.createDataFrame(rows, "feed string, load long, refined_at timestamp")
+    if table_exists(spark, house.refined):
+        append_table(marks, house.refined)
+    else:
+        overwrite_table(marks, house.refined)
+
+
 def _cleaned(
     table: silver.SilverTable, raw: DataFrame, settings: Settings
 ) -> tuple[DataFrame, Observation | None]:
@@ -158,12 +212,23 @@ def _cleaned(
 
 
 def refine(
-    spark: SparkSession, house: Lakehouse, batch_time: datetime, settings: Settings = DEFAULTS
+    spark: SparkSession,
+    house: Lakehouse,
+    batch_time: datetime,
+    settings: Settings = DEFAULTS,
+    loads: Mapping[str, tuple[int, ...]] | None = None,
 ) -> dict[str, LoadResult]:
-    """Bronze to silver: clean, deduplicate, upsert."""
+    """Bronze to silver: clean, deduplicate, upsert.
+
+    ``loads`` limits each feed to some loads of its raw table; a feed without one is
+    left out of the results.
+    """
     results = {}
     for feed, table in FEED_TABLES:
-        batch, lost = _cleaned(table, read_table(spark, house.bronze.table(feed.name)), settings)
+        if loads is not None and not loads.get(feed.name):
+            continue
+        raw = landing.loaded(spark, house.bronze.table(feed.name), loads and loads[feed.name])
+        batch, lost = _cleaned(table, raw, settings)
         partition_by: dict[str, Column] = {}
         if table.month_of:
             partition_by[ITEM_MONTH] = month_key(F.col(table.month_of))
@@ -249,16 +314,29 @@ def run(
     batch_time: datetime,
     settings: Settings = DEFAULTS,
     incremental: bool = False,
+    new_files: bool = False,
 ) -> dict[str, LoadResult]:
     """One complete batch; running it again with the same files changes nothing.
 
     ``incremental`` publishes only the fact months that the load has touched; it is
-    for batches between which the rates stay the same.
+    for batches between which the rates stay the same.  ``new_files`` reads only files
+    that have landed since the last run and refines only their rows.  A load counts as
+    done when it is published, so a run that breaks off is made good by the next one:
+    an upsert of the same rows changes nothing and names the same months.
     """
     set_up(spark, house)
-    ingest(spark, house, batch_time)
-    results = refine(spark, house, batch_time, settings)
-    touched = results[silver.ORDER_ITEMS.name].touched
-    months = {values[0] for values in touched} if incremental and touched is not None else None
+    loads = None
+    if new_files:
+        ingest_new(spark, house, batch_time)
+        loads = {feed.name: pending_loads(spark, house, feed) for feed in feeds.FEEDS}
+    else:
+        ingest(spark, house, batch_time)
+    results = refine(spark, house, batch_time, settings, loads)
+    lines = results.get(silver.ORDER_ITEMS.name)
+    months = None
+    if incremental and (lines is None or lines.touched is not None):
+        months = {values[0] for values in lines.touched} if lines else set()
     publish(spark, house, rates, settings, months)
+    if loads:
+        _mark_refined(spark, house, loads, batch_time)
     return results

@@ -17,12 +17,19 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: partitions named in one statement when they are new
+PARTITIONS_AT_ONCE = 100
+
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: what Spark calls the partition of null
+
+
 @dataclass(frozen=True)
 class Zone:
     """A database and the folder its tables live in."""
@@ -114,24 +121,48 @@ def partition_values(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
     return [tuple(r) for r in df.select(*columns).distinct().collect()]
 
 
+def _named_values(spark: SparkSession, schema: T.StructType, columns: Sequence[str], names: Sequence[str]) -> list[tuple]:
+    """The values in folder names such as ``month=1/shop=x``, in the types of the columns."""
+
+    def text(part: str) -> str | None:
+        value = unquote(part.split("=", 1)[1])
+        return None if value == _NULL_FOLDER else value
+
+    rows = [tuple(text(part) for part in name.split("/")[-len(columns) :]) for name in names]
+    if not rows:
+        return []
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    typed = [F.col(f"`{c}`").cast(schema[c].dataType) for c in columns]
+    return [tuple(r) for r in spark.createDataFrame(rows, texts).select(*typed).collect()]
+
+
+def partition_values_of(spark: SparkSession, table: Table) -> list[tuple]:
+    """The partitions of a table as the catalog lists them; no data is read."""
+    names = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table.sql_name}").collect()]
+    return _named_values(spark, read_table(spark, table).schema, partition_columns(spark, table), names)
+
+
 def _written(df: DataFrame, location: str, columns: Sequence[str]) -> dict[tuple, str]:
-    """Partitions of a finished folder and the folder of each."""
-    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
-    # the path comes as a URI; a plus sign is not a space in one
-    plain = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
-    files = df.sparkSession.read.schema(df.schema).parquet(location)
-    rows = files.select(*columns, plain.alias("_folder")).distinct().collect()
-    return {tuple(r)[:-1]: r["_folder"] for r in rows}
+    """Partitions of a finished folder and the folder of each, from the names of its files."""
+    spark = df.sparkSession
+    files = spark.read.schema(df.schema).parquet(location).inputFiles()
+    folders = sorted({unquote(f.rsplit("/", 1)[0]) for f in files})
+    return dict(zip(_named_values(spark, df.schema, columns, folders), folders))
 
 
 def _switch_partitions(
     spark: SparkSession, table: Table, columns: Sequence[str], folders: dict[tuple, str], gone: Iterable[tuple] = ()
 ) -> None:
     """Point partitions at finished folders, and forget those that have no rows any more."""
-    for values, folder in folders.items():
-        spec, where = _spec(columns, values), folder.replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table.sql_name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{where}'")
-        spark.sql(f"ALTER TABLE {table.sql_name} PARTITION ({spec}) SET LOCATION '{where}'")
+    named = {values: (_spec(columns, values), folder.replace("'", "\\'")) for values, folder in folders.items()}
+    have = set(partition_values_of(spark, table))
+    fresh = [f"PARTITION ({spec}) LOCATION '{where}'" for values, (spec, where) in named.items() if values not in have]
+    for at in range(0, len(fresh), PARTITIONS_AT_ONCE):
+        some = " ".join(fresh[at : at + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table.sql_name} ADD IF NOT EXISTS {some}")
+    for values, (spec, where) in named.items():
+        if values in have:
+            spark.sql(f"ALTER TABLE {table.sql_name} PARTITION ({spec}) SET LOCATION '{where}'")
     for values in gone:
         spark.sql(f"ALTER TABLE {table.sql_name} DROP IF EXISTS PARTITION ({_spec(columns, values)})")
     spark.catalog.refreshTable(table.sql_name)
@@ -180,7 +211,7 @@ def overwrite_table(
         old_values = T.StructType([f for f in old if f.name not in partition_by])
         if _fits(old_values, T.StructType(value_fields)):
             _add_columns(spark, table, value_fields[len(old_values) :])
-            before = partition_values(read_table(spark, table), partition_by)
+            before = partition_values_of(spark, table)
             gone = [values for values in before if values not in folders]
             _switch_partitions(spark, table, partition_by, folders, gone)
             return
