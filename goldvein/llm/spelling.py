@@ -13,10 +13,13 @@ Position limits: an edit behind the left pivot leaves all up to that pivot as it
 an edit before the right pivot all from that pivot on; one of the two holds whatever is
 edited.  So the left pivot is a key together with the characters before it, the right
 pivot with those after it, and every bigram of a prefix is a key both ways.  A key holds
-its pivot's distance from the start or from the end; with lengths that differ by one at
-most that is a shift of one at most.  Candidates are the rows of one equijoin on
-keys, confirmed by the edit distance itself.  Keys are hashes: a collision costs one
-comparison and changes nothing.
+its pivot's distance from the start or from the end, so a pivot moves with the length
+and by one at most.  Unless `ENOUGH` characters are known that way, a key takes in one half of
+the rest: the edit spares its first or its last half (of the shorter of two rests,
+which may be one shorter than this one).  Candidates are the rows of one equijoin on
+keys whose words differ in the parity of two letters at most; they are confirmed by the
+edit distance itself.  Keys are hashes: a collision costs one comparison and changes
+nothing.
 
 Ranks are of 65,536 hashed bigrams, so what each task gets is bounded whatever the
 alphabet; equal bigrams have equal ranks, which is all that the argument needs.  Words
@@ -44,7 +47,8 @@ LEAST = 7  # code points of a word
 GRAM_BITS = 16
 RARE = 3  # bigrams of which two are disjoint
 SHORTEST = RARE + 1
-LETTERS = 8.0  # how much rarer each further known character makes a key, for the choice of pivots
+LETTERS = 3.0  # how much rarer each further known character makes a key, for the choice of pivots
+ENOUGH = 7  # characters known beside a pivot that make a key rare
 RATIO = 10  # times as frequent a word's form must be
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,20 +80,47 @@ class Grams:
         order = np.lexsort((self.pos, rank[self.bucket], self.word))
         return order[self.first[:, None] + np.arange(RARE)]
 
-    def keys(self, g: np.ndarray, right: bool) -> np.ndarray:
-        """For each bigram a hash of the word from its start to the bigram, or from the bigram to its end."""
+    def letters(self) -> np.ndarray:
+        """A bit for each of 64 kinds of characters, set if the word has an odd number of them: an edit turns two at most."""
+        bit = np.uint64(1) << (mix(self.code + np.uint64(7)) >> np.uint64(58))
+        return np.bitwise_xor.reduceat(bit, self.start) if len(bit) else bit
+
+    def _sums(self, right: bool) -> np.ndarray:
         pos = np.arange(len(self.code)) - np.repeat(self.start, self.length)
         power = np.multiply.accumulate(np.full(int(self.length.max(initial=1)), _BASE, np.uint64))
         place = np.repeat(self.length, self.length) - 1 - pos if right else pos
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.code + np.uint64(1)) * power[place])])
-        own, begin = self.word[g], self.start[self.word[g]]
-        if right:
-            known = self.length[own] - self.pos[g]
-            value = sums[begin + self.length[own]] - sums[begin + self.pos[g]]
-        else:
-            known = self.pos[g] + 2
-            value = sums[begin + known] - sums[begin]
-        return mix(value + mix(known.astype(np.uint64) * np.uint64(2) + np.uint64(right)))
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.code + np.uint64(1)) * power[place])])
+
+    def keys(self, g: np.ndarray, right: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(words, keys) of bigrams: the word from its start to the bigram, or from the bigram to
+        its end (right), together with one half of what is left."""
+        own = self.word[g]
+        begin, end = self.start[own], self.start[own] + self.length[own]
+        front, back = self._sums(False), self._sums(True)
+
+        def first(size: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+            return front[begin[at] + size] - front[begin[at]]
+
+        def last(size: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+            return back[end[at]] - back[end[at] - size]
+
+        this, that = (last, first) if right else (first, last)
+        known = self.length[own] - self.pos[g] if right else self.pos[g] + 2
+        rest = self.length[own] - known
+
+        def tagged(value: np.ndarray, size: np.ndarray, half: np.ndarray, kind: int) -> np.ndarray:
+            tag = size * 4096 + half * 8 + kind * 2 + right
+            return mix(value + mix(tag.astype(np.uint64)))
+
+        at = np.flatnonzero((known >= ENOUGH) | (rest <= 2))
+        which, key = [own[at]], [tagged(this(known[at], at), known[at], 0 * at, 0)]
+        # the halves of the shorter of two words: this one's, or of a rest that is one shorter
+        for half, some in ((rest // 2, rest > 1), ((rest - 1) // 2, (rest % 2 == 0) & (rest > 2))):
+            at = np.flatnonzero(some & (known < ENOUGH))
+            m, k = half[at], known[at]
+            which += [own[at], own[at]]
+            key += [tagged(this(k + m, at), k, m, 1), tagged(mix(this(k, at)) + that(m, at), k, m, 2)]
+        return np.concatenate(which), np.concatenate(key)
 
 
 def pivots(grams: Grams, trio: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,14 +140,14 @@ def pivots(grams: Grams, trio: np.ndarray, count: np.ndarray) -> tuple[np.ndarra
     return left, right
 
 
-_KEYS = "key long, word string, n long, size int, last int"
+_KEYS = "key long, word string, last int, letters long"
 
 
-def _rows(batch: pa.RecordBatch, word: np.ndarray, key: np.ndarray, size: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
-    at = pa.array(word)
+def _rows(batch: pa.RecordBatch, g: Grams, keys: tuple[np.ndarray, np.ndarray], last: np.ndarray) -> pa.RecordBatch:
+    word, key = keys
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array(size[word].astype(np.int32)), pa.array(last[word].astype(np.int32))],
-        ["key", "word", "n", "size", "last"],
+        [pa.array(key.view(np.int64)), batch.column(0).take(pa.array(word)), pa.array(last[word].astype(np.int32)), pa.array(g.letters()[word].view(np.int64))],
+        ["key", "word", "last", "letters"],
     )
 
 
@@ -135,12 +166,12 @@ def _gram_counts(words: DataFrame) -> np.ndarray:
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """(word, n, other, other_n), both ways, for all pairs of words one edit apart.
+    """(word, other, other_n), both ways, for all pairs of words one edit apart.
 
     words: (word, n), each word once.  It is read several times, so pass a table.
     """
-    words = words.select("word", "n").where(F.char_length("word") >= SHORTEST)
-    count = _gram_counts(words)
+    long = words.select("word").where(F.char_length("word") >= SHORTEST)
+    count = _gram_counts(long)
     rank = np.empty(1 << GRAM_BITS, np.int32)
     rank[np.lexsort((np.arange(len(count)), count))] = np.arange(len(count))
     shared = words.sparkSession.sparkContext.broadcast((count, rank))
@@ -151,10 +182,8 @@ def near_words(words: DataFrame) -> DataFrame:
             g = Grams(batch.column(0))
             trio = g.trio(rank)
             last = rank[g.bucket[trio[:, -1]]]
-            left, right = pivots(g, trio, count)
-            every = np.arange(len(left))
-            yield _rows(batch, every, g.keys(left, False), g.length, last)
-            yield _rows(batch, every, g.keys(right, True), g.length, last)
+            for pivot, right in zip(pivots(g, trio, count), (False, True)):
+                yield _rows(batch, g, g.keys(pivot, right), last)
 
     def prefix_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, rank = shared.value
@@ -163,25 +192,22 @@ def near_words(words: DataFrame) -> DataFrame:
             last = rank[g.bucket[g.trio(rank)[:, -1]]]
             in_prefix = np.flatnonzero(rank[g.bucket] <= last[g.word])
             for right in (False, True):
-                yield _rows(batch, g.word[in_prefix], g.keys(in_prefix, right), g.length, last)
+                yield _rows(batch, g, g.keys(in_prefix, right), last)
 
-    a = words.mapInArrow(pivot_task, _KEYS).alias("a")
-    b = words.mapInArrow(prefix_task, _KEYS).alias("b")
+    a = long.mapInArrow(pivot_task, _KEYS).alias("a")
+    b = long.mapInArrow(prefix_task, _KEYS).alias("b")
     meet = (
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.last") <= F.col("b.last"))
-        & (F.abs(F.col("a.size") - F.col("b.size")) <= 1)
+        & (F.bit_count(F.col("a.letters").bitwiseXOR(F.col("b.letters"))) <= 2)
         & (F.col("a.word") != F.col("b.word"))
     )
     one_edit = F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1
-    pair = a.join(b, meet).where(one_edit)
-    first = F.col("a.word") < F.col("b.word")
-    here, there = F.struct("a.word", "a.n"), F.struct("b.word", "b.n")
-    pair = pair.select(F.when(first, here).otherwise(there).alias("x"), F.when(first, there).otherwise(here).alias("y")).distinct()
+    x, y = F.col("a.word"), F.col("b.word")
+    pair = a.join(b, meet).where(one_edit).select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
     both = F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
-    return pair.select(both.alias("p")).select(
-        F.col("p.x.word").alias("word"), F.col("p.x.n").alias("n"), F.col("p.y.word").alias("other"), F.col("p.y.n").alias("other_n")
-    )
+    both = pair.select(both.alias("p")).select(F.col("p.x").alias("word"), F.col("p.y").alias("other"))
+    return both.join(words.select(F.col("word").alias("other"), F.col("n").alias("other_n")), "other").select("word", "other", "other_n")
 
 
 def _roots(links: DataFrame, rounds: int) -> DataFrame:
@@ -212,7 +238,7 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     words.select("word", "n").write.parquet(path)
     words = spark.read.parquet(path)
     best = F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("form"))).alias("best")
-    near = near_words(words).groupBy("word").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("n_near"), best)
+    near = near_words(words).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best).join(words, "word")
     often = -F.col("best.less")
     enough = often >= ratio * F.col("n")
     near = near.select(

@@ -90,13 +90,18 @@ def test_pivots_meet_prefixes_of_all_near_words(words):
     held = np.flatnonzero(rank[g.bucket] <= last[g.word])
     keys = [set() for _ in words]
     for side in (False, True):
-        for w, k in zip(g.word[held], g.keys(held, side)):
+        for w, k in zip(*g.keys(held, side)):
             keys[w].add((side, int(k)))
-    mine = [{(False, int(a)), (True, int(b))} for a, b in zip(g.keys(left, False), g.keys(right, True))]
+    mine = [set() for _ in words]
+    for side, pivot in ((False, left), (True, right)):
+        for w, k in zip(*g.keys(pivot, side)):
+            mine[w].add((side, int(k)))
+    letters = g.letters()
     for i, a in enumerate(words):
         for j, b in enumerate(words):
             if a != b and last[i] <= last[j] and one_edit(a, b):
                 assert mine[i] & keys[j], (a, b)
+                assert int(letters[i] ^ letters[j]).bit_count() <= 2
 
 
 def test_query_over_odd_texts(spark, tmp_path):
