@@ -4,6 +4,6 @@ Importing this package fills ``QUERIES`` and ``ORACLE_SQL``.
 """
 
 from goldvein.checks.registry import ORACLE_SQL, QUERIES
-from goldvein.checks import cleaning, commerce, dedup, history, reports, storage, upsert  # noqa: F401
+from goldvein.checks import cleaning, commerce, dedup, history, kpis, reports, storage, upsert  # noqa: F401
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

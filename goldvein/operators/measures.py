@@ -194,6 +194,53 @@ class Star:
         sums = [F.sum(m.name).alias(m.name) for m in measures]
         return finest.cube(*by).agg(F.grouping_id().alias("grouping_id"), *sums)
 
+    def grouping_sets(
+        self,
+        sets: Sequence[Sequence[str]],
+        measures: Sequence[Measure] = (TOTAL_SALES,),
+        filters: Mapping[str, object] | None = None,
+    ) -> DataFrame:
+        """Measures by each of some sets of columns, from one look at the fact.
+
+        The fact is aggregated once by all columns together.  `set_number` tells which
+        set a row belongs to; columns outside it are null.
+        """
+        by = list(dict.fromkeys(c for s in sets for c in s))
+        finest = self.aggregate(by, measures, filters)
+        bit = {c: 1 << (len(by) - 1 - i) for i, c in enumerate(by)}
+        number = F.lit(None).cast("int")
+        for i, s in reversed(list(enumerate(sets))):
+            left_out = sum(b for c, b in bit.items() if c not in s)
+            number = F.when(F.grouping_id() == left_out, F.lit(i)).otherwise(number)
+        sums = [F.sum(m.name).alias(m.name) for m in measures]
+        grouped = finest.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in by])
+        return grouped.agg(number.alias("set_number"), *sums)
+
+    def filter_lists(self, columns: Sequence[str], filters: Mapping[str, object] | None = None) -> DataFrame:
+        """The values of several filters, and how many rows each would still select under the others.
+
+        (column, value as text, n_rows).  Each group of filter values has a bit for
+        every filter it fails; it counts for a list if it fails no other filter than
+        that list's own.
+        """
+        chosen = _chosen(filters)
+        every = list(dict.fromkeys([*columns, *chosen]))
+        bit = {c: 1 << i for i, c in enumerate(every)}
+        failed = F.lit(0)
+        for c, wanted in chosen.items():
+            failed = failed + F.when(F.coalesce(_test(c, wanted), F.lit(False)), 0).otherwise(bit[c])
+        groups = self.aggregate(every, [LINES]).withColumn("_failed", failed)
+        lists = [
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(c).cast("string").alias("value"),
+                F.when(F.col("_failed").bitwiseAND(~bit[c]) == 0, F.col(LINES.name)).otherwise(F.lit(0).cast("bigint")).alias("n"),
+            )
+            for c in columns
+        ]
+        told = groups.select(F.explode(F.array(*lists)).alias("l")).select("l.*")
+        return told.groupBy("column", "value").agg(F.sum("n").alias("n_rows"))
+
     def filter_values(self, column: str, filters: Mapping[str, object] | None = None) -> DataFrame:
         """The values to offer for a filter, and how many rows each would still
         select under the other filters."""

@@ -20,12 +20,14 @@ from goldvein.operators.measures import (
     Star,
     dimension,
 )
+from goldvein.operators.quantiles import with_ntile
 from goldvein.plans.gold import (
     FACT_COLUMNS,
     VIEW_DATE_COLUMNS,
     VIEW_PRODUCT_COLUMNS,
     with_converted_amount,
 )
+from goldvein.session import scratch_path
 
 Filters = Mapping[str, object] | None
 
@@ -132,6 +134,68 @@ def channel_by_category(
     return by_pair.orderBy(F.desc(measure.name), "channel", "category_name")
 
 
+#: the dashboard's figures and the columns each is by; a cube is all of its subsets
+WIDGETS: dict[str, tuple[tuple[str, ...], ...]] = {
+    "sales_trend": (("month_name",),),
+    "sales_by_category": (("category_name",),),
+    "sales_heatmap": (("hour_of_day", "day_name"),),
+    "coupon_by_month": (("coupon_flag", "month_name"), ("coupon_flag",), ("month_name",), ()),
+    "sales_by_channel": (("channel",),),
+    "channel_by_month": (("channel", "month_name"), ("channel",), ("month_name",), ()),
+    "weekend_sales": (("is_weekend",),),
+    "channel_by_category": (("channel", "category_name"),),
+    "grand_total": ((),),
+}
+WIDGET_SETS = tuple(dict.fromkeys(s for sets in WIDGETS.values() for s in sets))
+
+
+def all_widgets(star: Star, measure: Measure = TOTAL_SALES, filters: Filters = None) -> DataFrame:
+    """Every figure of the dashboard from one look at the fact; `widget` picks one of them.
+
+    A dashboard that shows several writes this down, or caches it: its size depends on the
+    values of the columns, not on the fact.
+    """
+    return star.grouping_sets(WIDGET_SETS, [measure, SUM_MONTH], filters)
+
+
+def widget(figures: DataFrame, name: str, measure: Measure = TOTAL_SALES) -> DataFrame:
+    """The rows of one figure: its columns, the measure, and the sum of months that sorts some."""
+    sets = WIDGETS[name]
+    numbers = [WIDGET_SETS.index(s) for s in sets]
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    return figures.where(F.col("set_number").isin(numbers)).select(*columns, measure.name, SUM_MONTH.name)
+
+
+def customer_segments(star: Star, parts: int = 5, filters: Filters = None) -> DataFrame:
+    """Customers in parts of equal size by recency, frequency and amount; part 1 is the best.
+
+    Recency is the days between a customer's last order and the last order of all,
+    frequency the number of orders, amount the sales.  Equal customers are told apart by id.
+    """
+    orders = star.wide(["customer_id", "transaction_id", "transaction_date", "net_amount"], filters)
+    orders = orders.groupBy("customer_id", "transaction_id").agg(
+        F.max("transaction_date").alias("day"), F.sum("net_amount").alias("amount")
+    )
+    per = orders.groupBy("customer_id").agg(
+        F.max("day").alias("last_day"), F.count("*").alias("n_orders"), F.sum("amount").alias("total_sales")
+    )
+    path = scratch_path(per.sparkSession, "customers")
+    per.write.parquet(path)
+    per = per.sparkSession.read.schema(per.schema).parquet(path)
+    last = per.agg(F.max("last_day")).first()[0]
+    found = per.select(
+        "customer_id",
+        F.datediff(F.lit(last), "last_day").alias("recency_days"),
+        "n_orders",
+        "total_sales",
+        (-F.col("n_orders")).alias("_rare"),
+        (-F.col("total_sales")).alias("_cheap"),
+    )
+    for by, name in (("recency_days", "recency"), ("_rare", "frequency"), ("_cheap", "amount")):
+        found = with_ntile(found, parts, [by, "customer_id"], name)
+    return found.drop("_rare", "_cheap")
+
+
 def grand_total(
     star: Star, measures: tuple[Measure, ...] = (TOTAL_SALES, TOTAL_GROSS), filters: Filters = None
 ) -> DataFrame:
