@@ -18,7 +18,14 @@ from goldvein.plans.silver import ORDER_ITEMS
 from goldvein.session import scratch_path
 from goldvein.sources import feeds, quarantine
 from goldvein.sources.rejects import read_rejects, write_rejects
-from goldvein.sources.tables import Zone, create_zone, publish_view, read_table, save_table
+from goldvein.sources.tables import (
+    Zone,
+    create_zone,
+    list_zones,
+    publish_view,
+    read_table,
+    save_table,
+)
 from goldvein.streaming import landing
 
 BATCH_TIME = datetime(2024, 1, 2, 7)
@@ -296,3 +303,51 @@ def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(quarantine.RECORD).alias("record"), kind.alias("file_kind"),
     )
     return sound.unionByName(broken)
+
+
+@checked("SELECT lower(replace(r_name, ' ', '_')) AS zone FROM region")
+def zones_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone for each region, found again in the list of zones."""
+    run, root = uuid.uuid4().hex[:12], scratch_path(spark, "zones")
+    for r in s.given(spark, sf_dir, "region").collect():
+        name = r["r_name"].lower().replace(" ", "_")
+        create_zone(spark, Zone(f"zone_{run}_{name}", f"{root}/{name}"))
+    own = list_zones(spark).where(F.col("namespace").startswith(f"zone_{run}_"))
+    return own.select(F.expr(f"substr(namespace, {len(f'zone_{run}_') + 1})").alias("zone"))
+
+
+@checked("""
+SELECT count(*) FILTER (o_orderstatus = 'O') AS inserted,
+  count(*) FILTER (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') AS updated,
+  count(*) FILTER (o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT') AS unchanged,
+  false AS has_rejects FROM orders""")
+def load_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load says it did, counted while it writes."""
+    table, rejects = _zone(spark).table("orders"), scratch_path(spark, "rejects")
+    first = upsert_checks.target(spark, sf_dir).drop("date_modification").withColumnRenamed("date_creation", "_ingested_at")
+    upsert.upsert_table(first, table, upsert_checks.KEYS, rejects_root=rejects, batch_time=datetime.fromisoformat(upsert_checks.FIRST))
+    done = upsert.upsert_table(
+        upsert_checks.batch(spark, sf_dir), table, upsert_checks.KEYS, rejects_root=rejects, batch_time=datetime.fromisoformat(upsert_checks.NOW)
+    )
+    rows = [(done.inserted, done.updated, done.unchanged, done.rejects_folder is not None)]
+    return spark.createDataFrame(rows, "inserted long, updated long, unchanged long, has_rejects boolean")
+
+
+@checked("""
+SELECT 'customer' AS source, true AS refused, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'lineitem', true, count(*) FROM lineitem
+UNION ALL SELECT 'orders', false, count(*) FROM orders""")
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that lack a key or their load time are refused before anything is written."""
+    told = []
+    for name in ("customer", "lineitem", "orders"):
+        batch = s.given(spark, sf_dir, name).withColumn("_ingested_at", F.lit(BATCH_TIME))
+        batch = batch.drop("_ingested_at") if name == "lineitem" else batch.withColumnRenamed("l_orderkey", "o_orderkey")
+        try:
+            upsert.require_columns(batch, [*upsert_checks.KEYS, "_ingested_at"])
+            refused = False
+        except ValueError:
+            refused = True
+        counted = batch.agg(F.count("*").alias("n_rows"))
+        told.append(counted.select(F.lit(name).alias("source"), F.lit(refused).alias("refused"), "n_rows"))
+    return told[0].unionByName(told[1]).unionByName(told[2])

@@ -73,7 +73,8 @@ def dimension(
 ) -> Dimension:
     """Describe a dimension, counting it unless its size is already known."""
     if small is None:
-        small = counted_small(frame.select(key), small_rows)
+        have = [c for c in columns if c in frame.columns]
+        small = counted_small(frame.select(key, *have), small_rows)
     return Dimension(frame, fact_key, key, tuple(columns), small, implied)
 
 

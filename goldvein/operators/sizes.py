@@ -2,20 +2,39 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: a narrow frame (a key and a few short columns) up to this many rows is broadcast
+#: a frame up to this many rows may be broadcast
 SMALL_ROWS = 500_000
 
+#: if its values take no more bytes than this
+SMALL_BYTES = 64 << 20
+
+#: what a value takes beside the bytes of a text
+VALUE_BYTES = 16
+
+
+def _text_bytes(df: DataFrame):
+    """Bytes of a row's values of no fixed size."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    open_ended = [f.name for f in df.schema if not isinstance(f.dataType, fixed)]
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("long") for c in open_ended]
+    return reduce(lambda a, b: a + b, sizes, F.lit(0).cast("long"))
+
 
-def counted_small(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
-    """Whether a frame has at most ``limit`` rows.
+def counted_small(df: DataFrame, limit: int = SMALL_ROWS, most: int = SMALL_BYTES) -> bool:
+    """Whether a frame has at most ``limit`` rows that take at most ``most`` bytes.
 
-    A plain count: no column is read, and each task hands on one number.  (A
-    ``limit`` before it would send that many rows of every task to a single one.)
+    One pass in which each task hands on two numbers.  (A ``limit`` before it would send
+    that many rows of every task to a single one.)  Hand over the columns that are to be
+    broadcast; of those of fixed size none is read.
     """
-    return df.count() <= limit
+    found = df.agg(F.count("*").alias("n"), F.sum(_text_bytes(df)).alias("b")).first()
+    return found["n"] <= limit and (found["b"] or 0) + VALUE_BYTES * len(df.columns) * found["n"] <= most
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:

@@ -55,7 +55,7 @@ def product_dimension(
     are broadcast; otherwise Spark joins by shuffle and splits such a brand.
     """
     if small is None:
-        small = counted_small(brands.select("brand_code"))
+        small = counted_small(brands.select("brand_code", "brand_name"))
     named = brand_categories(brands, categories).select(
         "brand_code", "brand_name", "category_name"
     )
