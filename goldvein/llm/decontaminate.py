@@ -78,12 +78,15 @@ def index(ids: list[int], texts: list[str | None], n: int) -> Index:
         count += w.counts.tolist()
         own = w.hashes()
         whole += [runs(own[a:b], b - a)[0] if 0 < b - a < n else np.uint64(0) for a, b in zip(w.first[:-1], w.first[1:])]
-    sizes, counts = np.array(size), np.array(count)
+    counts = np.array(count)
     partitions = []
     long = np.flatnonzero(counts >= n)
-    upper = np.maximum(LEAST, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(int))
-    for u in np.unique(upper[long]):
-        mine = long[upper[long] == u]
+    # a repetitive item is looked for in windows of the size of its set and of its text
+    upper, whole_upper = (
+        np.maximum(LEAST, 1 << np.ceil(np.log2(np.maximum(s, 1))).astype(int)) for s in (np.array([len(x) for x in sets]), np.array(size))
+    )
+    for u in np.union1d(upper[long], whole_upper[long]):
+        mine = long[(upper[long] == u) | (whole_upper[long] == u)]
         sig = np.vstack([signatures(sets[i][None, :], np.ones((1, len(sets[i])), bool)) for i in mine])
         order = np.argsort(sig, axis=0, kind="stable")
         partitions.append(Partition(int(u), [mine[order[:, k]] for k in range(HASHES)], [sig[order[:, k], k] for k in range(HASHES)]))
