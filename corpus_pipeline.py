@@ -13,7 +13,6 @@ from goldvein.llm import debruijn, decontaminate, hyperminhash, langid, sentence
 from goldvein.llm.queries import PIECES, in_training
 from goldvein.session import scratch_path
 
-LEAST_SHARE = 0.5  # of a text's letters in one language
 KEEP_WORDS = 1  # a text with fewer words left is dropped
 
 
@@ -27,19 +26,29 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts in no known language (null, empty, without letters) and texts without a main one."""
+    """Drops texts of no language: null, empty, or without letters.  Texts in several languages stay."""
     model = langid.train(docs.where(in_training()))
     plain = _numbered(docs)
     seen = langid.label(plain, model, text=plain.columns[docs.columns.index("text")])
-    kept = seen.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    kept = seen.where(F.col("lang_pred") != langid.UNKNOWN)
     return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group, equal rows once; no null ids."""
+    """Keeps the document with the smallest id of each near-duplicate group, and equal rows once.
+
+    Rows without an id belong to no group and stay.
+    """
     judged = hyperminhash.near_duplicates(docs.select("doc_id", "text"), shingle=5)
     kept = judged.where("kept and doc_id is not null").select("doc_id").distinct()
-    return _columns(docs.join(kept, "doc_id", "left_semi").dropDuplicates(), docs.columns)
+    plain = _numbered(docs)
+    id = plain.columns[docs.columns.index("doc_id")]
+    first = plain.join(kept.toDF("kept_id"), F.col(id) == F.col("kept_id"), "left_semi")
+    stay = first.unionByName(plain.where(F.col(id).isNull()))
+    # maps cannot be compared, their text can
+    texts = {f"t{f.name}": F.to_json(F.struct(f.name)) for f in plain.schema if "map<" in f.dataType.simpleString()}
+    alike = [c for c in plain.columns if f"t{c}" not in texts] + list(texts)
+    return stay.withColumns(texts).dropDuplicates(alike).select(*plain.columns).toDF(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
