@@ -9,13 +9,14 @@ change of language costs `penalty`; equal labels in a row are a span.
 
 Edge cases: a text that is null or has no letter is `und` with score 0.  A word
 without letters scores 0 for every language and so takes its neighbours' label.
-Words in a script that no language was trained with are labelled `und`.  With no
-training rows every text is `und`.  Ties go to the language first in sort order.
+Words in a script that no language was trained with are scored over all of them, so
+every text with a letter gets a learned label.  With no training rows every text is `und`.  Ties go to the language first in sort order.
 Extra columns pass through; a column with the name of one that is added is replaced.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 15  # hashed runs kept in a model, for each language
 PENALTY = 12.0  # cost of a change of language, in nats
 LEAST_SHARE = 0.01  # of a language's letters, for it to be a candidate for a script
-CHARS = 1 << 20  # code points scored at once
+TEXT_BYTES = 1 << 20  # of texts whose letters are looked at together
+LABEL_BYTES = 8 << 20  # of texts whose words go through the search together
 
 # letters' scripts by code point range.
 SCRIPTS = (
@@ -51,8 +54,8 @@ NAMES = ("none", "other", *dict.fromkeys(name for name, _, _ in SCRIPTS))
 
 @cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Script number (0: no letter) and lower case of each code point up to the last plane in use."""
-    size = 0x30000
+    """Script number (0: no letter) and lower case of each code point."""
+    size = sys.maxunicode + 1
     letter = np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(size)), bool, size)
     script = letter.astype(np.uint8)
     for name, low, high in SCRIPTS:
@@ -79,7 +82,7 @@ def letters_of(texts: list[str | None]) -> Letters:
     script_of, lower = _tables()
     sizes = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
     joined = "".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass")
-    code = np.minimum(np.frombuffer(joined, dtype="<u4"), np.uint32(0x2FFFF))
+    code = np.frombuffer(joined, dtype="<u4")
     low, script = lower[code], script_of[code]
     space = (code == 32) | ((code >= 9) & (code <= 13))
     edge = np.concatenate([[0], np.cumsum(sizes)])
@@ -112,15 +115,14 @@ def letters_of(texts: list[str | None]) -> Letters:
     return Letters(bucket, word, np.maximum.reduceat(kind, word).astype(np.int64), has, first)
 
 
-def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
-        if size >= CHARS:
-            yield texts[start : i + 1]
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield texts[start:]
+def _slices(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of rows of about ``size`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, done = 0, 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
+        yield start, stop - start
+        start, done = stop, int(ends[stop - 1])
 
 
 def count_runs(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -134,11 +136,10 @@ def count_runs(labelled: DataFrame, text: str = "text", lang: str = "lang") -> D
         run: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=object)
-            done = 0
-            for part in _slices(texts):
-                found, own = letters_of(part), langs[done : done + len(part)]
-                done += len(part)
+            langs = np.array(batch.column(1).to_pylist(), dtype=object)
+            for start, size in _slices(batch.column(0), TEXT_BYTES):
+                part, own = batch.column(0).slice(start, size).to_pylist(), langs[start : start + size]
+                found = letters_of(part)
                 of_word = np.repeat(np.arange(len(part)), np.diff(found.first))
                 of_run = np.repeat(of_word, np.diff(np.append(found.word, len(found.bucket))))
                 for name in set(own):
@@ -191,17 +192,21 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 
 def word_scores(found: Letters, model: Model) -> np.ndarray:
-    """Score of each word for each language, and for `und` last."""
-    n, far = len(model.langs), np.float32(-1e4)
+    """Score of each word for each language, and for `und` last.
+
+    A word in a script that no language was trained with may be of any of them.
+    """
+    n, never = len(model.langs), np.float32(-np.inf)
     out = np.zeros((len(found.word), n + 1), np.float32)
     if not len(found.word):
         return out
     table = np.vstack([model.score, np.zeros((1, n), np.float32)])  # bucket -1: no letter
     out[:, :n] = np.add.reduceat(table[found.bucket], found.word, axis=0)
     may = model.allowed[found.script]
+    may[~may.any(axis=1)] = True
     lettered = found.letters > 0
-    out[:, :n][lettered[:, None] & ~may] = far
-    out[:, n] = np.where(lettered & may.any(axis=1), far, 0)
+    out[:, :n][lettered[:, None] & ~may] = never
+    out[:, n] = np.where(lettered & (n > 0), never, 0)
     out[~lettered] = 0
     return out
 
@@ -248,55 +253,57 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
 
 
 _OUT = "struct<lang_pred:string,score:double,spans:array<struct<from_word:int,to_word:int,lang:string>>>"
-_TYPE = pa.struct(
-    [
-        ("lang_pred", pa.string()),
-        ("score", pa.float64()),
-        ("spans", pa.list_(pa.struct([("from_word", pa.int32()), ("to_word", pa.int32()), ("lang", pa.string())]))),
-    ]
-)
-
-
-def label_texts(texts: list[str | None], model: Model, penalty: float) -> list[dict]:
-    names = [*model.langs, UNKNOWN]
-    found = [letters_of(part) for part in _slices(texts)]
-    if not found:
-        return []
-    scores = np.vstack([word_scores(x, model) for x in found])
-    letters = np.concatenate([x.letters for x in found])
-    ahead = np.cumsum([0, *(x.first[-1] for x in found)])
-    first = np.concatenate([*(x.first[:-1] + a for x, a in zip(found, ahead)), ahead[-1:]])
-    label = viterbi(scores, first, penalty)
-    n, text_of = len(texts), np.repeat(np.arange(len(texts)), np.diff(first))
+_SPAN = pa.struct([("from_word", pa.int32()), ("to_word", pa.int32()), ("lang", pa.string())])
+_TYPE = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("spans", pa.list_(_SPAN))])
+
+
+def label_texts(texts: pa.Array, model: Model, penalty: float) -> pa.StructArray:
+    """lang_pred, score and spans of each text, as one column."""
+    names = np.array([*model.langs, UNKNOWN], dtype=object)
+    n, scores, letters, sizes = len(texts), [], [], [np.zeros(1, np.int64)]
+    for start, size in _slices(texts, TEXT_BYTES):
+        found = letters_of(texts.slice(start, size).to_pylist())
+        scores.append(word_scores(found, model))
+        letters.append(found.letters)
+        sizes.append(np.diff(found.first))
+    first, letters = np.cumsum(np.concatenate(sizes)), np.concatenate([np.zeros(0, np.int64), *letters])
+    label = viterbi(np.concatenate([np.zeros((0, len(names)), np.float32), *scores]), first, penalty)
+    text_of = np.repeat(np.arange(n), np.diff(first))
     weight = np.bincount(text_of * len(names) + label, weights=letters, minlength=n * len(names)).reshape(n, -1)
     total = weight.sum(axis=1)
-    best = weight.argmax(axis=1)
+    best = np.where(total > 0, weight.argmax(axis=1), len(names) - 1)
+    score = np.where(total > 0, weight[np.arange(n), best] / np.maximum(total, 1), 0.0)
     new = np.ones(len(label), bool)
     new[1:] = (label[1:] != label[:-1]) | (text_of[1:] != text_of[:-1])
     begin = np.flatnonzero(new)
     stop = np.append(begin[1:], len(label))
-    spans: list[list[dict]] = [[] for _ in texts]
-    for b, e, d, k in zip(begin.tolist(), stop.tolist(), text_of[begin].tolist(), label[begin].tolist()):
-        if total[d]:
-            base = int(first[d])
-            spans[d].append({"from_word": b - base, "to_word": e - base, "lang": names[k]})
-    return [
-        {"lang_pred": names[best[d]], "score": float(weight[d, best[d]] / total[d]), "spans": spans[d]}
-        if total[d] else {"lang_pred": UNKNOWN, "score": 0.0, "spans": []}
-        for d in range(n)
-    ]
+    some = total[text_of[begin]] > 0
+    begin, stop = begin[some], stop[some]
+    base = first[text_of[begin]]
+    parts = [(begin - base).astype(np.int32), (stop - base).astype(np.int32), names[label[begin]]]
+    span = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(parts, _SPAN)], fields=list(_SPAN))
+    at = np.searchsorted(text_of[begin], np.arange(n + 1)).astype(np.int32)
+    spans = pa.ListArray.from_arrays(pa.array(at), span)
+    return pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score), spans], fields=list(_TYPE))
 
 
 def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = PENALTY) -> DataFrame:
-    """Adds lang_pred, score (share of letters in its spans) and spans; no shuffle."""
-    docs = docs.drop("lang_pred", "score", "spans", "labelled")
+    """Adds lang_pred, score (share of letters in its spans) and spans; no shuffle.
+
+    A task holds one slice of texts and its scores at a time and hands it on at once.
+    """
+    docs = docs.drop(*(f.name for f in _TYPE))
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # a name that no column has
+    added = max([*names, ""], key=len) + "_"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = label_texts(batch.column(names.index(text)).to_pylist(), shared.value, penalty)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, _TYPE)], [*names, "labelled"])
+            column = batch.column(names.index(text))
+            for start, size in _slices(column, LABEL_BYTES):
+                got = label_texts(column.slice(start, size), shared.value, penalty)
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, size).columns, got], [*names, added])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", labelled {_OUT}"
-    return docs.mapInArrow(task, schema).select(*[F.col(f"`{c}`") for c in names], "labelled.*")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{added}` {_OUT}"
+    return docs.mapInArrow(task, schema).select(*[F.col(f"`{c}`") for c in names], F.col(f"`{added}`.*"))

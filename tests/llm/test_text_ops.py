@@ -49,13 +49,14 @@ def test_viterbi_against_every_path(model):
 def test_spans_of_mixed_text_and_odd_texts(spark, model, docs_of, odd_texts):
     docs = {r.lang: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("n_chars > 2000").collect()}
     mixed = docs["en"][:600] + " " + docs["de"][:500]
-    rows = odd_texts + [(50, mixed), (51, "123 !!! 456"), (52, "привет мир"), (53, "12 " + docs["fr"][:300] + " 34")]
+    rows = odd_texts + [(50, mixed), (51, "123 !!! 456"), (52, "привет мир"), (54, "\U00030000\U0003134a"), (55, "das ist Straße " + "keit" * 3000), (53, "12 " + docs["fr"][:300] + " 34")]
     got = {r.doc_id: r for r in langid.label(docs_of(rows), model).collect()}
     assert [s.lang for s in got[50].spans] == ["en", "de"]
     assert got[50].spans[0].from_word == 0 and got[50].spans[-1].to_word == len(mixed.split())
     for i in (1, 2, 3, 51):
         assert (got[i].lang_pred, got[i].score, got[i].spans) == ("und", 0.0, [])
-    assert got[52].lang_pred == "und"
+    assert got[52].lang_pred in model.langs and got[54].lang_pred in model.langs and got[55].lang_pred == "de"
+    assert got[52].score > 0 and got[54].score == 1.0
     assert got[53].lang_pred == "fr" and len(got[53].spans) == 1
     assert got[4].lang_pred == got[5].lang_pred and 0 <= got[9].score <= 1
     assert len(got) == len({i for i, _ in rows})
@@ -424,3 +425,39 @@ def test_fingerprint_rows_have_their_groups(spark):
         near = np.flatnonzero(embedding.likeness(table, table[k]) >= 0.8)
         assert {got[n].group_id for n in near} == {r.group_id} or not table[k].any()
         assert r.n_links == len({got[n].fingerprint for n in near if got[n].fingerprint != r.fingerprint})
+
+
+def test_repetitive_items_are_found_in_long_texts(spark, docs_of, some_words):
+    """Five words over and over, twice in other prose: few shingles, but a long item."""
+    items = [" ".join(some_words(100 + k, 5) * 20) for k in range(20)]
+    items += [" ".join(some_words(200 + k, 5) * 12 + some_words(300 + k, 5) * 12) for k in range(10)]
+    rows = []
+    for k in range(10):
+        prose = some_words(400 + k, 6_000)
+        for n, item in enumerate(items):
+            prose[200 * n : 200 * n] = item.split() * 2
+        rows.append((k, " ".join(prose)))
+    found = decontaminate.contained_items(docs_of(rows), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(d, i) for d in range(10) for i in range(len(items))}
+
+
+def test_a_batch_of_labels_stays_small(model):
+    """Slices are labelled and handed on one by one; what they hold does not add up."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    column = pa.array(["das ist ein Text und noch einer " * 80] * 10_000)
+    tracemalloc.start()
+    rows = 0
+    for start, size in langid._slices(column, langid.LABEL_BYTES):
+        rows += len(langid.label_texts(column.slice(start, size), model, langid.PENALTY))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 10_000 and peak < 200e6
+
+
+def test_columns_named_like_what_is_added(spark, model):
+    docs = spark.createDataFrame([(1, "das ist gut", "x", "y")], "doc_id long, text string, labelled string, score string")
+    got = langid.label(docs, model)
+    assert got.columns == ["doc_id", "text", "labelled", "lang_pred", "score", "spans"] and got.first().labelled == "x"
