@@ -26,9 +26,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ UNKNOWN_COST = 10.0
 REMEMBERED = 300_000
 NARROW = 64
 TOGETHER = 20_000
-SLICE = 1 << 20  # characters of texts encoded at once
+SLICE = 1 << 20  # bytes of texts encoded at once
 
 
 @dataclass
@@ -246,7 +248,8 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         parts = [self.find(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         if len(self.seen) > REMEMBERED:
-            self.seen.clear()
+            for p in list(islice(self.seen, len(self.seen) // 2)):  # the older half
+                del self.seen[p]
         new = list({p for own in parts for p in own}.difference(self.seen))
         narrow = [p for p in new if len(p) <= NARROW and len(p.encode()) <= NARROW]
         for lo in range(0, len(narrow), TOGETHER):
@@ -263,36 +266,58 @@ def decode_ids(ids: Iterable[int], v: Vocabulary) -> str:
     return b"".join(map(v.pieces.__getitem__, ids)).decode(errors="replace").removeprefix(" ")
 
 
-def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
-        if size >= SLICE:
-            yield texts[start : i + 1]
-            start, size = i + 1, 0
-    yield texts[start:]
+def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of rows of about `SLICE` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, done = 0, 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE, side="right")))
+        yield start, stop - start
+        start, done = stop, int(ends[stop - 1])
 
 
-def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
-    """Adds piece_ids and n_byte_pieces; no shuffle."""
-    docs = docs.drop("piece_ids", "n_byte_pieces")
+_ENCODED = ("piece_ids", "n_byte_pieces")
+
+
+def _with_pieces(docs: DataFrame, v: Vocabulary, text: str, back: bool) -> DataFrame:
+    """Piece ids and, if asked for, the text they decode to, slice by slice in one pass."""
+    added = (*_ENCODED, "decoded") if back else _ENCODED
+    docs = docs.drop(*added)
     names, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(v)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
-        is_byte = np.zeros(len(shared.value.pieces) + 1, bool)
-        is_byte[[i for i in shared.value.byte_ids if i >= 0]] = True
+        v = shared.value
+        encoder = Encoder(v)
+        is_byte = np.zeros(len(v.pieces) + 1, bool)
+        is_byte[[i for i in v.byte_ids if i >= 0]] = True
         for batch in batches:
-            ids = [x for part in _slices(batch.column(names.index(text)).to_pylist()) for x in encoder.encode(part)]
-            sizes = np.array([0 if x is None else len(x) for x in ids])
-            flat = np.concatenate([np.zeros(0, np.int32), *(x for x in ids if x is not None)])
-            at = np.concatenate([[0], np.cumsum(sizes)])
-            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat), mask=pa.array([x is None for x in ids], pa.bool_()))
-            fallen = np.concatenate([[0], np.cumsum(is_byte[flat])])
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(fallen[at[1:]] - fallen[at[:-1]])], [*names, "piece_ids", "n_byte_pieces"])
+            column = batch.column(names.index(text))
+            for start, size in _slices(column):
+                ids = encoder.encode(column.slice(start, size).to_pylist())
+                sizes = np.array([0 if x is None else len(x) for x in ids])
+                flat = np.concatenate([np.zeros(0, np.int32), *(x for x in ids if x is not None)])
+                at = np.concatenate([[0], np.cumsum(sizes)])
+                none = pa.array([x is None for x in ids], pa.bool_())
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat), mask=none)
+                fallen = np.concatenate([[0], np.cumsum(is_byte[flat])])
+                new = [lists, pa.array(fallen[at[1:]] - fallen[at[:-1]])]
+                if back:
+                    texts = _decoded(flat, at, v)
+                    new.append(pa.array([None if x is None else t for x, t in zip(ids, texts)], pa.string()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, size).columns, *new], [*names, *added])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(task, schema + ", piece_ids array<int>, n_byte_pieces long")
+    return docs.mapInArrow(task, schema + ", piece_ids array<int>, n_byte_pieces long" + (", decoded string" if back else ""))
+
+
+def _decoded(flat: np.ndarray, at: np.ndarray, v: Vocabulary) -> list[str]:
+    ids = flat.tolist()
+    return [decode_ids(ids[a:b], v) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
+    """Adds piece_ids and n_byte_pieces; no shuffle."""
+    return _with_pieces(docs, v, text, back=False)
 
 
 def decode(docs: DataFrame, v: Vocabulary, ids: str = "piece_ids") -> DataFrame:
@@ -303,7 +328,9 @@ def decode(docs: DataFrame, v: Vocabulary, ids: str = "piece_ids") -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(names.index(ids))
-            got = [None if not x.is_valid else decode_ids(x.values.to_pylist(), shared.value) for x in column]
+            at = column.offsets.to_numpy()
+            texts = _decoded(column.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]], at - at[0], shared.value)
+            got = [t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], [*names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -312,7 +339,7 @@ def decode(docs: DataFrame, v: Vocabulary, ids: str = "piece_ids") -> DataFrame:
 
 def round_trip(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
     """Encodes and decodes: adds piece_ids, n_byte_pieces and decoded."""
-    return decode(encode(docs, v, text), v)
+    return _with_pieces(docs, v, text, back=True)
 
 
 def piece_count(ids: str = "piece_ids"):
