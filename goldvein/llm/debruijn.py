@@ -41,9 +41,11 @@ WINDOW = 20
 MINIMIZER = 8
 LAST = (1 << 63) - 1  # stands for a null id
 
-_PIECES = pa.schema(
-    [("key", pa.int32()), ("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("src_start", pa.int32()), ("edges", pa.binary())]
-)
+# A row of a piece is its minimizer and, in words of four bytes, either the text (2), the start
+# (1) and the edges (2 each), an odd number; or, for a repeat that is known already, the text
+# (2), start, n, source (2), its start and an empty word, an even number.
+_PIECES = pa.schema([("key", pa.int32()), ("piece", pa.binary())])
+_KNOWN = 8
 _REPEATS = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("src_start", pa.int32())])
 
 
@@ -112,42 +114,81 @@ def pieces(docs: DataFrame, window: int, small: int) -> DataFrame:
             origin = np.empty(len(order), np.int64)
             origin[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
             first = origin == np.arange(len(origin))
-            ends = np.cumsum(p["n"])
             keep = np.flatnonzero(first)
-            raw, stop = p["edge"].tobytes(), ends * 8
-            begin = stop - p["n"] * 8
-            edges = [raw[a:b] for a, b in zip(begin[keep].tolist(), stop[keep].tolist())]
-            none = pa.nulls(len(keep), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p["key"][keep]), pa.array(doc[keep]), pa.array(p["start"][keep].astype(np.int32)), pa.array(p["n"][keep].astype(np.int32)), none, none.cast(pa.int32()), pa.array(edges, pa.binary())],
-                schema=_PIECES,
-            )
+            yield _packed(p["key"][keep], doc[keep], p["start"][keep], p["n"][keep], p["edge"][np.repeat(first, p["n"])])
             same = (doc[origin] == doc) & (p["start"][origin] == p["start"])
             rest = np.flatnonzero(~first & ~same)
             far = origin[rest]
             r = _joined_runs(doc[rest], p["start"][rest], p["n"][rest], doc[far], p["start"][far], p["text"][rest])
-            spread = mix(r.column(0).to_numpy().view(np.uint64) + r.column(1).to_numpy().astype(np.uint64)).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(spread), *r.columns, pa.nulls(len(r), pa.binary())], schema=_PIECES)
+            yield _packed_known(*(c.to_numpy() for c in r.columns))
+
+    return docs.mapInArrow(task, "key int, piece binary")
+
+
+def _binary(cells: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Words of four bytes as binary values that end at the given counts of words."""
+    offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(cells)])
+
+
+def _packed(key: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
+    ends = np.cumsum(3 + 2 * n)
+    head = ends - (3 + 2 * n)
+    cells, of_edge = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32), np.ones(int(ends[-1]) if len(ends) else 0, bool)
+    cells[head], cells[head + 1] = doc.view(np.uint64) & np.uint64(0xFFFFFFFF), doc.view(np.uint64) >> np.uint64(32)
+    cells[head + 2] = start
+    of_edge[(head[:, None] + np.arange(3)).ravel()] = False
+    cells[of_edge] = edge.view(np.uint32)
+    return pa.RecordBatch.from_arrays([pa.array(key), _binary(cells, ends)], schema=_PIECES)
+
+
+def _packed_known(doc: np.ndarray, start: np.ndarray, n: np.ndarray, src: np.ndarray, src_start: np.ndarray) -> pa.RecordBatch:
+    cells = np.zeros((len(doc), _KNOWN), np.uint32)
+    for at, value in ((0, doc), (4, src)):
+        cells[:, at], cells[:, at + 1] = value.view(np.uint64) & np.uint64(0xFFFFFFFF), value.view(np.uint64) >> np.uint64(32)
+    cells[:, 2], cells[:, 3], cells[:, 6] = start, n, src_start
+    spread = mix(doc.view(np.uint64) + start.astype(np.uint64)).astype(np.uint32).view(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(spread), _binary(cells.ravel(), np.arange(1, len(doc) + 1) * _KNOWN)], schema=_PIECES)
+
+
+def _cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of packed rows, where each row begins, and how many it has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and len(column) else np.zeros(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), np.uint32), (offsets[:-1] - offsets[0]) // 4, np.diff(offsets) // 4
+
+
+def _long(cells: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (cells[at].astype(np.uint64) | cells[at + 1].astype(np.uint64) << np.uint64(32)).view(np.int64)
+
 
-    return docs.mapInArrow(task, "key int, doc long, start int, n int, src long, src_start int, edges binary")
+def _known_of(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Repeats that are known already, and which rows of a batch they are not."""
+    cells, at, size = _cells(batch.column(1))
+    known = size % 2 == 0
+    at = at[known]
+    columns = [_long(cells, at), cells[at + 2], cells[at + 3], _long(cells, at + 4), cells[at + 6]]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, _REPEATS)], schema=_REPEATS), ~known
 
 
 def _repeated(t: pa.Table) -> pa.RecordBatch:
     """Repeated edges of pieces that are sorted by minimizer, whole minimizers only."""
     key = t.column("key").to_numpy()
-    edge_rows = ~t.column("edges").is_null().to_numpy(zero_copy_only=False)
     alone = np.ones(len(key), bool)
     same = key[1:] == key[:-1]
     alone[1:] &= ~same
     alone[:-1] &= ~same
-    use = np.flatnonzero(edge_rows & ~alone)
-    n = t.column("n").to_numpy()[use].astype(np.int64)
+    use = np.flatnonzero(~alone)
+    key = key[use]
+    cells, at, size = _cells(t.column("piece").take(pa.array(use)).combine_chunks())
+    n = (size - 3) // 2
     row = np.repeat(np.arange(len(use)), n)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    edge = np.frombuffer(b"".join(t.column("edges").take(pa.array(use)).to_pylist()), np.uint64)
-    doc, start = t.column("doc").to_numpy()[use][row], t.column("start").to_numpy()[use].astype(np.int64)[row] + inside
-    order = np.lexsort((start, doc, edge, key[use][row]))
-    e, k = edge[order], key[use][row][order]
+    edge = _long(cells, at[row] + 3 + 2 * inside).view(np.uint64)
+    doc, start = _long(cells, at)[row], cells[at + 2].astype(np.int64)[row] + inside
+    order = np.lexsort((start, doc, edge, key[row]))
+    e, k = edge[order], key[row][order]
     fresh = np.append(True, (e[1:] != e[:-1]) | (k[1:] != k[:-1])) if len(e) else np.zeros(0, bool)
     origin = np.empty(len(order), np.int64)
     origin[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(e) else order
@@ -162,9 +203,9 @@ def repeats(found: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            known = t.filter(t.column("edges").is_null()).select(_REPEATS.names)
-            yield from known.cast(_REPEATS).combine_chunks().to_batches()
+            known, rest = _known_of(batch)
+            yield known
+            t = pa.Table.from_batches([batch.filter(pa.array(rest))])
             held = t if held is None else pa.concat_tables([held, t])
             key = held.column("key").to_numpy()
             whole = int(np.searchsorted(key, key[-1])) if len(key) else 0
