@@ -72,3 +72,22 @@ def test_documents_with_items_go(spark, stages):
 def test_pieces_decode_to_the_text(stages):
     for r in stages[4][1].collect():
         assert r.decoded == r.text and r.n_pieces == len(r.piece_ids)
+
+
+def test_near_duplicates_of_rows_with_maps_and_without_ids(spark):
+    text = "one two three four five six seven eight"
+    rows = [(1, text, {"a": 1}), (1, text, {"a": 1}), (2, text, {"b": 2}), (None, text, {"c": 3}), (None, None, {}), (3, "another", None), (1, text, {"a": 5})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>").selectExpr("*", "'x' AS c0", "'y' AS kept_id")
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    have = sorted(((r.doc_id, r.m) for r in got.collect()), key=repr)
+    assert have == sorted([(1, {"a": 1}), (1, {"a": 5}), (3, None), (None, {"c": 3}), (None, {})], key=repr)
+
+
+def test_texts_in_several_languages_stay(spark):
+    docs = {r.lang: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("n_chars > 2000").collect()}
+    mixed = " ".join(docs[k][:700] for k in ("en", "de", "fr"))
+    train = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = spark.createDataFrame([(10**9, mixed, None, None, None), (10**9 + 1, "123", None, None, None)], train.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, train.unionByName(extra), SF).collect()}
+    assert 10**9 in kept and 10**9 + 1 not in kept
