@@ -41,6 +41,7 @@ from goldvein.llm.hashing import blocks, mix, run_starts
 
 LENGTH = 50
 GRAM = 16
+PART_BYTES = 1 << 20  # of text for each part of anchors
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,7 +103,8 @@ def anchor_parts(docs: DataFrame, length: int, gram: int, parts: int) -> DataFra
             send = np.flatnonzero(new | ((doc == doc[begin][group]) & ~many)) if len(h) else begin
             out = []
             for known, rows in ((True, np.flatnonzero(many)), (False, send)):
-                part = (doc[rows].view(np.uint64) if known else h[rows]) % np.uint64(parts)
+                # what is known already meets nothing, so it goes to one part together
+                part = np.full(len(rows), int(h[0]) % parts if len(h) else 0, np.uint64) if known else h[rows] % np.uint64(parts)
                 order = np.lexsort((at[rows], doc[rows], part))
                 rows, part = rows[order], part[order]
                 edge = np.append(np.flatnonzero(_firsts(part)), len(part))
@@ -203,7 +205,10 @@ def suffix_runs(texts: DataFrame, length: int, gram: int, parts: int) -> DataFra
             right, left = np.concatenate(right), np.concatenate(left)
             doc, at, size, ahead = (np.concatenate(x) for x in (doc, at, size, ahead))
             part = mix(_words(right[:, :gram])[:, 0] ^ mix(_words(right[:, :gram])[:, -1])) % np.uint64(parts)
-            keys = [at, doc, size, ahead, *_words(left).T[::-1], *_words(right).T[::-1], part]
+            before = np.zeros(len(left), np.uint64)
+            for word in _words(left).T:
+                before = mix(before + word * _STEP)
+            keys = [at, doc, size << 8 | ahead, before, *_words(right).T[::-1], part]
             order = np.lexsort(keys)
             right, left, doc, at, size, ahead, part = (x[order] for x in (right, left, doc, at, size, ahead, part))
             same = np.zeros(len(doc), bool)
@@ -224,9 +229,9 @@ def suffix_runs(texts: DataFrame, length: int, gram: int, parts: int) -> DataFra
                 rest = right[r][np.arange(length) >= lcp[:, None]].tobytes()
                 out.append((int(part[r[0]]), lcp.tobytes(), small(rest), small(left[r].tobytes()), pack(doc[r]), pack(at[r].astype(np.int32)), size[r].astype(np.uint8).tobytes(), ahead[r].astype(np.uint8).tobytes()))
             begin, end = _merged(doc[again], at[again] - ahead[again], at[again] + size[again])
-            for p in np.unique(begin[:, 0] % parts).tolist():
-                mine = begin[:, 0] % parts == p
-                out.append((p, None, None, None, pack(begin[mine, 0]), pack(begin[mine, 1].astype(np.int32)), pack(end[mine].astype(np.int32)), None))
+            if len(begin):
+                # they meet nothing in a part, so one row takes them all along
+                out.append((int(part[0]), None, None, None, pack(begin[:, 0].copy()), pack(begin[:, 1].astype(np.int32)), pack(end.astype(np.int32)), None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), *[pa.binary()] * 7))],
                 ["part", "lcp", "rest", "left", "doc", "place", "size", "ahead"],
@@ -238,18 +243,18 @@ def suffix_runs(texts: DataFrame, length: int, gram: int, parts: int) -> DataFra
 
 def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union of intervals within each text: rows (doc, start), and ends."""
-    order = np.lexsort((end, start, doc))
-    doc, start, end = doc[order], start[order], end[order]
-    heads, stops, top = [], [], None
-    for d, s, e in zip(doc.tolist(), start.tolist(), end.tolist()):
-        if heads and heads[-1][0] == d and s <= top:
-            top = max(top, e)
-            stops[-1] = top
-        else:
-            heads.append((d, s))
-            stops.append(e)
-            top = e
-    return np.array(heads, np.int64).reshape(-1, 2), np.array(stops, np.int64)
+    if not len(doc):
+        return np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order].astype(np.int64), end[order].astype(np.int64)
+    first = _firsts(doc)
+    base = np.cumsum(first) << 32  # a later text is beyond all ends of an earlier one
+    top = np.maximum.accumulate(base + end)
+    new = first.copy()
+    new[1:] |= base[1:] + start[1:] > top[:-1]
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(doc)) - 1
+    return np.stack([doc[begin], start[begin]], axis=1), top[last] - base[last]
 
 
 def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[tuple[int, int]], list[int]]:
@@ -336,7 +341,7 @@ def repeats(found: DataFrame, length: int, gram: int) -> DataFrame:
         doc, place = (np.concatenate([unpack(r[c], t) for r in rows])[o] for c, t in (("doc", np.int64), ("place", np.int32)))
         size, ahead = (np.concatenate([np.frombuffer(r[c], np.uint8) for r in rows])[o].astype(np.int64) for c in ("size", "ahead"))
         before = np.zeros(len(o), np.uint64)
-        docs, starts, ends = [], [], []
+        least_b, most_b = np.full(len(o), length), np.full(len(o), -1)
         for b in range(left_most + 1):
             if b:
                 before = mix(before + left[:, left_most - b].astype(np.uint64) + np.uint64(1))
@@ -344,15 +349,17 @@ def repeats(found: DataFrame, length: int, gram: int) -> DataFrame:
             may = np.flatnonzero(near & (size >= length - b) & (ahead >= b))
             if len(may) < 2:
                 continue
-            may = may[np.lexsort((doc[may], before[may], group[may]))]
-            new = _firsts(group[may]) | _firsts(before[may])
-            least = doc[may[np.flatnonzero(new)]][np.cumsum(new) - 1]
+            key = mix(before[may] + group[may].astype(np.uint64) * _STEP)
+            order = np.argsort(key)
+            may = may[order]
+            new = _firsts(key[order])
+            least = np.minimum.reduceat(doc[may], np.flatnonzero(new))[np.cumsum(new) - 1]
             hit = may[doc[may] > least]
-            docs.append(doc[hit])
-            starts.append(place[hit] - b)
-            ends.append(place[hit] - b + length)
-        none = np.zeros(0, np.int64)
-        return tuple(np.concatenate([none, *x]) for x in (docs, starts, ends))
+            least_b[hit] = np.minimum(least_b[hit], b)
+            most_b[hit] = b
+        # strings around one anchor overlap, so they are one stretch
+        hit = np.flatnonzero(most_b >= 0)
+        return doc[hit], place[hit] - most_b[hit], place[hit] - least_b[hit] + length
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_part(batches):
@@ -374,7 +381,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     gram = min(gram, length - 1)
     if gram < 8:
         raise ValueError("length must be 9 or more, gram 8 or more")
-    parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
     own = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
     plain = docs.select(own.alias("doc"), F.col(id).alias("id"), F.col(text).alias("text"))
     shared = shared_anchors(anchor_parts(plain.select("doc", "text"), length, gram, parts))
