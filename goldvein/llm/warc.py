@@ -57,13 +57,20 @@ def record_id(*names: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), part(1, 8), F.lit("-"), part(9, 4), F.lit("-3"), part(14, 3), F.lit("-8"), part(18, 3), F.lit("-"), part(21, 12), F.lit(">"))
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a page: no scripts, styles, comments, head or tags; one line for each block."""
+def with_plain_text(pages: DataFrame, html: str, name: str) -> DataFrame:
+    """Adds the text of a page: no scripts, styles, comments, head or tags; one line for each block.
+
+    Entities are looked for only where there is an ampersand, and white space is
+    rewritten only where it is more than one blank or one line break.
+    """
     text = F.regexp_replace(html, HIDDEN, " ")
     text = F.regexp_replace(F.regexp_replace(text, LINE_TAGS, "\n"), TAGS, "")
-    text = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
-    text = F.regexp_replace(F.regexp_replace(text, r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
+    pages = pages.withColumn(name, text)
+    text = F.col(name)
+    decoded = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    pages = pages.withColumn(name, F.when(F.contains(text, F.lit("&")), decoded).otherwise(text))
+    text = F.regexp_replace(F.regexp_replace(name, r"[ \t\r\f]{2,}|[\t\r\f]", " "), r" \n[ \n]*|\n[ \n]+", "\n")
+    return pages.withColumn(name, F.btrim(text, F.lit(" \n")))
 
 
 def responses(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -99,6 +106,9 @@ def derivatives(records: DataFrame) -> DataFrame:
     title = line(F.regexp_extract("payload", r"(?is)<title\b[^>]*>(.*?)</title", 1))
     lang = F.regexp_extract("payload", r"(?is)<html\b[^>]*?\slang=[\"']?([A-Za-z0-9-]+)", 1)
     links = F.regexp_extract_all("payload", F.lit(r"(?is)<a\b[^>]*?\shref=[\"']([^\"'\r\n]*)[\"']"), F.lit(1))
+    # evaluated once, although the fields name them twice
+    r = with_plain_text(r.withColumns({"title": title, "lang": lang}), "payload", "plain")
+    title, lang = F.col("title"), F.col("lang")
     fields = F.concat_ws(
         CRLF,
         F.when(F.coalesce("http_header", F.lit("")) != "", F.regexp_replace("http_header", r"(?m)^", "source-http: ")),
@@ -110,7 +120,7 @@ def derivatives(records: DataFrame) -> DataFrame:
     )
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("type"), fields.alias("block")),
-        F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("type"), plain_text(F.col("payload")).alias("block")),
+        F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("type"), F.col("plain").alias("block")),
     )
     two = r.select("source", F.col("record_id").alias("refers_to"), "target_uri", "date", "source_digest", F.explode(kinds).alias("d")).select("*", "d.*")
     two = two.withColumn("record_id", record_id(F.col("warc_type"), F.col("refers_to"), F.col("source_digest")))
