@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from goldvein.checks import standin as s
 from goldvein.checks.registry import checked
-from goldvein.functions import casting, cleaning
-from goldvein.plans import silver
+from goldvein.functions import amounts, casting, cleaning
+from goldvein.plans import medallion, silver
 
 _DROPPED = r"[^a-zA-Z0-9&:\-, ]"
 _DROPPED_KEEP_POINT = r"[^a-zA-Z0-9&:\-,. ]"
@@ -121,11 +121,14 @@ def null_default_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(f"""
-SELECT i.* EXCLUDE (_source_file, date_creation, date_modification)
+SELECT i.* EXCLUDE (_source_file, date_creation, date_modification),
+  CAST(year(dt) * 100 + month(dt) AS INTEGER) AS order_month
 FROM ({s.ITEMS_SQL}) AS i""")
 def cast_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text order lines through cleaning and the whole cast map."""
-    return s.without_zone(silver.clean_order_items(s.raw_order_items(spark, sf_dir)))
+    """Raw text order lines through cleaning and the whole cast map, with the month they lie by."""
+    cleaned = silver.clean_order_items(s.raw_order_items(spark, sf_dir))
+    month = amounts.month_key(F.col(silver.ORDER_ITEMS.month_of))
+    return s.without_zone(cleaned.withColumn(medallion.ITEM_MONTH, month))
 
 
 @checked(f"""

@@ -38,3 +38,18 @@ def test_type_names_use_plain_casts(frame):
     df = frame([("2024-03-05", "bad")], "d string, e string")
     row = casting.cast_columns(df, {"d": "date", "e": "date"}).first()
     assert row.d == date(2024, 3, 5) and row.e is None
+
+
+def test_cast_map_tells_the_month_lines_lie_by(spark, tmp_path):
+    from goldvein.checks import QUERIES
+
+    spark.sql("""
+        SELECT col1 AS l_orderkey, 1 AS l_linenumber, 5L AS l_partkey, 2.0D AS l_quantity, 30.0D AS l_extendedprice,
+          0.07D AS l_discount, 0.1D AS l_tax, 'A' AS l_returnflag FROM VALUES (1L), (2L), (3L)
+    """).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("""
+        SELECT col1 AS o_orderkey, 7L AS o_custkey, CAST(col2 AS TIMESTAMP_NTZ) AS o_orderdate, '5-LOW' AS o_orderpriority
+        FROM VALUES (1L, '1997-12-31'), (2L, '1998-01-01'), (3L, NULL)
+    """).write.parquet(str(tmp_path / "orders.parquet"))
+    rows = QUERIES["cast_map"](spark, str(tmp_path)).collect()
+    assert {r.order_id: r.order_month for r in rows} == {1: 199712, 2: 199801, 3: None}
