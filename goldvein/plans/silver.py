@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from goldvein.functions.casting import cast_columns, observe_losses
+from goldvein.functions.casting import cast_and_observe, cast_columns
 from goldvein.functions.cleaning import (
     clean_frame,
     decimal_point,
@@ -109,7 +109,9 @@ def _typed(
     df: DataFrame, types: dict[str, str], lost: Observation | None, strict: bool
 ) -> DataFrame:
     """Cast by the map; count what is lost, or fail on it if ``strict``."""
-    return cast_columns(observe_losses(df, types, lost) if lost else df, types, strict=strict)
+    if lost:
+        return cast_and_observe(df, types, lost, strict=strict)
+    return cast_columns(df, types, strict=strict)
 
 
 def clean_order_items(

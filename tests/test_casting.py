@@ -1,6 +1,8 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldvein.functions import casting
@@ -53,3 +55,31 @@ def test_cast_map_tells_the_month_lines_lie_by(spark, tmp_path):
     """).write.parquet(str(tmp_path / "orders.parquet"))
     rows = QUERIES["cast_map"](spark, str(tmp_path)).collect()
     assert {r.order_id: r.order_month for r in rows} == {1: 199712, 2: 199801, 3: None}
+
+
+TEXTS = [
+    "", " 12 ", "\t7\n", "+5", "-0", "007", "00000000000012", "12.5", "12.", "1,000", "Two", "2147483647", "2147483648",
+    "-2147483649", "9223372036854775808", "127", "128", "1e3", "1E400", "inf", "-Infinity", "NaN", "0x1p3", "1f", ".5", "-", "+ 5",
+    " 5", "٣", "5\u0000", "2024-03-05", "2024-3-5 x", "2024", "2024-02", "2024-02-30", "20240305", "05/03/2024",
+    "+12024-01-01", " 2024-01-01T10", "2024 ", "\u00852024-01-01", None,
+]
+
+
+@pytest.mark.parametrize("dtype", ["byte", "short", "integer", "long", "float", "double", "decimal(10, 2)", "date", T.LongType()])
+def test_only_texts_that_cannot_be_read_are_kept_from_the_cast(frame, dtype):
+    df = frame([(i, v) for i, v in enumerate(TEXTS)], "i int, v string")
+    plain = df.select("i", casting.cast_value(F.col("v"), dtype).cast("string").alias("v"))
+    cast = casting.cast_columns(df, {"v": dtype}).select("i", F.col("v").cast("string").alias("v"))
+    assert sorted(map(tuple, cast.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_observed_losses_come_from_the_one_cast(frame):
+    df = frame([(v, n) for n, v in enumerate(TEXTS)], "v string, n int")
+    lost = Observation()
+    cast = casting.cast_and_observe(df, {"v": "integer", "n": "long", "absent": "date"}, lost)
+    plan = cast._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("cast(v#") <= 2  # the cast and its text for the count, if that
+    assert plan.count("RLIKE") == 1 and cast.columns == ["v", "n"]
+    cast.collect()
+    failed = {r.column_name: r.failed for r in casting.cast_failures(df, {"v": "integer", "n": "long"}).collect()}
+    assert lost.get == failed == {"v": sum(1 for v in TEXTS if v) - cast.where("v IS NOT NULL").count(), "n": 0}
