@@ -40,8 +40,10 @@ DIMENSIONS = {"products": _products, "dates": _dates}
 def star(spark: SparkSession, sf_dir: str, *dimensions: str) -> Star:
     """The fact with the dimensions that a figure needs."""
     built = [DIMENSIONS[d](spark, sf_dir) for d in dimensions]
-    lines = gold.order_line_fact(s.order_items(spark, sf_dir), None)
-    return reports.sales_star(lines, *built, rates=rates_lookup(spark, s.RATES))
+    lines = gold.fact_names(s.order_items(spark, sf_dir))
+    return reports.sales_star(
+        lines, *built, rates=rates_lookup(spark, s.RATES), derived=gold.amount_columns()
+    )
 
 
 _WIDE = s.wide_sql()

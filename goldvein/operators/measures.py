@@ -5,15 +5,18 @@ columns come from are joined.  All measures here can be summed up from partial
 results, which gives two ways to reach a dimension:
 
 * a dimension counted to be small is broadcast, and the fact is aggregated once;
-* a large one would need the fact shuffled by its key, where one popular key can
-  hold a large share of the rows.  The fact is summed up per key first, within
-  the map tasks, and only those sums meet the dimension.
+* a large one needs the fact shuffled by its key, where one popular key can hold a
+  large share of the rows.  If groups come from that dimension alone, the fact is
+  summed up per key first, within the map tasks, and only those sums meet the
+  dimension.  With other columns beside the key such sums are about as many as the
+  rows; then the rows meet the dimension, skewed keys split by adaptive execution,
+  before anything that widens them, and are summed up once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,12 +109,20 @@ class Star:
     derived: Mapping[str, Column] | None = None
     widened: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None
 
-    def _base(self, needed: Iterable[str]) -> DataFrame:
-        needed, df = set(needed), self.fact
-        for name, widen in (self.widened or {}).items():
-            df = widen(df) if name in needed else df
-        used = {n: c for n, c in (self.derived or {}).items() if n in needed}
-        return df.withColumns(used) if used else df
+    def _base(self, needed: Iterable[str], df: DataFrame | None = None) -> DataFrame:
+        """The fact, or a frame made from it, with the needed columns that it can have by itself.
+
+        Widened columns may stand on derived ones, so with them all derived ones are there.
+        """
+        needed, df = set(needed), self.fact if df is None else df
+        widened = [w for n, w in (self.widened or {}).items() if n in needed and n not in df.columns]
+        used = {
+            n: c for n, c in (self.derived or {}).items() if (widened or n in needed) and n not in df.columns
+        }
+        df = df.withColumns(used) if used else df
+        for widen in widened:
+            df = widen(df)
+        return df
 
     def _used(self, needed: Iterable[str]) -> list[Dimension]:
         needed = set(needed)
@@ -129,12 +140,19 @@ class Star:
         filters = _chosen(filters)
         needed = {*columns, *filters}
         dims = self._used(needed)
-        df = self._base(needed)
+        # Large dimensions shuffle the fact.  Only what filters it comes before, what widens it after.
+        first = [d for d in dims if d.small and set(d.columns) & set(filters)]
+        far = [d for d in dims if not d.small]
+        near = [d for d in dims if d.small and d not in first]
+        df = self._base({*filters, *[d.fact_key for d in (*first, *far)]})
         for dim in dims:
             for column, to_fact in (dim.implied or {}).items():
                 if column in filters:
-                    df = df.where(to_fact(filters[column]))
-        for dim in dims:
+                    df = self._base([dim.fact_key], df).where(to_fact(filters[column]))
+        for dim in (*first, *far):
+            df = self._join(df, dim, needed)
+        df = self._base({*needed, *[d.fact_key for d in near]}, df)
+        for dim in near:
             df = self._join(df, dim, needed)
         for column, wanted in filters.items():
             df = df.where(_test(column, wanted))
@@ -153,7 +171,13 @@ class Star:
         near, far = [d for d in dims if d.small], [d for d in dims if not d.small]
         of_far = {c for d in far for c in d.columns}
 
-        df = self._base(needed)
+        if len(far) > 1 or far and set(by) - of_far:
+            # hardly two rows of a task share all of a large key and other columns
+            own = self._base({*needed, *[d.fact_key for d in dims]})
+            told = list(dict.fromkeys([*by, *[m.column for m in measures if m.column]]))
+            return replace(self, fact=own).wide(told, filters).groupBy(*by).agg(*[_whole(m) for m in measures])
+
+        df = self._base({*needed, *[d.fact_key for d in dims]})
         for dim in dims:
             for column, to_fact in (dim.implied or {}).items():
                 if column in filters:
@@ -166,7 +190,7 @@ class Star:
         if not far:
             return df.groupBy(*by).agg(*[_whole(m) for m in measures])
 
-        keys = list(dict.fromkeys([c for c in by if c not in of_far] + [d.fact_key for d in far]))
+        keys = [d.fact_key for d in far]
         partial = [
             F.sum(m.column).alias(f"_sum_{m.name}")
             for m in measures

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldvein.functions import amounts
@@ -116,6 +116,19 @@ def fact_names(lines: DataFrame) -> DataFrame:
     )
 
 
+def amount_columns(*, coupon_when_empty: int = 1, exact_discount: bool = False) -> dict[str, Column]:
+    """What ``line_amounts`` adds, as expressions over the fact's other columns."""
+    gross = amounts.gross(F.col("quantity"), F.col("unit_price"))
+    discount = amounts.discount(gross, F.col("discount_percent"), exact_discount)
+    return {
+        "gross_amount": gross,
+        "discount_amount": discount,
+        "net_amount": amounts.net(gross, discount, F.col("tax_amount")),
+        "date_id": amounts.date_key(F.col("transaction_date")),
+        "coupon_flag": amounts.coupon_flag(F.col("coupon_code"), coupon_when_empty),
+    }
+
+
 def order_line_fact(
     items: DataFrame,
     rates: DataFrame | None,

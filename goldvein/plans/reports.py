@@ -71,13 +71,16 @@ def sales_star(
     *dimensions: Dimension,
     rates: DataFrame | None = None,
     direction: str = "multiply",
+    derived: Mapping[str, Column] | None = None,
 ) -> Star:
     """A star of a fact; if ``rates`` are given, the fact comes without converted amounts
-    and meets them only for figures in that currency."""
+    and meets them only for figures in that currency.  ``derived`` are columns that the
+    fact does not hold but its rows can tell."""
     widened = rates is not None and {
         "net_amount_eur": lambda lines: with_converted_amount(lines, rates, direction)
     }
-    return Star(fact, dimensions, {"hour_of_day": F.hour("transaction_ts")}, widened or None)
+    own = {"hour_of_day": F.hour("transaction_ts"), **(derived or {})}
+    return Star(fact, dimensions, own, widened or None)
 
 
 def wide_view(star: Star) -> DataFrame:

@@ -117,3 +117,20 @@ def test_implied_filter_reaches_the_fact(star):
     df = star.aggregate(["channel"], [SALES], {"year": 2025})
     assert "20250101" in df._jdf.queryExecution().optimizedPlan().toString()
     assert {r.channel: r.sales for r in df.collect()} == {"app": 7}
+
+
+def test_rows_meet_a_large_dimension_before_anything_widens_them(star):
+    if star.dimensions[0].small:
+        pytest.skip("for large dimensions")
+    df = star.aggregate(["category", "year", "is_web"], [SALES, LINES])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    below = star.wide(["amount", "category", "year", "is_web"])._jdf.queryExecution().optimizedPlan().toString()
+    far = below[below.rindex("Join"):]
+    assert "is_web" not in far and "date_key" not in far
+
+
+def test_a_filter_on_a_small_dimension_comes_before_the_large_one(star):
+    filters = {"year": [2024], "category": "A"}
+    got = sorted((r.amount, r.is_web) for r in star.wide(["amount", "is_web"], filters).collect())
+    assert got == [(2, True), (5, True), (10, True)]
