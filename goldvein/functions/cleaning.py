@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import unicodedata
 from collections.abc import Iterable, Mapping
 
@@ -11,9 +12,11 @@ from pyspark.sql import types as T
 
 from goldvein import TECHNICAL_COLUMNS
 
-# What a cleaned text may not contain, and what stands for "missing".
-NOT_KEPT = r"[^a-zA-Z0-9&:\-, ]"
-NOT_KEPT_WITH_POINT = r"[^a-zA-Z0-9&:\-,. ]"
+# What a cleaned text may not contain, and what stands for "missing".  Characters
+# one by one are looked up in a table; ranges would be tried one after the other at each.
+_KEPT = string.ascii_letters + string.digits
+NOT_KEPT = rf"[^{_KEPT}&:\-, ]"
+NOT_KEPT_WITH_POINT = rf"[^{_KEPT}&:\-,. ]"
 EMPTY_DATE = "1900-01-01"
 EMPTY_TIMESTAMP = "1900-01-01 00:00:00"
 

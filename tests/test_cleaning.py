@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 
 import pytest
@@ -76,3 +77,10 @@ def test_units_and_words(frame):
 def test_leading_columns(frame):
     df = frame([(1, 2, 3)], "a int, b int, c int")
     assert c.leading_columns(df, ["c"]).columns == ["c", "a", "b"]
+
+
+@pytest.mark.parametrize("kept, ranges", [(c.NOT_KEPT, r"[^a-zA-Z0-9&:\-, ]"), (c.NOT_KEPT_WITH_POINT, r"[^a-zA-Z0-9&:\-,. ]")])
+def test_characters_are_named_one_by_one(kept, ranges):
+    every = "".join(map(chr, range(0x3000)))
+    assert re.sub(kept, "", every) == re.sub(ranges, "", every)
+    assert "a-z" not in kept and "0-9" not in kept  # Java tries ranges one after the other
