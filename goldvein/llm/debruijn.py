@@ -8,7 +8,8 @@ minimizer in a row travel as one piece.  Pieces, not words, are shuffled.
 1. A task finds the pieces of its texts.  Of equal pieces in a batch only the first
    (smallest id, then start) is sent on; the others are known to be repeats of it.
    A passage copied into very many texts is thus one row for each batch.
-2. Pieces meet by minimizer.  Each edge's first occurrence is its source coordinate,
+   What a batch has for a part of the minimizers is one row.
+2. Pieces meet by minimizer, part by part.  Each edge's first occurrence is its source coordinate,
    and every other occurrence becomes a repeated edge with that source.
 3. Repeated edges are compacted to nonbranching paths: a piece is joined with the
    piece that starts where it ends, as long as both continue one source path.  The
@@ -32,8 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldvein.llm.hashing import blocks, mix, run_starts, runs, words
 
@@ -41,14 +44,49 @@ WINDOW = 20
 MINIMIZER = 8
 LAST = (1 << 63) - 1  # stands for a null id
 
-# A row of a piece is its minimizer and, in words of four bytes, either the text (2), the start
-# (1) and the edges (2 each), an odd number; or, for a repeat that is known already, the text
-# (2), start, n, source (2), its start and an empty word, an even number.
-_PIECES = pa.schema([("key", pa.int32()), ("piece", pa.binary())])
-_KNOWN = 8
+# A row holds the pieces of a batch that go to one part: `head` has their minimizers, texts, starts
+# and numbers of edges, `edges` the hashes of all their edges.  Without `edges` it holds repeats
+# that are known already, and `head` has the columns of _REPEATS.
+_PIECES = pa.schema([("part", pa.int32()), ("head", pa.binary()), ("edges", pa.binary())])
+_HEAD = (np.int32, np.int64, np.int32, np.int32)
+_KNOWN = (np.int64, np.int32, np.int32, np.int64, np.int32)
+_SENT_EDGES = 1 << 18  # of pieces that are sent at a time
+_KNOWN_ROWS = 4096  # of known repeats at most that travel as one
+PART_BYTES = 1 << 20  # of text for each part of minimizers
 _REPEATS = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("src_start", pa.int32())])
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Numbers by byte planes, which a shuffle's compression shrinks well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def unpack(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each part; batches come sorted by it."""
+    rows: list[dict] = []
+    for batch in batches:
+        for r in batch.to_pylist():
+            if rows and rows[0]["part"] != r["part"]:
+                yield rows
+                rows = []
+            rows.append(r)
+    if rows:
+        yield rows
+
+
+def _columns(raw: bytes, kinds: tuple[type, ...]) -> list[np.ndarray]:
+    """Packed columns that lie one after the other."""
+    raw = zstandard.decompress(raw)
+    width = [np.dtype(k).itemsize for k in kinds]
+    n, ends = len(raw) // sum(width), np.cumsum(width)
+    return [unpack(raw[n * (end - w) : n * end], k) for k, w, end in zip(kinds, width, ends.tolist())]
+
+
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     have = 1
     while 2 * have <= width:
@@ -93,20 +131,20 @@ def _joined_runs(doc, start, n, src, src_start, text) -> pa.RecordBatch:
     )
 
 
-def pieces(docs: DataFrame, window: int, small: int) -> DataFrame:
+def pieces(docs: DataFrame, window: int, small: int, parts: int) -> DataFrame:
     """Step 1, of rows (doc, text): first pieces with their edges, later ones as repeats without."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            parts = []
+            found = []
             for row, data, offsets in blocks(batch.column(1)):
                 if got := _pieces(data, offsets, window, small):
                     got["text"] = got["text"] + row
-                    parts.append(got)
-            if not parts:
+                    found.append(got)
+            if not found:
                 continue
-            p = {k: np.concatenate([x[k] for x in parts]) for k in parts[0]}
+            p = {k: np.concatenate([x.pop(k) for x in found]) for k in list(found[0])}
             doc = ids[p["text"]]
             order = np.lexsort((p["start"], doc, p["content"]))
             c = p["content"][order]
@@ -115,78 +153,64 @@ def pieces(docs: DataFrame, window: int, small: int) -> DataFrame:
             origin[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
             first = origin == np.arange(len(origin))
             keep = np.flatnonzero(first)
-            yield _packed(p["key"][keep], doc[keep], p["start"][keep], p["n"][keep], p["edge"][np.repeat(first, p["n"])])
+            ahead = np.cumsum(p["n"]) - p["n"]
+            yield from _packed(p["key"][keep], doc[keep], p["start"][keep], p["n"][keep], ahead[keep], p["edge"], parts)
             same = (doc[origin] == doc) & (p["start"][origin] == p["start"])
             rest = np.flatnonzero(~first & ~same)
             far = origin[rest]
             r = _joined_runs(doc[rest], p["start"][rest], p["n"][rest], doc[far], p["start"][far], p["text"][rest])
-            yield _packed_known(*(c.to_numpy() for c in r.columns))
-
-    return docs.mapInArrow(task, "key int, piece binary")
-
-
-def _binary(cells: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Words of four bytes as binary values that end at the given counts of words."""
-    offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(cells)])
-
-
-def _packed(key: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
-    ends = np.cumsum(3 + 2 * n)
-    head = ends - (3 + 2 * n)
-    cells, of_edge = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32), np.ones(int(ends[-1]) if len(ends) else 0, bool)
-    cells[head], cells[head + 1] = doc.view(np.uint64) & np.uint64(0xFFFFFFFF), doc.view(np.uint64) >> np.uint64(32)
-    cells[head + 2] = start
-    of_edge[(head[:, None] + np.arange(3)).ravel()] = False
-    cells[of_edge] = edge.view(np.uint32)
-    return pa.RecordBatch.from_arrays([pa.array(key), _binary(cells, ends)], schema=_PIECES)
-
-
-def _packed_known(doc: np.ndarray, start: np.ndarray, n: np.ndarray, src: np.ndarray, src_start: np.ndarray) -> pa.RecordBatch:
-    cells = np.zeros((len(doc), _KNOWN), np.uint32)
-    for at, value in ((0, doc), (4, src)):
-        cells[:, at], cells[:, at + 1] = value.view(np.uint64) & np.uint64(0xFFFFFFFF), value.view(np.uint64) >> np.uint64(32)
-    cells[:, 2], cells[:, 3], cells[:, 6] = start, n, src_start
-    spread = mix(doc.view(np.uint64) + start.astype(np.uint64)).astype(np.uint32).view(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(spread), _binary(cells.ravel(), np.arange(1, len(doc) + 1) * _KNOWN)], schema=_PIECES)
-
-
-def _cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of packed rows, where each row begins, and how many it has."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    data = column.buffers()[2]
-    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and len(column) else np.zeros(0, np.uint8)
-    return np.frombuffer(raw.tobytes(), np.uint32), (offsets[:-1] - offsets[0]) // 4, np.diff(offsets) // 4
-
-
-def _long(cells: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (cells[at].astype(np.uint64) | cells[at + 1].astype(np.uint64) << np.uint64(32)).view(np.int64)
-
-
-def _known_of(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
-    """Repeats that are known already, and which rows of a batch they are not."""
-    cells, at, size = _cells(batch.column(1))
-    known = size % 2 == 0
-    at = at[known]
-    columns = [_long(cells, at), cells[at + 2], cells[at + 3], _long(cells, at + 4), cells[at + 6]]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, _REPEATS)], schema=_REPEATS), ~known
-
-
-def _repeated(t: pa.Table) -> pa.RecordBatch:
-    """Repeated edges of pieces that are sorted by minimizer, whole minimizers only."""
-    key = t.column("key").to_numpy()
-    alone = np.ones(len(key), bool)
-    same = key[1:] == key[:-1]
-    alone[1:] &= ~same
-    alone[:-1] &= ~same
-    use = np.flatnonzero(~alone)
-    key = key[use]
-    cells, at, size = _cells(t.column("piece").take(pa.array(use)).combine_chunks())
-    n = (size - 3) // 2
-    row = np.repeat(np.arange(len(use)), n)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    edge = _long(cells, at[row] + 3 + 2 * inside).view(np.uint64)
-    doc, start = _long(cells, at)[row], cells[at + 2].astype(np.int64)[row] + inside
+            yield _packed_known([c.to_numpy() for c in r.columns], parts)
+
+    return docs.mapInArrow(task, "part int, head binary, edges binary")
+
+
+def _packed(key: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, ahead: np.ndarray, edge: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """One row for each part; a piece's edges are the n after those ahead of it."""
+    part = (key.view(np.uint32).astype(np.uint64) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    key, doc, start, n, ahead, part = (x[order] for x in (key, doc, start, n, ahead, part))
+    begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    # some parts at a time, so that edges are copied and sent a little at a time
+    turn = (np.cumsum(n) - n)[begin] // _SENT_EDGES
+    small = zstandard.ZstdCompressor().compress
+    for some in np.split(np.arange(len(begin)), np.flatnonzero(turn[1:] != turn[:-1]) + 1):
+        at = [*begin[some].tolist(), int(begin[some[-1] + 1]) if some[-1] + 1 < len(begin) else len(part)]
+        of = slice(at[0], at[-1])
+        ends = np.cumsum(n[of])
+        sent = edge[np.repeat(ahead[of] - (ends - n[of]), n[of]) + np.arange(ends[-1])]
+        ends = np.append(0, ends)
+        heads, edges = [], []
+        for a, b in zip(at, at[1:]):
+            heads.append(small(b"".join(pack(x[a:b].astype(k)) for x, k in zip((key, doc, start, n), _HEAD))))
+            edges.append(sent[ends[a - at[0]] : ends[b - at[0]]].tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(part[at[:-1]]), pa.array(heads, pa.binary()), pa.array(edges, pa.binary())], schema=_PIECES)
+
+
+def _packed_known(columns: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """Repeats that meet nothing in a part, so each row of them goes to any."""
+    small, rows = zstandard.ZstdCompressor().compress, []
+    for a in range(0, len(columns[0]), _KNOWN_ROWS):
+        doc, start = (c[a : a + 1].astype(np.uint64) for c in columns[:2])
+        head = b"".join(pack(c[a : a + _KNOWN_ROWS].astype(k)) for c, k in zip(columns, _KNOWN))
+        rows.append((int(mix(doc + start)[0] % np.uint64(parts)), small(head), None))
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows) if rows else ([], [], []), _PIECES)], schema=_PIECES)
+
+
+def _known_of(rows: list[dict]) -> pa.RecordBatch:
+    columns = [np.concatenate(x) for x in zip(*(_columns(r["head"], _KNOWN) for r in rows))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_REPEATS)
+
+
+def _repeated(rows: list[dict]) -> pa.RecordBatch:
+    """Repeated edges of the pieces of a part."""
+    key, doc, start, n = (np.concatenate(x) for x in zip(*(_columns(r["head"], _HEAD) for r in rows)))
+    edge = np.frombuffer(b"".join(r["edges"] for r in rows), np.uint64)
+    _, same, often = np.unique(key, return_inverse=True, return_counts=True)
+    use = often[same] > 1
+    edge = edge[np.repeat(use, n)]
+    key, doc, start, n = key[use], doc[use], start[use].astype(np.int64), n[use].astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    doc, start = doc[row], start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     order = np.lexsort((start, doc, edge, key[row]))
     e, k = edge[order], key[row][order]
     fresh = np.append(True, (e[1:] != e[:-1]) | (k[1:] != k[:-1])) if len(e) else np.zeros(0, bool)
@@ -201,21 +225,14 @@ def repeats(found: DataFrame) -> DataFrame:
     """Step 2: (doc, start, n, src, src_start), n repeated edges in a row from start on."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            known, rest = _known_of(batch)
-            yield known
-            t = pa.Table.from_batches([batch.filter(pa.array(rest))])
-            held = t if held is None else pa.concat_tables([held, t])
-            key = held.column("key").to_numpy()
-            whole = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            if whole:
-                yield _repeated(held.slice(0, whole))
-                held = held.slice(whole)
-        if held is not None and len(held):
-            yield _repeated(held)
-
-    rows = found.repartition("key").sortWithinPartitions("key")
+        for rows in by_part(batches):
+            known = [r for r in rows if r["edges"] is None]
+            if known:
+                yield _known_of(known)
+            if len(known) < len(rows):
+                yield _repeated([r for r in rows if r["edges"] is not None])
+
+    rows = found.repartition("part").sortWithinPartitions("part")
     return rows.mapInArrow(task, "doc long, start int, n int, src long, src_start int")
 
 
@@ -236,6 +253,13 @@ def paths(repeated: DataFrame) -> DataFrame:
     )
 
 
+@F.arrow_udf(T.BinaryType())
+def _small_texts(column: pa.Array) -> pa.Array:
+    """Texts as they travel: prose takes some two thirds of what a shuffle's compression makes of it."""
+    small = zstandard.ZstdCompressor().compress
+    return pa.array([None if raw is None else small(raw) for raw in column.cast(pa.binary()).to_pylist()], pa.binary())
+
+
 def remove_repeats(
     docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, small: int = MINIMIZER
 ) -> DataFrame:
@@ -246,18 +270,24 @@ def remove_repeats(
     """
     docs = docs.drop("spans", "kept_text", "n_words", "n_removed", "_doc")
     own = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
-    found = pieces(docs.select(own.alias("doc"), F.col(text).alias("text")), window, min(small, window))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
+    found = pieces(docs.select(own.alias("doc"), F.col(text).alias("text")), window, min(small, window), parts)
     spans = (
         paths(repeats(found))
         .groupBy("doc")
         .agg(F.sort_array(F.collect_list(F.struct(F.col("start"), (F.col("start") + F.col("n") + window - 1).alias("end"), "src", "src_start"))).alias("spans"))
     )
-    fields = docs.columns
-    joined = docs.withColumn("_doc", own).join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left").select(*[F.col(f"`{c}`") for c in fields], "spans")
+    fields, at = docs.columns, docs.columns.index(text)
+    kind = docs.schema[text].dataType.simpleString()
+    sent = docs.withColumns({"_doc": own, text: _small_texts(F.col(text))})
+    joined = sent.join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left").select(*[F.col(f"`{c}`") for c in fields], "spans")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(fields.index(text)).cast(pa.binary()).to_pylist()
+            texts = [raw and zstandard.decompress(raw) for raw in batch.column(at).to_pylist()]
+            whole = pa.array(texts, pa.binary())
+            columns = batch.columns[:at] + [whole if kind == "binary" else whole.cast(pa.string())] + batch.columns[at + 1 :]
             kept, count, gone = [], [], []
             for raw, found in zip(texts, batch.column(len(fields)).to_pylist()):
                 w = (raw or b"").split()
@@ -270,9 +300,9 @@ def remove_repeats(
                 gone.append(len(w) - len(left))
                 kept.append(b" ".join(left).decode())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(kept, pa.string()), pa.array(count, pa.int64()), pa.array(gone, pa.int64())],
+                [*columns, pa.array(kept, pa.string()), pa.array(count, pa.int64()), pa.array(gone, pa.int64())],
                 [*fields, "spans", "kept_text", "n_words", "n_removed"],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema)
+    schema = ", ".join(f"`{f.name}` {kind if f.name == text else f.dataType.simpleString()}" for f in joined.schema)
     return joined.mapInArrow(task, schema + ", kept_text string, n_words long, n_removed long")

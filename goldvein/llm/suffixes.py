@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldvein.llm.debruijn import LAST, _sliding_min
+from goldvein.llm.debruijn import LAST, _sliding_min, by_part, pack, unpack
 from goldvein.llm.hashing import blocks, mix, run_starts
 
 LENGTH = 50
@@ -45,16 +45,6 @@ PART_BYTES = 1 << 20  # of text for each part of anchors
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pack(x: np.ndarray) -> bytes:
-    """Numbers by byte planes, which a shuffle's compression shrinks well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
-
-
-def unpack(raw: bytes, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text row, place in the text, hash) of each anchor of a block."""
     start = run_starts(offsets, length)
@@ -120,24 +110,11 @@ def anchor_parts(docs: DataFrame, length: int, gram: int, parts: int) -> DataFra
     return docs.mapInArrow(task, "part long, known boolean, hash binary, doc binary, place binary")
 
 
-def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The rows of each part; batches come sorted by it."""
-    rows: list[dict] = []
-    for batch in batches:
-        for r in batch.to_pylist():
-            if rows and rows[0]["part"] != r["part"]:
-                yield rows
-                rows = []
-            rows.append(r)
-    if rows:
-        yield rows
-
-
 def shared_anchors(found: DataFrame) -> DataFrame:
     """Step 1, after the exchange: (doc, place) of anchors whose hash is in several texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_part(batches):
+        for rows in by_part(batches):
             doc = [np.cumsum(unpack(r["doc"], np.int64)) for r in rows]
             place = [unpack(r["place"], np.int32) for r in rows]
             known = np.repeat([r["known"] for r in rows], [len(x) for x in doc])
@@ -362,7 +339,7 @@ def repeats(found: DataFrame, length: int, gram: int) -> DataFrame:
         return doc[hit], place[hit] - most_b[hit], place[hit] - least_b[hit] + length
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_part(batches):
+        for rows in by_part(batches):
             known = [r for r in rows if r["lcp"] is None]
             rows = [r for r in rows if r["lcp"] is not None]
             pieces = [(unpack(r["doc"], np.int64), unpack(r["place"], np.int32), unpack(r["size"], np.int32)) for r in known]

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -154,6 +155,39 @@ def test_edges_of_one_minimizer_that_agree_in_32_bits(docs_of):
     assert removed(docs_of(rows)) == brute_windows(rows, 20)
 
 
+def test_pieces_and_texts_take_little_more_than_their_hashes(spark, some_words):
+    """What is shuffled of a piece beside its edges' hashes: once 24 bytes and a header of 12, now its part of a row."""
+    rows = [(10_000 + i, " ".join(some_words(i, 300))) for i in range(300)]
+    found = debruijn.pieces(spark.createDataFrame(rows, "doc long, text string").coalesce(1), 20, 8, 4).collect()
+    edges = sum(len(r.edges) for r in found)
+    n = np.concatenate([debruijn._columns(bytes(r.head), debruijn._HEAD)[3] for r in found])
+    assert edges == 300 * 281 * 8 == 8 * n.sum()
+    assert sum(len(r.head) for r in found) < 14 * len(n)
+    texts = spark.createDataFrame([(t,) for _, t in rows] + [(None,), ("",)], "text string")
+    sent = [r[0] for r in texts.select(debruijn._small_texts("text")).collect()]
+    assert sent[-2] is None and sum(map(len, sent[:-2])) < 0.75 * sum(len(t) for _, t in rows)
+
+
+def test_many_parts_and_many_known_repeats(spark, some_words, monkeypatch):
+    """Parts sent a few at a time, and repeats known in a batch in several rows, give the same windows."""
+    rows = [(i, " ".join(some_words(i % 7, 200 + i % 3) + some_words(i, 30))) for i in range(60)]
+    text = spark.createDataFrame(rows, "doc long, text string").coalesce(1)
+    whole = sorted(map(tuple, debruijn.paths(debruijn.repeats(debruijn.pieces(text, 20, 8, 1))).collect()))
+    batch = pa.RecordBatch.from_pylist([{"doc": i, "text": t} for i, t in rows])
+    monkeypatch.setattr(debruijn, "_SENT_EDGES", 50)
+    monkeypatch.setattr(debruijn, "_KNOWN_ROWS", 3)
+    sent = []
+
+    class Frame:
+        def mapInArrow(self, task, schema):
+            sent.extend(task(iter([batch])))
+
+    debruijn.pieces(Frame(), 20, 8, 100)
+    assert len(sent) > 20
+    many = spark.createDataFrame(pa.Table.from_batches(sent))
+    assert sorted(map(tuple, debruijn.paths(debruijn.repeats(many)).collect())) == whole != []
+
+
 def brute_bytes(rows, length):
     ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     last = 1 << 63
