@@ -40,9 +40,14 @@ DIMENSIONS = {"products": _products, "dates": _dates}
 def star(spark: SparkSession, sf_dir: str, *dimensions: str) -> Star:
     """The fact with the dimensions that a figure needs."""
     built = [DIMENSIONS[d](spark, sf_dir) for d in dimensions]
-    lines = gold.fact_names(s.order_items(spark, sf_dir))
+    lines = gold.fact_names(s.plain_items(spark, sf_dir))
+    heads = s.head_columns("transaction_id")
+    derived = {gold.FACT_NAMES.get(c, c): head for c, head in heads.items()}
     return reports.sales_star(
-        lines, *built, rates=rates_lookup(spark, s.RATES), derived=gold.amount_columns()
+        lines,
+        *built,
+        rates=rates_lookup(spark, s.RATES),
+        derived=derived | gold.amount_columns(day=derived["transaction_date"]),
     )
 
 

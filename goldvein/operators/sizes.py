@@ -1,4 +1,4 @@
-"""Checks that decide between broadcasting a frame and shuffling both sides."""
+"""Checks that decide between broadcasting a frame, hashing its shuffled parts and sorting both sides."""
 
 from __future__ import annotations
 
@@ -17,6 +17,9 @@ SMALL_BYTES = 64 << 20
 #: what a value takes beside the bytes of a text
 VALUE_BYTES = 16
 
+#: what a task may hold of one side of a join as a hash table, which cannot spill
+HASHED_BYTES = 512 << 20
+
 
 def _text_bytes(df: DataFrame):
     """Bytes of a row's values of no fixed size."""
@@ -26,17 +29,40 @@ def _text_bytes(df: DataFrame):
     return reduce(lambda a, b: a + b, sizes, F.lit(0).cast("long"))
 
 
-def counted_small(df: DataFrame, limit: int = SMALL_ROWS, most: int = SMALL_BYTES) -> bool:
-    """Whether a frame has at most ``limit`` rows that take at most ``most`` bytes.
+def counted_size(df: DataFrame) -> tuple[int, int]:
+    """Rows of a frame, and the bytes that they take.
 
     One pass in which each task hands on two numbers.  (A ``limit`` before it would send
     that many rows of every task to a single one.)  Hand over the columns that are to be
-    broadcast; of those of fixed size none is read.
+    broadcast or hashed; of those of fixed size none is read.
     """
     found = df.agg(F.count("*").alias("n"), F.sum(_text_bytes(df)).alias("b")).first()
-    return found["n"] <= limit and (found["b"] or 0) + VALUE_BYTES * len(df.columns) * found["n"] <= most
+    return found["n"], (found["b"] or 0) + VALUE_BYTES * len(df.columns) * found["n"]
+
+
+def is_small(size: tuple[int, int], limit: int = SMALL_ROWS, most: int = SMALL_BYTES) -> bool:
+    rows, taken = size
+    return rows <= limit and taken <= most
+
+
+def counted_small(df: DataFrame, limit: int = SMALL_ROWS, most: int = SMALL_BYTES) -> bool:
+    """Whether a frame has at most ``limit`` rows that take at most ``most`` bytes."""
+    return is_small(counted_size(df), limit, most)
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     """Hint only what was counted small; anything else Spark measures and may shuffle."""
     return F.broadcast(df) if small else df
+
+
+def hash_if(df: DataFrame, size: tuple[int, int], most: int = HASHED_BYTES) -> DataFrame:
+    """Hint to join with hash tables of a frame's shuffled parts, if it was counted so that they fit.
+
+    Then neither side is sorted, and a task holds its part of this frame only, whatever the
+    other side has.  What is larger is sorted, which can spill; what is small is left to Spark.
+    """
+    rows, taken = size
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a row's head, its place in the table and the table's free half
+    fits = (taken + 3 * VALUE_BYTES * rows) / parts <= most
+    return df.hint("shuffle_hash") if fits and rows > SMALL_ROWS else df

@@ -31,6 +31,13 @@ FACT_COLUMNS = (
     "tax_amount", "net_amount", "net_amount_eur", "date_creation", "date_modification",
     "_source_file",
 )
+FACT_NAMES = {
+    "order_id": "transaction_id",
+    "dt": "transaction_date",
+    "order_ts": "transaction_ts",
+    "item_seq": "seq_no",
+    "discount_pct": "discount_percent",
+}
 VIEW_PRODUCT_COLUMNS = (
     "category_code", "category_name", "brand_code", "brand_name", "color", "size", "material",
     "rating_count",
@@ -105,26 +112,23 @@ def with_converted_amount(
 
 def fact_names(lines: DataFrame) -> DataFrame:
     """Order-line columns under the names the fact gives them."""
-    return lines.withColumnsRenamed(
-        {
-            "order_id": "transaction_id",
-            "dt": "transaction_date",
-            "order_ts": "transaction_ts",
-            "item_seq": "seq_no",
-            "discount_pct": "discount_percent",
-        }
-    )
+    return lines.withColumnsRenamed(FACT_NAMES)
 
 
-def amount_columns(*, coupon_when_empty: int = 1, exact_discount: bool = False) -> dict[str, Column]:
-    """What ``line_amounts`` adds, as expressions over the fact's other columns."""
+def amount_columns(
+    *, coupon_when_empty: int = 1, exact_discount: bool = False, day: Column | None = None
+) -> dict[str, Column]:
+    """What ``line_amounts`` adds, as expressions over the fact's other columns.
+
+    ``day`` stands for the transaction date if that is an expression itself.
+    """
     gross = amounts.gross(F.col("quantity"), F.col("unit_price"))
     discount = amounts.discount(gross, F.col("discount_percent"), exact_discount)
     return {
         "gross_amount": gross,
         "discount_amount": discount,
         "net_amount": amounts.net(gross, discount, F.col("tax_amount")),
-        "date_id": amounts.date_key(F.col("transaction_date")),
+        "date_id": amounts.date_key(F.col("transaction_date") if day is None else day),
         "coupon_flag": amounts.coupon_flag(F.col("coupon_code"), coupon_when_empty),
     }
 

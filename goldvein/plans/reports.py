@@ -79,7 +79,8 @@ def sales_star(
     widened = rates is not None and {
         "net_amount_eur": lambda lines: with_converted_amount(lines, rates, direction)
     }
-    own = {"hour_of_day": F.hour("transaction_ts"), **(derived or {})}
+    derived = derived or {}
+    own = {"hour_of_day": F.hour(derived.get("transaction_ts", F.col("transaction_ts"))), **derived}
     return Star(fact, dimensions, own, widened or None)
 
 
