@@ -9,7 +9,7 @@ from goldvein.checks import standin as s
 from goldvein.checks.registry import checked
 from goldvein.functions import amounts
 from goldvein.operators.dates import date_dimension_of
-from goldvein.operators.sizes import counted_small
+from goldvein.operators.sizes import counted_size, is_small
 from goldvein.plans import gold
 from goldvein.sources.lookups import rates_lookup, region_lookup
 from goldvein.sources.tables import register_views
@@ -121,16 +121,16 @@ def brand_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.brand_categories(s.brands(spark, sf_dir), s.categories(spark, sf_dir))
 
 
-def product_dim(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
-    """The product dimension, and whether it is small; it has no more brands than parts."""
-    small = counted_small(s.given(spark, sf_dir, "part"))
+def product_dim(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple[int, int]]:
+    """The product dimension, and the size of what it is made from; it has no more brands than parts."""
+    size = counted_size(s.given(spark, sf_dir, "part"))
     dim = gold.product_dimension(
         s.products(spark, sf_dir),
         s.brands(spark, sf_dir),
         s.categories(spark, sf_dir),
-        small or None,
+        is_small(size) or None,
     )
-    return dim, small
+    return dim, size
 
 
 @checked(s.PRODUCT_DIM_SQL)

@@ -27,7 +27,8 @@ CATEGORY = "Economy"
 
 
 def _products(spark: SparkSession, sf_dir: str) -> Dimension:
-    return reports.products_of(*product_dim(spark, sf_dir))
+    dim, size = product_dim(spark, sf_dir)
+    return reports.products_of(dim, size=size)
 
 
 def _dates(spark: SparkSession, sf_dir: str) -> Dimension:

@@ -10,18 +10,21 @@ results, which gives two ways to reach a dimension:
   summed up per key first, within the map tasks, and only those sums meet the
   dimension.  With other columns beside the key such sums are about as many as the
   rows; then the rows meet the dimension, skewed keys split by adaptive execution,
-  before anything that widens them, and are summed up once.
+  before anything that widens them, and are summed up once.  For sums a task holds
+  its part of the dimension as a hash table, if that was counted to fit, and no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldvein.operators.sizes import SMALL_ROWS, broadcast_if, counted_small
+from goldvein.operators.sizes import SMALL_ROWS, broadcast_if, counted_size, hash_if, is_small
 
 _ROWS = "_rows"
 
@@ -47,7 +50,7 @@ LINES = Measure("n_lines", "count")
 class Dimension:
     """A dimension, the fact column it hangs on, and whether it was counted small.
 
-    ``implied`` turns a filter on one of its columns into a filter on the fact,
+    ``size`` is what it was counted to have, rows and bytes.  ``implied`` turns a filter on one of its columns into a filter on the fact,
     which the scan can use to skip data.
     """
 
@@ -57,12 +60,20 @@ class Dimension:
     columns: tuple[str, ...]
     small: bool = False
     implied: Mapping[str, object] | None = None
+    size: tuple[int, int] | None = None
 
-    def part(self, columns: Iterable[str]) -> DataFrame:
+    def part(self, columns: Iterable[str], in_key_order: bool = False) -> DataFrame:
         wanted = [c for c in self.columns if c in set(columns)]
         part = self.frame.select(F.col(self.key).alias("_dim_key"), *wanted)
+        if self.size and not self.small and not in_key_order:
+            return hash_if(part, self.size)
         return broadcast_if(part, self.small)
 
+    def passing(self, tests: Column, flag: str) -> Dimension:
+        """The keys of its rows that pass, marked in a column ``flag``, and counted again."""
+        keys = self.frame.where(tests).select(self.key, F.lit(True).alias(flag))
+        return dimension(keys, self.fact_key, self.key, [flag])
+
 
 def dimension(
     frame: DataFrame,
@@ -73,12 +84,14 @@ def dimension(
     small: bool | None = None,
     small_rows: int = SMALL_ROWS,
     implied: Mapping[str, object] | None = None,
+    size: tuple[int, int] | None = None,
 ) -> Dimension:
     """Describe a dimension, counting it unless its size is already known."""
     if small is None:
         have = [c for c in columns if c in frame.columns]
-        small = counted_small(frame.select(key, *have), small_rows)
-    return Dimension(frame, fact_key, key, tuple(columns), small, implied)
+        size = size or counted_size(frame.select(key, *have))
+        small = is_small(size, small_rows)
+    return Dimension(frame, fact_key, key, tuple(columns), small, implied, size)
 
 
 def _test(column: str, wanted) -> Column:
@@ -129,14 +142,18 @@ class Star:
         return [d for d in self.dimensions if needed & set(d.columns)]
 
     @staticmethod
-    def _join(df: DataFrame, dim: Dimension, needed: Iterable[str]) -> DataFrame:
-        part = dim.part(needed)
+    def _join(df: DataFrame, dim: Dimension, needed: Iterable[str], in_key_order: bool = False) -> DataFrame:
+        part = dim.part(needed, in_key_order)
         return df.join(part, df[dim.fact_key] == part["_dim_key"], "left").drop("_dim_key")
 
     def wide(
-        self, columns: Sequence[str], filters: Mapping[str, object] | None = None
+        self, columns: Sequence[str], filters: Mapping[str, object] | None = None, *, in_key_order: bool = True
     ) -> DataFrame:
-        """The fact with the given columns, joining only where they come from."""
+        """The fact with the given columns, joining only where they come from.
+
+        ``in_key_order`` lets a large dimension be joined by sorting, for rows that are written:
+        equal values then lie together, and files get smaller.  Sums need no order.
+        """
         filters = _chosen(filters)
         needed = {*columns, *filters}
         dims = self._used(needed)
@@ -150,7 +167,7 @@ class Star:
                 if column in filters:
                     df = self._base([dim.fact_key], df).where(to_fact(filters[column]))
         for dim in (*first, *far):
-            df = self._join(df, dim, needed)
+            df = self._join(df, dim, needed, in_key_order)
         df = self._base({*needed, *[d.fact_key for d in near]}, df)
         for dim in near:
             df = self._join(df, dim, needed)
@@ -175,7 +192,8 @@ class Star:
             # hardly two rows of a task share all of a large key and other columns
             own = self._base({*needed, *[d.fact_key for d in dims]})
             told = list(dict.fromkeys([*by, *[m.column for m in measures if m.column]]))
-            return replace(self, fact=own).wide(told, filters).groupBy(*by).agg(*[_whole(m) for m in measures])
+            rows = replace(self, fact=own).wide(told, filters, in_key_order=False)
+            return rows.groupBy(*by).agg(*[_whole(m) for m in measures])
 
         df = self._base({*needed, *[d.fact_key for d in dims]})
         for dim in dims:
@@ -270,10 +288,21 @@ class Star:
         """The values to offer for a filter, and how many rows each would still
         select under the other filters."""
         others = {c: v for c, v in _chosen(filters).items() if c != column}
-        holds = F.lit(True)
+        dims, holds, by = [], F.lit(True), [column]
+        for number, dim in enumerate(self.dimensions):
+            tests = [_test(c, others[c]) for c in dim.columns if c in others]
+            if dim.small or column in dim.columns or not tests:
+                dims.append(dim)
+                continue
+            # of a large dimension only the keys that pass meet the rows, which may be few
+            for c in dim.columns:
+                others.pop(c, None)
+            by.append(f"_passes_{number}")
+            dims.append(dim.passing(reduce(and_, tests), by[-1]))
+            holds = holds & F.col(by[-1]).isNotNull()
         for other, wanted in others.items():
             holds = holds & _test(other, wanted)
-        counted = self.aggregate(list(dict.fromkeys([column, *others])), [LINES])
+        counted = replace(self, dimensions=tuple(dims)).aggregate([*by, *others], [LINES])
         rows = F.when(holds, F.col(LINES.name)).otherwise(F.lit(0).cast("bigint"))
         return counted.groupBy(column).agg(F.sum(rows).alias(f"{column}_associativity"))
 

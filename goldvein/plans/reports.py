@@ -43,8 +43,10 @@ def _in_years(column: str, first: int, last: int, scale: int) -> Callable[[objec
     return test
 
 
-def products_of(products: DataFrame, small: bool | None = None) -> Dimension:
-    return dimension(products, "product_id", "product_id", VIEW_PRODUCT_COLUMNS, small=small)
+def products_of(
+    products: DataFrame, small: bool | None = None, size: tuple[int, int] | None = None
+) -> Dimension:
+    return dimension(products, "product_id", "product_id", VIEW_PRODUCT_COLUMNS, small=small, size=size)
 
 
 def dates_of(

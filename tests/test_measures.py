@@ -3,6 +3,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from goldvein.operators import sizes
 from goldvein.operators.measures import LINES, Measure, Star, dimension
 from goldvein.plans import reports
 
@@ -142,3 +143,40 @@ def test_filter_values_sum_the_rows_of_a_large_dimension_once(star):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 2  # the rows, then their groups
     assert {r.year: r.year_associativity for r in df.collect()} == {2024: 3, 2025: 0}
+
+
+def filters_met(star, column):
+    filters = {"category": "A", "weight": [3, 5], "year": [2024], "channel": "web"}
+    return star.filter_values(column, filters)
+
+
+def test_only_the_keys_that_pass_of_a_large_dimension_meet_the_rows(star):
+    df = filters_met(star, "day")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # counted again they are few, so nothing is shuffled by the large key
+    assert plan.count("strategy=broadcast") == plan.count("Join ") == 2
+    assert {r.day: r.day_associativity for r in df.collect()} == {1: 1, 6: 2}
+
+
+def test_keys_that_repeat_or_are_null_count_as_in_a_join(star, frame):
+    rows = [(1, "A", 3), (1, "A", 5), (1, "B", 3), (None, "A", 3), (3, None, 5), (9, "A", None)]
+    repeated = frame(rows, "id int, category string, weight int")
+    told = []
+    for small in (True, False):
+        products = dimension(repeated, "product", "id", ["category", "weight"], small=small)
+        counted = filters_met(Star(star.fact, (products, star.dimensions[1])), "day").collect()
+        told.append({r.day: r.day_associativity for r in counted})
+    assert told[0] == told[1] == {1: 2, 6: 2}
+
+
+def test_what_does_not_fit_a_task_is_sorted(frame, spark):
+    df = frame([(1, "a")], "id int, t string")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = 2 * sizes.SMALL_ROWS
+
+    def hinted(taken):
+        return "shuffle_hash" in sizes.hash_if(df, (rows, taken))._jdf.queryExecution().logical().toString()
+
+    assert hinted(rows) and not hinted(parts * sizes.HASHED_BYTES)
+    assert sizes.hash_if(df, (sizes.SMALL_ROWS, 0)) is df
+    assert sizes.counted_size(df) == (1, 2 * sizes.VALUE_BYTES + 1)
