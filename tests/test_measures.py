@@ -169,6 +169,27 @@ def test_keys_that_repeat_or_are_null_count_as_in_a_join(star, frame):
     assert told[0] == told[1] == {1: 2, 6: 2}
 
 
+def joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("Join")[0].split()[-1] for line in plan.splitlines() if "Join " in line]
+
+
+def test_sums_hold_a_large_dimension_and_not_the_rows(star, frame, monkeypatch, spark):
+    monkeypatch.setattr(sizes, "SMALL_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        products = frame([(k, *v) for k, v in PRODUCTS.items()], "id int, category string, weight int")
+        large = dimension(products, "product", "id", ["category", "weight"], small_rows=1)
+        wide = Star(star.fact, (large, star.dimensions[1]))
+        summed = wide.filter_values("year", {"channel": "web"})
+        assert "SortMerge" not in joins(summed)
+        by_both = wide.aggregate(["category", "year"], [SALES])
+        assert "ShuffledHash" in joins(by_both) and "SortMerge" not in joins(by_both)
+        assert "SortMerge" in joins(wide.wide(["amount", "category"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_what_does_not_fit_a_task_is_sorted(frame, spark):
     df = frame([(1, "a")], "id int, t string")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
