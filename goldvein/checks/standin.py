@@ -108,7 +108,7 @@ def plain_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the plain columns of their heads, which take less room in a shuffle
     than what ``head_columns`` makes of them; in an order like that of ``lines``."""
     heads = _plain_heads(spark, sf_dir)
-    heads = hash_if(heads, counted_size(heads))
+    heads = hash_if(heads, counted_size(heads), key="order_id")
     joined = lines(spark, sf_dir).join(heads, "order_id")
     return _audit(joined.select(*PLAIN_COLUMNS), "lineitem.parquet")
 

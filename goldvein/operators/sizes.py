@@ -20,6 +20,9 @@ VALUE_BYTES = 16
 #: what a task may hold of one side of a join as a hash table, which cannot spill
 HASHED_BYTES = 512 << 20
 
+#: what such a table is made to take where the number of parts can be chosen
+PART_BYTES = 64 << 20
+
 
 def _text_bytes(df: DataFrame):
     """Bytes of a row's values of no fixed size."""
@@ -55,14 +58,22 @@ def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def hash_if(df: DataFrame, size: tuple[int, int], most: int = HASHED_BYTES) -> DataFrame:
+def hash_if(df: DataFrame, size: tuple[int, int], most: int = HASHED_BYTES, key: str | None = None) -> DataFrame:
     """Hint to join with hash tables of a frame's shuffled parts, if it was counted so that they fit.
 
     Then neither side is sorted, and a task holds its part of this frame only, whatever the
     other side has.  What is larger is sorted, which can spill; what is small is left to Spark.
+
+    With ``key``, the column it is joined by, a frame that is large for the session's parts is cut
+    into as many as it takes instead, so a task's table does not grow with the frame.  Adaptive
+    execution does not split such parts, so this is for keys that hardly repeat on either side.
     """
     rows, taken = size
+    if rows <= SMALL_ROWS:
+        return df
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a row's head, its place in the table and the table's free half
-    fits = (taken + 3 * VALUE_BYTES * rows) / parts <= most
-    return df.hint("shuffle_hash") if fits and rows > SMALL_ROWS else df
+    taken += 3 * VALUE_BYTES * rows
+    if key and taken > parts * PART_BYTES:
+        return df.repartition(-(-taken // PART_BYTES), key).hint("shuffle_hash")
+    return df.hint("shuffle_hash") if taken <= parts * most else df

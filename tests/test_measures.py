@@ -1,8 +1,10 @@
+import re
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from goldvein.checks import standin
 from goldvein.operators import sizes
 from goldvein.operators.measures import LINES, Measure, Star, dimension
 from goldvein.plans import reports
@@ -201,3 +203,42 @@ def test_what_does_not_fit_a_task_is_sorted(frame, spark):
     assert hinted(rows) and not hinted(parts * sizes.HASHED_BYTES)
     assert sizes.hash_if(df, (sizes.SMALL_ROWS, 0)) is df
     assert sizes.counted_size(df) == (1, 2 * sizes.VALUE_BYTES + 1)
+
+
+def test_heads_that_do_not_fit_are_cut_into_more_parts_and_not_sorted(frame, spark, tmp_path, monkeypatch):
+    heads = [(1, 7, "web"), (2, 8, "app"), (2, 9, "web"), (3, 7, "web"), (None, 5, "app")]
+    rows = frame(heads, "o_orderkey long, o_custkey long, o_orderpriority string")
+    rows.withColumn("o_orderdate", F.lit("2024-01-06").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 1), (1, 2), (2, 1), (None, 1), (4, 1)]
+    rows = frame(lines, "l_orderkey long, l_linenumber int").withColumns({"l_partkey": F.lit(1), "l_returnflag": F.lit("N")})
+    amounts = {f"l_{c}": F.lit(1.0) for c in ("quantity", "extendedprice", "discount", "tax")}
+    rows.withColumns(amounts).write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = (10_000_000, parts * sizes.HASHED_BYTES)  # as if they were that many
+    monkeypatch.setattr(standin, "counted_size", lambda df: counted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = standin.plain_items(spark, str(tmp_path)).select("order_id", "item_seq", "o_custkey")
+        assert joins(items) == ["ShuffledHash"]
+        wanted = -(-(counted[1] + 3 * sizes.VALUE_BYTES * counted[0]) // sizes.PART_BYTES)
+        plan = items._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(rf"hashpartitioning\(order_id#\d+L, {wanted}\)", plan)) == 2
+        assert sorted(items.collect()) == [(1, 1, 7), (1, 2, 7), (2, 1, 8), (2, 1, 9)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_parts_grow_in_number_with_a_frame_and_not_in_size(frame, spark):
+    df = frame([(1, "a")], "id int, t string")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for times in (1, 3, 30):
+        rows = 3 * times * sizes.SMALL_ROWS
+        taken = times * parts * sizes.PART_BYTES
+        cut = sizes.hash_if(df, (rows, taken), key="id")
+        plan = cut._jdf.queryExecution().logical().toString()
+        number = int(re.search(r"RepartitionByExpression \[id#\d+\], (\d+)", plan)[1])
+        assert "shuffle_hash" in plan
+        assert (taken + 3 * sizes.VALUE_BYTES * rows) / number <= sizes.PART_BYTES
+    few = sizes.hash_if(df, (sizes.SMALL_ROWS + 1, 0), key="id")._jdf.queryExecution().logical().toString()
+    assert "shuffle_hash" in few and "Repartition" not in few  # the session's parts will do
+    assert sizes.hash_if(df, (sizes.SMALL_ROWS, 0), key="id") is df
